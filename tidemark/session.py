@@ -15,6 +15,7 @@ def local_session(cores: str = "*", app: str = "tidemark", **conf: str) -> Spark
     """A session for tests and benchmarks. On a cluster, use the session it gives you."""
     settings = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.adaptive.enabled": "true",
