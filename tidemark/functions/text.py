@@ -55,8 +55,19 @@ def term_pattern(terms: list[str], mode: str = "strict") -> str:
 
 
 def matches_terms(text: Column, terms: list[str], mode: str = "strict") -> Column:
-    """True where the text holds at least one of the terms."""
-    return text.rlike(term_pattern(terms, mode))
+    """True where the text holds at least one of the terms.
+
+    For literal ASCII terms a plain substring test on the lower-cased text goes
+    first: it is a necessary condition and spares most texts the regex engine.
+    """
+    matched = text.rlike(term_pattern(terms, mode))
+    if mode == "strict" and terms and all(t.isascii() for t in terms):
+        lowered = F.lower(text)
+        possible = F.contains(lowered, F.lit(terms[0].lower()))
+        for term in terms[1:]:
+            possible = possible | F.contains(lowered, F.lit(term.lower()))
+        return possible & matched
+    return matched
 
 
 def hashtag_texts(hashtags: Column) -> Column:

@@ -115,18 +115,15 @@ def dedupe_posts(posts: DataFrame, keys: list[str] | None = None) -> DataFrame:
 # ---------------------------------------------------------------- tagging
 
 
-def entity_patterns(terms: DataFrame, party: str | None, mode: str) -> list[tuple[str, str]]:
-    """``(entity, pattern)`` in dictionary order. An unknown party is an error."""
+def entity_terms(terms: DataFrame, party: str | None) -> list[tuple[str, list[str]]]:
+    """``(entity, its terms)`` in dictionary order. An unknown party is an error."""
     rows = dimension_rows(select_party(terms, party).select("entity", "entity_pos", "term", "term_pos"))
     if not rows:
         raise ValueError(f"no terms for party {party!r}")
     grouped: dict[tuple[int, str], list] = {}
     for row in rows:
         grouped.setdefault((row.entity_pos, row.entity), []).append((row.term_pos, row.term))
-    return [
-        (entity, tx.term_pattern([t for _, t in sorted(found)], mode))
-        for (_, entity), found in sorted(grouped.items())
-    ]
+    return [(entity, [t for _, t in sorted(found)]) for (_, entity), found in sorted(grouped.items())]
 
 
 def tag_entities(
@@ -142,15 +139,17 @@ def tag_entities(
     if include_hashtags:
         tags = F.transform("hashtags", lambda h: F.concat(F.lit(" #"), h))
         searched = F.concat(searched, F.array_join(tags, ""))
-    hits = F.array_compact(
-        F.array(*[
-            F.when(searched.rlike(pattern), F.lit(entity))
-            for entity, pattern in entity_patterns(terms, party, mode)
-        ])
-    )
-    return posts.withColumn("search_terms", hits).withColumn(
-        "search_terms",
-        F.when(F.size("search_terms") > 0, F.col("search_terms")).otherwise(F.array(F.lit(GENERAL))),
+    entities = entity_terms(terms, party)
+    flags = {f"_hit_{i}": tx.matches_terms(searched, found, mode) for i, (_, found) in enumerate(entities)}
+    named = F.array_compact(F.array(*[F.when(F.col(f), F.lit(e)) for f, (e, _) in zip(flags, entities)]))
+    return (
+        posts.withColumns(flags)
+        .withColumn("search_terms", named)
+        .withColumn(
+            "search_terms",
+            F.when(F.size("search_terms") > 0, F.col("search_terms")).otherwise(F.array(F.lit(GENERAL))),
+        )
+        .drop(*flags)
     )
 
 
@@ -168,8 +167,8 @@ def entity_indicators(
     return posts.select(
         "*",
         *[
-            F.coalesce(F.col("text").rlike(pattern), F.lit(False)).cast("int").alias(f"is_{entity}")
-            for entity, pattern in entity_patterns(terms, party, mode)
+            _yes(tx.matches_terms(F.col("text"), found, mode)).cast("int").alias(f"is_{entity}")
+            for entity, found in entity_terms(terms, party)
         ],
     )
 

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as tx
 from tidemark.functions import times as tm
-from tidemark.session import dimension_rows
-from tidemark.sources.readers import GENERAL
+from tidemark.session import dimension_rows, store
+from tidemark.sources.readers import GENERAL, select_party
 
 NEUTRAL = 5.0
 SCORE_DIGITS = 9  # post scores closer than this tie, whatever order they were summed in
@@ -106,13 +106,15 @@ def post_moments(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
 def partial_summary(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Mergeable summary per interval and entity, extremes with their text.
 
-    The extremes are found on narrow per-post rows (score and id). Their texts
-    are then looked up by id, so no text takes part in the big aggregation and
-    at most two ids per interval and entity enter the lookup.
+    The extremes are found on narrow per-post rows (score and id), so no text
+    takes part in the big aggregation. That result, a few numbers per interval and
+    entity, is stored; its ids are then looked up in the posts. Stored, its size is
+    known, and the lookup broadcasts the ids instead of shuffling every text as
+    long as they are below the session's broadcast threshold.
     """
     score = F.round(NEUTRAL + F.col("sum_d") / F.col("n_words"), SCORE_DIGITS)
     scored = F.col("n_words") > 0
-    partial = (
+    partial = store(
         post_moments(posts, lexicon)
         .groupBy("batchtime", "first_term")
         .agg(
@@ -129,13 +131,23 @@ def partial_summary(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
             "n_words", "sum_d", "sum_dd",
             F.col("hi.score").alias("high_score"), (-F.col("hi.neg_id")).alias("high_id"),
             F.col("lo.score").alias("low_score"), F.col("lo.id").alias("low_id"),
+        ),
+        "partial-summary",
+    )
+    ends = F.array(
+        F.struct(F.lit(True).alias("is_high"), F.col("high_id").alias("id")),
+        F.struct(F.lit(False).alias("is_high"), F.col("low_id").alias("id")),
+    )
+    texts = (
+        posts.select("id", "text")
+        .join(partial.select("batchtime", "first_term", F.inline(ends)), "id")
+        .groupBy("batchtime", "first_term")
+        .agg(
+            F.min(F.when(F.col("is_high"), F.col("text"))).alias("high_text"),
+            F.min(F.when(~F.col("is_high"), F.col("text"))).alias("low_text"),
         )
     )
-    wanted = partial.select(F.explode(F.array("high_id", "low_id")).alias("id")).distinct()
-    texts = posts.select("id", "text").join(wanted, "id").groupBy("id").agg(F.min("text").alias("text"))
-    high = texts.select(F.col("id").alias("high_id"), F.col("text").alias("high_text"))
-    low = texts.select(F.col("id").alias("low_id"), F.col("text").alias("low_text"))
-    return partial.join(high, "high_id", "left").join(low, "low_id", "left")
+    return partial.join(texts, ["batchtime", "first_term"], "left")
 
 
 def merge_summaries(partials: DataFrame) -> DataFrame:
@@ -188,8 +200,6 @@ def extreme_posts(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
 
 def entities_with_general(terms: DataFrame, party: str | None) -> list[tuple[str, str]]:
     """``(entity, party)`` pairs of the dictionary plus the ``general`` entity."""
-    from tidemark.sources.readers import select_party
-
     rows = dimension_rows(select_party(terms, party).select("entity", "party").distinct())
     if not rows:
         raise ValueError(f"no terms for party {party!r}")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import text as tx
 from tidemark.functions import times as tm
 from tidemark.operators.posts import primary_entity, tag_entities
+from tidemark.session import spread_out
 from tidemark.sources.readers import flatten_terms, neutral_removed
 
 DICTIONARY = {
@@ -55,7 +56,7 @@ def lexicon(spark: SparkSession) -> DataFrame:
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One post per document: id, text, lang, source, ts (instant), user_id, event_type, value, k."""
-    documents = table(spark, sf_dir, "documents").select(
+    documents = spread_out(table(spark, sf_dir, "documents")).select(
         F.col("doc_id").alias("id"), "text", "lang", "source"
     )
     events = table(spark, sf_dir, "events").select(

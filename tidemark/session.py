@@ -55,6 +55,28 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def spread_out(df: DataFrame, parts: int | None = None) -> DataFrame:
+    """Spread rows over the cores where the input has too few pieces to keep them busy.
+
+    A gzip file or a one-row-group file is a single task however large it is.
+    Inputs that already come in at least ``parts`` pieces are left alone, so a big
+    table gets no shuffle from this.
+    """
+    parts = parts or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(parts) if df.rdd.getNumPartitions() < parts else df
+
+
+def store(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back.
+
+    Used where a result feeds several branches: it is computed once, survives lost
+    executors, and the planner knows its true size when it picks the next joins.
+    """
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder (survives lost executors)."""
     shared_dir(df.sparkSession)
