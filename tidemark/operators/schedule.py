@@ -108,11 +108,7 @@ def nearest_event(
         "bucket", "from_epoch", "before", "after",
         F.when(F.floor(F.col("after.start") / bucket) == F.col("bucket"), F.col("after.start")).alias("to_epoch"),
     )
-    found = points.withColumn("bucket", point_bucket).join(
-        stretches,
-        "bucket",
-        "left",
-    ).filter(
+    found = points.withColumn("bucket", point_bucket).join(stretches, "bucket").filter(
         (F.col("from_epoch").isNull() | (F.col("epoch") >= F.col("from_epoch")))
         & (F.col("to_epoch").isNull() | (F.col("epoch") < F.col("to_epoch")))
     )

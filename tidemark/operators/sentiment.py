@@ -103,18 +103,15 @@ def post_moments(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
     )
 
 
-def partial_summary(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """Mergeable summary per interval and entity, extremes with their text.
+def summary_numbers(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """Mergeable numbers per interval and entity, with the ids of the extreme posts.
 
-    The extremes are found on narrow per-post rows (score and id), so no text
-    takes part in the big aggregation. That result, a few numbers per interval and
-    entity, is stored; its ids are then looked up in the posts. Stored, its size is
-    known, and the lookup broadcasts the ids instead of shuffling every text as
-    long as they are below the session's broadcast threshold.
+    The extremes are found on narrow per-post rows (score and id); no text takes
+    part in the aggregation.
     """
     score = F.round(NEUTRAL + F.col("sum_d") / F.col("n_words"), SCORE_DIGITS)
     scored = F.col("n_words") > 0
-    partial = store(
+    return (
         post_moments(posts, lexicon)
         .groupBy("batchtime", "first_term")
         .agg(
@@ -131,23 +128,36 @@ def partial_summary(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
             "n_words", "sum_d", "sum_dd",
             F.col("hi.score").alias("high_score"), (-F.col("hi.neg_id")).alias("high_id"),
             F.col("lo.score").alias("low_score"), F.col("lo.id").alias("low_id"),
-        ),
-        "partial-summary",
+        )
     )
+
+
+def with_extreme_texts(numbers: DataFrame, posts: DataFrame) -> DataFrame:
+    """Add the texts of the extreme posts, looked up by id.
+
+    ``numbers`` feeds both sides of a join, so it should be stored or persisted;
+    its size is then known, and its ids are broadcast rather than every text
+    shuffled as long as they stay below the session's broadcast threshold.
+    """
     ends = F.array(
         F.struct(F.lit(True).alias("is_high"), F.col("high_id").alias("id")),
         F.struct(F.lit(False).alias("is_high"), F.col("low_id").alias("id")),
     )
     texts = (
         posts.select("id", "text")
-        .join(partial.select("batchtime", "first_term", F.inline(ends)), "id")
+        .join(numbers.select("batchtime", "first_term", F.inline(ends)), "id")
         .groupBy("batchtime", "first_term")
         .agg(
             F.min(F.when(F.col("is_high"), F.col("text"))).alias("high_text"),
             F.min(F.when(~F.col("is_high"), F.col("text"))).alias("low_text"),
         )
     )
-    return partial.join(texts, ["batchtime", "first_term"], "left")
+    return numbers.join(texts, ["batchtime", "first_term"], "left")
+
+
+def partial_summary(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """Mergeable summary per interval and entity. The numbers are computed once and stored."""
+    return with_extreme_texts(store(summary_numbers(posts, lexicon), "summary-numbers"), posts)
 
 
 def merge_summaries(partials: DataFrame) -> DataFrame:

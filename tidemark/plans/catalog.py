@@ -8,6 +8,9 @@ from tidemark.plans import registry
 
 MODULES = [
     "aggregations",
+    "parsing",
+    "filtering",
+    "combining",
 ]
 
 

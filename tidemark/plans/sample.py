@@ -188,12 +188,14 @@ LEXICON_SQL = (
 )
 
 
-def tagged_sql(seconds: int = 3600) -> str:
-    return f"""{POSTS_SQL}, tagged AS (
+def tagged_sql(seconds: int = 3600, source: str = "english", party: str | None = None) -> str:
+    """CTEs up to ``tagged``, over all English posts or over the ``eligible`` raw posts."""
+    before = f"{POSTS_SQL}, english AS (SELECT * FROM posts WHERE lang = 'en')" if source == "english" else ELIGIBLE_SQL
+    return f"""{before}, tagged AS (
   SELECT *, search_terms[1] AS first_term, len(search_terms) > 1 AS multiple_terms FROM (
     SELECT id, lang, source, ts, user_id, event_type, value, k, {ASCII_SQL.format('text')} AS text,
-           {hits_sql()} AS search_terms, {floor_sql('ts', seconds)} AS batchtime
-    FROM posts WHERE lang = 'en'))"""
+           {hits_sql(party)} AS search_terms, {floor_sql('ts', seconds)} AS batchtime
+    FROM {source}))"""
 
 
 # tokens of the tagged posts, scored where the lexicon has them

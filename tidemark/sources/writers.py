@@ -42,7 +42,7 @@ def sink_hourly_json(df: DataFrame, path: str, ts: str = "timestamp") -> None:
     many tasks as hold its rows.
     """
     (
-        df.withColumn("hour", F.substring(F.col(ts), 1, 13))
+        df.withColumn("hour", F.replace(F.substring(F.col(ts), 1, 13), F.lit(" "), F.lit("-")))
         .withColumnRenamed("id", "tweet_id")
         .write.mode("overwrite")
         .partitionBy("hour")
