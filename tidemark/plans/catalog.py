@@ -11,6 +11,9 @@ MODULES = [
     "parsing",
     "filtering",
     "combining",
+    "files",
+    "topics",
+    "streams",
 ]
 
 

@@ -11,7 +11,7 @@ from tidemark.operators import posts as ps
 from tidemark.operators import schedule as sc
 from tidemark.plans import sample
 from tidemark.plans.registry import query
-from tidemark.sources.writers import eav_melt
+from tidemark.sources import writers
 
 DECODED_SQL = f"""WITH {sample.ENVELOPE_SQL}
 SELECT kind, CASE WHEN kind = 'post' THEN id END AS id, CASE WHEN kind = 'post' THEN lang END AS lang,
@@ -164,8 +164,8 @@ def record_json(spark, sf_dir):
          CASE WHEN multiple_terms THEN 'True' ELSE 'False' END AS multiple_terms FROM tagged)
 UNPIVOT r ON timestamp, batchtime, username, text, hashtags, first_term, search_terms, multiple_terms
 INTO NAME name VALUE value""")
-def eav_melt_posts(spark, sf_dir):
-    return eav_melt(tagged_records(spark, sf_dir), "id")
+def eav_melt(spark, sf_dir):
+    return writers.eav_melt(tagged_records(spark, sf_dir), "id")
 
 
 def _marked_sql(start: str, end: str) -> str:
