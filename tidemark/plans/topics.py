@@ -228,14 +228,16 @@ def part_sizes(state):
 @query(f"WITH {STATE} {PART_SIZES}")
 def lda_init(spark, sf_dir):
     long, words = corpus_and_words(spark, sf_dir)
-    state = gibbs.lda_init(corpus.assign_parts(long, PARTS), K, words.count(), seed=1)
+    docs = gibbs.packed(corpus.assign_parts(long, PARTS))
+    state = gibbs.lda_init(docs, PARTS, K, words.count(), seed=1)
     return part_sizes(gibbs.assignments(state))
 
 
 @query(f"WITH {STATE} {PART_SIZES}")
 def lda_gibbs_sweep(spark, sf_dir):
     state, words = fixed_state(spark, sf_dir)
-    swept = gibbs.lda_gibbs_sweep(state, gibbs.part_words(state), PARTS, K, words.count(), step=1, seed=1)
+    docs = store(gibbs.packed(state), "packed")
+    swept = gibbs.lda_gibbs_sweep(docs, gibbs.part_words(docs), PARTS, K, words.count(), step=1, seed=1)
     return part_sizes(gibbs.assignments(swept))
 
 
@@ -247,8 +249,9 @@ def fit_lda(spark, sf_dir):
     """A few iterations; per part, its words and whether its log-likelihood rose."""
     long, words = corpus_and_words(spark, sf_dir)
     state, logliks = gibbs.fit_lda(long, words.count(), K, ITERATIONS, PARTS, seed=1)
-    ends = logliks.filter(F.col("phase") == "after").groupBy("part").agg(
-        F.min_by("loglik", "iter").alias("first"), F.max_by("loglik", "iter").alias("last")
+    ends = logliks.filter(F.col("iter") > 0).groupBy("part").agg(  # the first assignment saw local counts only
+        F.min_by("loglik", F.struct("iter", F.col("phase") == "after")).alias("first"),
+        F.max_by("loglik", F.struct("iter", F.col("phase") == "after")).alias("last"),
     )
     sizes = state.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     return sizes.join(ends, "part").select("part", "n", (F.col("last") > F.col("first")).alias("rises"))
