@@ -154,10 +154,14 @@ def tag_entities(
 
 
 def primary_entity(tagged: DataFrame) -> DataFrame:
-    """Add ``first_term`` and ``multiple_terms``."""
-    return tagged.withColumn("first_term", F.get("search_terms", F.lit(0))).withColumn(
-        "multiple_terms", F.size("search_terms") > 1
-    )
+    """Add ``first_term`` and ``multiple_terms``.
+
+    ``first_term`` is written so that it cannot be null: joins on it then add no
+    null filter, which Spark would push down to a second evaluation of the patterns.
+    """
+    return tagged.withColumn(
+        "first_term", F.coalesce(F.get("search_terms", F.lit(0)), F.lit(GENERAL))
+    ).withColumn("multiple_terms", F.size("search_terms") > 1)
 
 
 def entity_indicators(

@@ -8,7 +8,7 @@ falls back to a shuffled join with skew splitting when it is not.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as tx
@@ -289,18 +289,28 @@ def minute_histogram(posts: DataFrame, ts: str = "ts", zone: str = tm.NEW_YORK,
 def lexicon_coverage(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Distinct scored words over distinct raw words per entity.
 
-    Distinct words are reduced per (entity, word) first, so a dominant entity
-    spreads over its words instead of filling one task.
+    Each post sends its distinct raw pieces and tokens once, in one pass over the
+    texts. Words are then reduced per (entity, word), so a dominant entity spreads
+    over its words instead of filling one task.
     """
-    raw = posts.select("first_term", F.explode(F.split("text", " ", -1)).alias("word")).distinct()
-    used = scored_words(posts, lexicon).select("first_term", "word").distinct()
-    n_raw = raw.groupBy("first_term").agg(F.count(F.lit(1)).alias("raw_words"))
-    n_used = used.groupBy("first_term").agg(F.count(F.lit(1)).alias("used_words"))
-    return n_raw.join(n_used, "first_term", "left").select(
-        "first_term",
-        "raw_words",
-        F.coalesce("used_words", F.lit(0)).alias("used_words"),
-        (F.coalesce("used_words", F.lit(0)) / F.col("raw_words")).alias("coverage"),
+
+    def marked(words: Column, is_token: bool) -> Column:
+        return F.transform(
+            F.array_distinct(words), lambda w: F.struct(F.lit(is_token).alias("is_token"), w.alias("word"))
+        )
+
+    text = F.col("text")
+    words = F.concat(marked(F.split(text, " ", -1), False), marked(tx.word_tokens(text), True))
+    return (
+        posts.select("first_term", F.inline(words))
+        .groupBy("first_term", "is_token", "word").agg(F.lit(1).alias("seen"))
+        .join(lexicon, "word", "left")
+        .groupBy("first_term")
+        .agg(
+            F.count_if(~F.col("is_token")).alias("raw_words"),
+            F.count_if(F.col("is_token") & F.col("score").isNotNull()).alias("used_words"),
+        )
+        .withColumn("coverage", F.col("used_words") / F.col("raw_words"))
     )
 
 
@@ -331,11 +341,11 @@ def score_histogram(posts: DataFrame, lexicon: DataFrame, bins: int = 15) -> Dat
     lexicon scores, however many tokens an entity has.
     """
     counts = scored_words(posts, lexicon).groupBy("first_term", "score").agg(F.count(F.lit(1)).alias("n"))
-    edges = counts.groupBy("first_term").agg(F.min("score").alias("lo"), F.max("score").alias("hi"))
+    entity = Window.partitionBy("first_term")
     width = (F.col("hi") - F.col("lo")) / bins
     place = F.floor((F.col("score") - F.col("lo")) / width).cast("int")
     return (
-        counts.join(edges, "first_term")
+        counts.withColumns({"lo": F.min("score").over(entity), "hi": F.max("score").over(entity)})
         .withColumn("bin", F.when(width > 0, F.least(place, F.lit(bins - 1))).otherwise(F.lit(0)))
         .groupBy("first_term", "bin")
         .agg(F.sum("n").alias("count"))

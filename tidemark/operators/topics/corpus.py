@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import number_in_order
+from tidemark.functions.text import whitespace_words
+from tidemark.session import number_in_order, store
 
 # Words left out of the topic model, as in the published runs.
 STOPWORDS = [
@@ -19,62 +20,76 @@ STOPWORDS = [
 MIN_DF = 5
 
 
-def lda_tokens(docs: DataFrame, edge_trim: bool = False, lower: bool = True) -> DataFrame:
-    """``(doc_id, pos, word)`` of the white-space separated words of every document.
+def lda_words(docs: DataFrame, edge_trim: bool = False, lower: bool = True) -> DataFrame:
+    """``(doc_id, words)``: the white-space separated words of every document, in order.
 
     ``edge_trim`` takes the first character off the first word and, in documents
     of several words, the last one off the last word (left-over quote marks).
     """
     text = F.lower("text") if lower else F.col("text")
-    words = docs.select(
-        "doc_id", F.filter(F.split(text, r"\s+"), lambda w: w != "").alias("words")
-    ).select("doc_id", F.size("words").alias("n"), F.posexplode("words").alias("pos", "word"))
-    word = F.col("word")
-    if edge_trim:
-        word = (
-            F.when(F.col("pos") == 0, F.expr("substring(word, 2)"))
-            .when(F.col("pos") == F.col("n") - 1, F.expr("substring(word, 1, length(word) - 1)"))
+    words = docs.select("doc_id", whitespace_words(text).alias("words"))
+    if not edge_trim:
+        return words
+    last = F.size("words") - 1
+
+    def trimmed(word: Column, place: Column) -> Column:
+        inner = F.length(word) - 1
+        return (
+            F.when(place == 0, F.substring(word, F.lit(2), F.length(word)))
+            .when(place == last, F.substring(word, F.lit(1), inner))
             .otherwise(word)
         )
-    return words.select("doc_id", "pos", word.alias("word"))
+
+    return words.withColumn("words", F.transform("words", trimmed))
 
 
-def document_frequency(tokens: DataFrame) -> DataFrame:
-    """Documents per word. Reduced per (word, document) first, so a word found
-    everywhere spreads over its documents instead of filling one task."""
-    return tokens.groupBy("word").agg(F.count_distinct("doc_id").alias("doc_freq"))
+def lda_tokens(docs: DataFrame, edge_trim: bool = False, lower: bool = True) -> DataFrame:
+    """``(doc_id, pos, word)``, one row per word of every document."""
+    return lda_words(docs, edge_trim, lower).select("doc_id", F.posexplode("words").alias("pos", "word"))
 
 
-def vocabulary(tokens: DataFrame, min_df: int = MIN_DF) -> DataFrame:
-    """Words found in at least ``min_df`` documents."""
-    return document_frequency(tokens).filter(F.col("doc_freq") >= min_df)
+def vocabulary(words: DataFrame, min_df: int = MIN_DF) -> DataFrame:
+    """``(word, doc_freq)`` of the words found in at least ``min_df`` documents.
+
+    Takes one row per document. A document names each of its words once, so plain
+    counting is enough: a task sends one partial count per word, and a word found
+    in every document costs no more than a rare one.
+    """
+    return (
+        words.select(F.explode(F.array_distinct("words")).alias("word"))
+        .groupBy("word").agg(F.count(F.lit(1)).alias("doc_freq"))
+        .filter(F.col("doc_freq") >= min_df)
+    )
 
 
 def drop_stopwords(tokens: DataFrame, stopwords: list[str] | DataFrame = STOPWORDS) -> DataFrame:
-    """Tokens outside the stop list, given inline or as a table with a ``word`` column."""
+    """Rows whose ``word`` is not in the stop list, given inline or as a table of words."""
     if isinstance(stopwords, DataFrame):
         return tokens.join(stopwords, "word", "left_anti")
     return tokens.filter(~F.col("word").isin(stopwords))
 
 
 def numbered_vocabulary(
-    tokens: DataFrame, min_df: int = MIN_DF, stopwords: list[str] | DataFrame = STOPWORDS
+    words: DataFrame, min_df: int = MIN_DF, stopwords: list[str] | DataFrame = STOPWORDS
 ) -> DataFrame:
-    """``(word, doc_freq, word_id)``: the kept words, numbered densely in alphabetical order."""
-    return number_in_order(
-        vocabulary(drop_stopwords(tokens, stopwords), min_df), [F.col("word")], "word_id"
-    )
+    """``(word, doc_freq, word_id)``: the kept words, numbered densely in alphabetical order.
+
+    Stored, as the corpus, the model size and the word names all come from it.
+    """
+    kept = drop_stopwords(vocabulary(words, min_df), stopwords)
+    return store(number_in_order(kept, [F.col("word")], "word_id"), "vocabulary")
 
 
-def corpus_long(tokens: DataFrame, words: DataFrame) -> DataFrame:
+def corpus_long(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
     """``(doc_id, pos, word_id, word)`` of every kept word instance."""
-    return tokens.join(words.select("word", "word_id"), "word").select("doc_id", "pos", "word_id", "word")
+    return tokens.join(vocab.select("word", "word_id"), "word").select("doc_id", "pos", "word_id", "word")
 
 
-def word_instances(corpus: DataFrame) -> DataFrame:
-    """Instances and documents per word id."""
-    return corpus.groupBy("word_id", "word").agg(
-        F.count(F.lit(1)).alias("instances"), F.count_distinct("doc_id").alias("docs")
+def word_instances(corpus: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Instances and documents per word."""
+    instances = corpus.groupBy("word_id").agg(F.count(F.lit(1)).alias("instances"))
+    return instances.join(vocab, "word_id").select(
+        "word_id", "word", "instances", F.col("doc_freq").alias("docs")
     )
 
 

@@ -15,6 +15,7 @@ from tidemark.plans.aggregations import (
 )
 from tidemark.plans.parsing import registered_days
 from tidemark.plans.registry import fixed, fixed_sql, query
+from tidemark.session import store
 
 ENTITIES = ", ".join(f"('{e}', '{p}')" for p, e, _ in sample.entity_list())
 
@@ -150,7 +151,8 @@ SELECT entity, x, y FROM master UNION ALL SELECT entity, x, y FROM fresh WHERE e
 
 @query(APPENDED_SQL)
 def append_series(spark, sf_dir):
-    points = results(spark, sf_dir).select(
+    stored = store(results(spark, sf_dir), "results")
+    points = stored.select(
         "entity", F.col("timestamp").alias("x"), F.when(F.col("score") > 0, fixed("score", 2)).alias("y")
     )
     master = points.filter((F.col("entity") != "general") & (F.col("x") < RANGE[1]))

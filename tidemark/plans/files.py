@@ -34,7 +34,7 @@ def scan_archive(spark, sf_dir):
 def dictionary_lines(spark, sf_dir):
     """One JSON term dictionary per document: its language the party, its source the entity."""
     words = tx.whitespace_words(F.col("text"))
-    return sample.table(spark, sf_dir, "documents").select(
+    return sample.documents(spark, sf_dir).select(
         F.to_json(
             F.struct(
                 F.slice(words, 1, 1).alias("general"),
@@ -74,7 +74,7 @@ def pool_terms(spark, sf_dir):
 def word_counts(spark, sf_dir):
     tokens = tx.word_tokens(tx.ascii_only(F.col("text")))
     return (
-        sample.table(spark, sf_dir, "documents").select(F.explode(tokens).alias("word"))
+        sample.documents(spark, sf_dir).select(F.explode(tokens).alias("word"))
         .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -107,7 +107,7 @@ def scan_csv_terms(spark, sf_dir):
 @query("SELECT md5(text) AS digest, length(text) AS chars FROM documents")
 def scan_delimited_docs(spark, sf_dir):
     path = new_folder(spark, "delimited")
-    ended = sample.table(spark, sf_dir, "documents").select(F.concat("text", F.lit("\n")).alias("value"))
+    ended = sample.documents(spark, sf_dir).select(F.concat("text", F.lit("\n")).alias("value"))
     ended.write.option("lineSep", "&&&&&").text(path)
     docs = readers.scan_delimited_docs(spark, path)
     return docs.select(F.md5("text").alias("digest"), F.length("text").cast("long").alias("chars"))

@@ -52,7 +52,7 @@ COMPAT = "'(?i)" + r"|(\s|#|@)".join(sample.pooled_list()) + "'"
 FROM documents""")
 def matches_terms(spark, sf_dir):
     text, terms = F.col("text"), sample.pooled_list()
-    return sample.table(spark, sf_dir, "documents").select(
+    return sample.documents(spark, sf_dir).select(
         "doc_id", tx.matches_terms(text, terms).alias("strict"),
         tx.matches_terms(text, terms, "compat").alias("compat"),
     )
@@ -75,11 +75,11 @@ def time_of_day(spark, sf_dir):
 
 @query("SELECT DISTINCT lang, source, text FROM documents")
 def dedupe_posts(spark, sf_dir):
-    return ps.dedupe_posts(sample.table(spark, sf_dir, "documents").select("lang", "source", "text"))
+    return ps.dedupe_posts(sample.documents(spark, sf_dir).select("lang", "source", "text"))
 
 
 def documents_as_posts(spark, sf_dir):
-    return sample.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "source")
+    return sample.documents(spark, sf_dir).select(F.col("doc_id").alias("id"), "text", "source")
 
 
 @query(f"""WITH d AS (SELECT doc_id AS id, text, source FROM documents)
@@ -136,7 +136,7 @@ ENTITY_DOCS = f"""entity_docs AS (SELECT doc_id, {_owner_sql('substr(text, 1, 20
 
 
 def documents_with_entity(spark, sf_dir):
-    docs = sample.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = sample.documents(spark, sf_dir).select("doc_id", "text")
     return ps.entity_from_prefix(docs, sample.terms(spark), exact=EXACT)
 
 

@@ -124,7 +124,7 @@ def project_geo_fields_short(spark, sf_dir):
 
 @query(f"SELECT doc_id, {sample.ASCII_SQL.format('text')} AS text FROM documents")
 def ascii_only(spark, sf_dir):
-    return sample.table(spark, sf_dir, "documents").select("doc_id", tx.ascii_only(F.col("text")).alias("text"))
+    return sample.documents(spark, sf_dir).select("doc_id", tx.ascii_only(F.col("text")).alias("text"))
 
 
 @query(f"""WITH {sample.ENVELOPE_SQL}, tags AS (SELECT id, unnest([source, event_type || 'é']) AS tag,

@@ -45,6 +45,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents; a file of a single row group is spread over the cores first."""
+    return spread_out(table(spark, sf_dir, "documents"))
+
+
 def terms(spark: SparkSession) -> DataFrame:
     return flatten_terms(spark.sql("SELECT :dictionary AS value", args={"dictionary": json.dumps(DICTIONARY)}))
 
@@ -56,16 +61,14 @@ def lexicon(spark: SparkSession) -> DataFrame:
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One post per document: id, text, lang, source, ts (instant), user_id, event_type, value, k."""
-    documents = spread_out(table(spark, sf_dir, "documents")).select(
-        F.col("doc_id").alias("id"), "text", "lang", "source"
-    )
+    texts = documents(spark, sf_dir).select(F.col("doc_id").alias("id"), "text", "lang", "source")
     events = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("id"),
         tm.utc_instant(F.col("ts")).alias("ts"),
         "user_id", "event_type", "value",
         F.regexp_extract("props", r"([0-9]+)", 1).cast("long").alias("k"),
     )
-    return documents.join(events, "id")
+    return texts.join(events, "id")
 
 
 def tagged_posts(spark: SparkSession, sf_dir: str, seconds: int = 3600) -> DataFrame:

@@ -8,7 +8,7 @@ from tidemark.operators.topics import builtin, corpus, counts, gibbs
 from tidemark.plans import sample
 from tidemark.plans.filtering import ENTITY_DOCS, documents_with_entity
 from tidemark.plans.registry import fixed, fixed_sql, query
-from tidemark.session import spread_out, store
+from tidemark.session import store
 
 K = 10
 PARTS = 8
@@ -16,7 +16,7 @@ ALPHA, BETA = counts.ALPHA, counts.BETA
 
 
 def documents(spark, sf_dir):
-    return spread_out(sample.table(spark, sf_dir, "documents")).select("doc_id", "text")
+    return sample.documents(spark, sf_dir).select("doc_id", "text")
 
 
 def tokens(spark, sf_dir):
@@ -25,7 +25,7 @@ def tokens(spark, sf_dir):
 
 def corpus_and_words(spark, sf_dir):
     """The long corpus and its numbered vocabulary, each computed once."""
-    words = corpus.numbered_vocabulary(tokens(spark, sf_dir))
+    words = corpus.numbered_vocabulary(corpus.lda_words(documents(spark, sf_dir)))
     return corpus.corpus_long(tokens(spark, sf_dir), words), words
 
 
@@ -56,7 +56,7 @@ def lda_tokens(spark, sf_dir):
 
 @query(f"WITH {TOKENS} SELECT word, count(DISTINCT doc_id) AS doc_freq FROM tokens GROUP BY word HAVING doc_freq >= {corpus.MIN_DF}")
 def vocabulary(spark, sf_dir):
-    return corpus.vocabulary(tokens(spark, sf_dir))
+    return corpus.vocabulary(corpus.lda_words(documents(spark, sf_dir)))
 
 
 @query(f"""WITH {TOKENS} SELECT 'inline' AS kind, word, count(*) AS n FROM tokens WHERE word NOT IN ({STOP}) GROUP BY ALL
@@ -73,7 +73,7 @@ def drop_stopwords(spark, sf_dir):
 @query(f"""WITH {CORPUS} SELECT word_id, word, count(*) AS instances, count(DISTINCT doc_id) AS docs
 FROM corpus GROUP BY ALL""")
 def corpus_long(spark, sf_dir):
-    return corpus.word_instances(corpus_and_words(spark, sf_dir)[0])
+    return corpus.word_instances(*corpus_and_words(spark, sf_dir))
 
 
 @query(f"WITH {TOKENS} SELECT CAST(doc_id % {PARTS} AS INT) AS part, count(*) AS n, count(DISTINCT doc_id) AS docs FROM tokens GROUP BY ALL")
@@ -269,7 +269,6 @@ def sink_loglik(spark, sf_dir):
 
 @query()
 def fit_lda_ml(spark, sf_dir):
-    words = corpus.drop_stopwords(tokens(spark, sf_dir))
-    vocab = corpus.vocabulary(words)
-    docs = words.join(vocab, "word").groupBy("doc_id").agg(F.collect_list("word").alias("words"))
-    return builtin.fit_lda_ml(docs, vocab.count(), K, iters=5, seed=1)[1]
+    long, words = corpus_and_words(spark, sf_dir)
+    docs = store(long.groupBy("doc_id").agg(F.collect_list("word").alias("words")), "documents")
+    return builtin.fit_lda_ml(docs, words.count(), K, iters=5, seed=1)[1]

@@ -94,16 +94,17 @@ def dimension_rows(df: DataFrame, limit: int = MAX_DIMENSION_ROWS) -> list:
 def number_in_order(df: DataFrame, order_by: list[Column], name: str, start: int = 0) -> DataFrame:
     """Dense numbers in global sort order without sorting everything in one task.
 
-    Rows are range-partitioned and sorted, written once (range boundaries are
+    Rows are range-partitioned and sorted, stored once (range boundaries are
     sampled, so they must not be computed twice), then each partition is shifted
     by the number of rows before it. Only one row per partition reaches the
     running sum.
     """
     low_bits = (1 << 33) - 1
-    ranged = cut_lineage(
+    ranged = store(
         df.repartitionByRange(*order_by)
         .sortWithinPartitions(*order_by)
-        .withColumn("_row", F.monotonically_increasing_id())
+        .withColumn("_row", F.monotonically_increasing_id()),
+        "numbered",
     )
     part = F.shiftright("_row", 33)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
