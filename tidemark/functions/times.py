@@ -14,8 +14,11 @@ NEW_YORK = "America/New_York"
 
 
 def utc_instant(ntz: Column) -> Column:
-    """Instant of a wall-clock time that is meant as UTC."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), ntz))
+    """Instant of a wall-clock time that is meant as UTC.
+
+    A plain cast, and time differences too, would read it in the session zone.
+    """
+    return F.concat(ntz.cast("string"), F.lit("+00:00")).cast("timestamp")
 
 
 def utc_wall_clock(ts: Column) -> Column:

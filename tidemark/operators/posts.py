@@ -24,7 +24,7 @@ def decode_posts(raw: DataFrame, value: str = "value") -> tuple[DataFrame, DataF
     line = F.col(value).cast("string")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
     parsed = raw.select(
-        line.alias("_line"), F.inline(F.array(F.from_json(line, schemas.RAW_POST, options)))
+        line.alias("_line"), F.inline_outer(F.array(F.from_json(line, schemas.RAW_POST, options)))
     )
     bad = (F.col(schemas.CORRUPT).isNotNull()) | F.coalesce(F.trim("_line") == "", F.lit(True))
     posts = parsed.filter(~bad).drop("_line", schemas.CORRUPT)

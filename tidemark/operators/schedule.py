@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import explode_words
+
 # The page's markup, the start assumed where none is given, and the note on it.
 ITEM = r'(?s)class="debate-schedule-item".*?(?=class="debate-schedule-item"|\z)'
 PARTY = r'class="party"[^>]*>([^<]*)<'
@@ -25,7 +27,7 @@ def schedule_from_html(pages: DataFrame, html: str = "html") -> DataFrame:
     An item without a readable time gets the default start and a caveat.
     """
     keys = [c for c in pages.columns if c != html]
-    items = pages.select(*keys, F.explode(F.regexp_extract_all(html, F.lit(ITEM), F.lit(0))).alias("item"))
+    items = explode_words(pages, keys, F.regexp_extract_all(html, F.lit(ITEM), F.lit(0)), name="item")
     parts = items.select(
         *keys,
         F.substring_index(F.regexp_extract("item", PARTY, 1), " ", 1).alias("party"),

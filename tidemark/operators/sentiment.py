@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as tx
 from tidemark.functions import times as tm
-from tidemark.session import dimension_rows, store
+from tidemark.session import dimension_rows, explode_words, store
 from tidemark.sources.readers import GENERAL, select_party
 
 NEUTRAL = 5.0
@@ -302,7 +302,7 @@ def lexicon_coverage(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
     text = F.col("text")
     words = F.concat(marked(F.split(text, " ", -1), False), marked(tx.word_tokens(text), True))
     return (
-        posts.select("first_term", F.inline(words))
+        explode_words(posts, ["first_term"], words, name="w").select("first_term", "w.*")
         .groupBy("first_term", "is_token", "word").agg(F.lit(1).alias("seen"))
         .join(lexicon, "word", "left")
         .groupBy("first_term")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import whitespace_words
-from tidemark.session import number_in_order, store
+from tidemark.session import explode_words, number_in_order, store
 
 # Words left out of the topic model, as in the published runs.
 STOPWORDS = [
@@ -45,7 +45,7 @@ def lda_words(docs: DataFrame, edge_trim: bool = False, lower: bool = True) -> D
 
 def lda_tokens(docs: DataFrame, edge_trim: bool = False, lower: bool = True) -> DataFrame:
     """``(doc_id, pos, word)``, one row per word of every document."""
-    return lda_words(docs, edge_trim, lower).select("doc_id", F.posexplode("words").alias("pos", "word"))
+    return explode_words(lda_words(docs, edge_trim, lower), ["doc_id"], F.col("words"), "pos")
 
 
 def vocabulary(words: DataFrame, min_df: int = MIN_DF) -> DataFrame:
@@ -56,7 +56,7 @@ def vocabulary(words: DataFrame, min_df: int = MIN_DF) -> DataFrame:
     in every document costs no more than a rare one.
     """
     return (
-        words.select(F.explode(F.array_distinct("words")).alias("word"))
+        explode_words(words, [], F.array_distinct("words"))
         .groupBy("word").agg(F.count(F.lit(1)).alias("doc_freq"))
         .filter(F.col("doc_freq") >= min_df)
     )
@@ -114,14 +114,13 @@ def substring_positions(docs: DataFrame, target: str) -> DataFrame:
     before it add up to. Only the lengths leave the row.
     """
     pieces = F.split("text", r"(?=\Q" + target + r"\E)", -1)
+    lengths = F.transform(pieces, lambda piece: F.length(piece).cast("long"))
     before = Window.partitionBy("doc_id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    found = docs.filter(F.contains("text", F.lit(target))).withColumn(
+        "at_start", F.startswith("text", F.lit(target))
+    )
     return (
-        docs.filter(F.contains("text", F.lit(target)))
-        .select(
-            "doc_id",
-            F.startswith("text", F.lit(target)).alias("at_start"),
-            F.posexplode(F.transform(pieces, lambda piece: F.length(piece).cast("long"))).alias("i", "length"),
-        )
+        explode_words(found, ["doc_id", "at_start"], lengths, "i", "length")
         .select("doc_id", "i", "at_start", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("pos"))
         .filter((F.col("i") > 0) | F.col("at_start"))
         .select("doc_id", "pos")

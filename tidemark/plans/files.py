@@ -15,7 +15,7 @@ from tidemark.plans.parsing import (
     RECORD_SQL, RECORDS, SCHEDULE_SQL, flat, schedule_from_html, tagged_records,
 )
 from tidemark.plans.registry import query
-from tidemark.session import new_folder
+from tidemark.session import explode_words, new_folder
 from tidemark.sources import readers, writers
 
 # ---------------------------------------------------------------- readers
@@ -74,7 +74,7 @@ def pool_terms(spark, sf_dir):
 def word_counts(spark, sf_dir):
     tokens = tx.word_tokens(tx.ascii_only(F.col("text")))
     return (
-        sample.documents(spark, sf_dir).select(F.explode(tokens).alias("word"))
+        explode_words(sample.documents(spark, sf_dir), [], tokens)
         .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     )
 

@@ -11,7 +11,7 @@ from tidemark.plans.registry import fixed, fixed_sql, query
 from tidemark.session import store
 
 K = 10
-PARTS = 8
+PARTS = 32
 ALPHA, BETA = counts.ALPHA, counts.BETA
 
 
@@ -237,7 +237,9 @@ def lda_init(spark, sf_dir):
 def lda_gibbs_sweep(spark, sf_dir):
     state, words = fixed_state(spark, sf_dir)
     docs = store(gibbs.packed(state), "packed")
-    swept = gibbs.lda_gibbs_sweep(docs, gibbs.part_words(docs), PARTS, K, words.count(), step=1, seed=1)
+    swept = gibbs.lda_gibbs_sweep(
+        docs, counts.word_topic_counts(state), gibbs.part_words(docs), PARTS, K, words.count(), step=1, seed=1
+    )
     return part_sizes(gibbs.assignments(swept))
 
 
@@ -248,7 +250,7 @@ ITERATIONS = 3
 def fit_lda(spark, sf_dir):
     """A few iterations; per part, its words and whether its log-likelihood rose."""
     long, words = corpus_and_words(spark, sf_dir)
-    state, logliks = gibbs.fit_lda(long, words.count(), K, ITERATIONS, PARTS, seed=1)
+    state, _, logliks = gibbs.fit_lda(long, words.count(), K, ITERATIONS, PARTS, seed=1)
     ends = logliks.filter(F.col("iter") > 0).groupBy("part").agg(  # the first assignment saw local counts only
         F.min_by("loglik", F.struct("iter", F.col("phase") == "after")).alias("first"),
         F.max_by("loglik", F.struct("iter", F.col("phase") == "after")).alias("last"),
@@ -263,7 +265,7 @@ WHERE i > 0 OR phase = 'after'""")
 def sink_loglik(spark, sf_dir):
     """The stored log-likelihood rows of a fit, one per iteration, part and phase."""
     long, words = corpus_and_words(spark, sf_dir)
-    _, logliks = gibbs.fit_lda(long, words.count(), K, ITERATIONS, PARTS, seed=2)
+    _, _, logliks = gibbs.fit_lda(long, words.count(), K, ITERATIONS, PARTS, seed=2)
     return logliks.select("iter", "part", "phase", (F.col("loglik") < 0).alias("finite"))
 
 

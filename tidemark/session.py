@@ -66,6 +66,19 @@ def spread_out(df: DataFrame, parts: int | None = None) -> DataFrame:
     return df.repartition(parts) if df.rdd.getNumPartitions() < parts else df
 
 
+def explode_words(df: DataFrame, keep: list[str], words: Column, pos: str | None = None, name: str = "word") -> DataFrame:
+    """One row per element of a computed array; rows with an empty array vanish.
+
+    A plain ``explode`` makes Spark first filter on the array's size, which computes
+    a tokenised text twice. The outer form followed by a null test does not.
+    """
+    if pos is None:
+        rows = df.select(*keep, F.explode_outer(words).alias(name))
+    else:
+        rows = df.select(*keep, F.posexplode_outer(words).alias(pos, name))
+    return rows.filter(F.col(name).isNotNull())
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
