@@ -1,0 +1,173 @@
+"""Result store, series, schedule, prices and files."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators import pricing as pr
+from tidemark.operators import results as rs
+from tidemark.operators import schedule as sc
+from tidemark.session import dimension_rows, new_folder, number_in_order
+from tidemark.sources import readers, writers
+
+
+def test_summary_items(spark):
+    df = spark.createDataFrame(
+        [(30, "a", "gop", 3, 5.5, 1.25, 8.0, "good_one", 2.0, "bad"), (30, "b", "gop", 0, None, None, None, None, None, None)],
+        "batchtime LONG, first_term STRING, party STRING, num_posts LONG, sentiment_avg DOUBLE, sentiment_std DOUBLE, "
+        "high_score DOUBLE, high_text STRING, low_score DOUBLE, low_text STRING",
+    )
+    wide = {r["item"]: r for r in rs.eav_pivot(rs.summary_items(df), ["data", "timestamp", "candidate"]).collect()}
+    assert set(wide) == {"a_30", "b_30"}
+    assert (wide["a_30"].timestamp, wide["a_30"].candidate) == ("30", "a")
+    assert json.loads(wide["a_30"].data)["highest_sentiment_tweet"] == "8.0_good_one"
+    assert json.loads(wide["b_30"].data) == {
+        "party": "gop", "batchtime": "30", "num_tweets": "0", "sentiment_avg": "", "sentiment_std": "",
+        "highest_sentiment_tweet": "_", "lowest_sentiment_tweet": "_",
+    }
+
+
+def items(spark, *rows):
+    return spark.createDataFrame(rows, "candidate STRING, timestamp STRING, data STRING")
+
+
+def test_series_points(spark):
+    df = items(
+        spark, ("a", "10", '{"sentiment_avg": 5.555, "sentiment_std": NaN}'),
+        ("a", "40", '{"sentiment_avg": 0.0, "sentiment_std": -1}'), ("a", "70", '{"sentiment_avg": 6.125, "sentiment_std": 0.004}'),
+    )
+    rows = [tuple(r) for r in rs.series_points(df, offset_ms=5).orderBy("x").collect()]
+    assert rows == [("a", 10005, 5.56, None), ("a", 40005, None, None), ("a", 70005, 6.13, 0.0)]
+    series = rs.entity_series(rs.series_points(df)).collect()
+    assert len(series) == 1 and [p.x for p in series[0].points] == [10000, 40000, 70000]
+
+
+def test_append_series(spark):
+    schema = "entity STRING, x LONG, y DOUBLE"
+    master = spark.createDataFrame([("a", 1, 5.0)], schema)
+    fresh = spark.createDataFrame(
+        [("a", 2, None), ("b", 2, 6.0), ("b", 3, None), ("c", 2, None), ("c", 3, 7.0), ("d", 1, float("nan"))], schema
+    )
+    rows = {(r.entity, r.x) for r in rs.append_series(master, fresh).collect()}
+    assert rows == {("a", 1), ("a", 2), ("b", 2), ("b", 3)}
+    assert rs.append_series(spark.createDataFrame([], schema), fresh).count() == 6
+
+
+def test_range_reads(spark):
+    df = spark.createDataFrame([(t,) for t in range(0, 3000, 30)], "timestamp LONG")
+    assert rs.summary_range(df, 30, 90).count() == 3
+    assert rs.summary_range(df, 30, 0).count() == 1
+    assert [r.timestamp for r in rs.latest_closed_interval(df, 119).collect()] == [60]
+    phases = {r.phase: r["count"] for r in rs.initial_then_full(df, 0, 2400).groupBy("phase").count().collect()}
+    assert phases == {"initial": 41, "full": 81}
+    bounds = rs.time_bounds(df).first()
+    assert (bounds.first_ts, bounds.last_ts) == (0, 2970)
+
+
+def test_numbers_follow_the_global_order(spark):
+    df = spark.range(0, 5000, numPartitions=7).select(F.reverse(F.format_string("%05d", "id")).alias("k"))
+    rows = number_in_order(df, [F.col("k")], "n").orderBy("n").collect()
+    assert [r.n for r in rows] == list(range(5000))
+    assert [r.k for r in rows] == sorted(r.k for r in rows)
+    assert rs.number_rows(df, ["k"]).agg(F.min("row_id"), F.max("row_id")).first()[:] == (1, 5000)
+
+
+def test_big_dimensions_are_refused(spark):
+    assert len(dimension_rows(spark.range(10), 10)) == 10
+    with pytest.raises(ValueError):
+        dimension_rows(spark.range(11), 10)
+
+
+# ---------------------------------------------------------------- schedule
+
+
+def nearest(now, schedule, grace):
+    """The rule stated plainly: eligible events, smallest distance, lowest ordinal."""
+    found = [(abs(s - now), o, s) for o, s in schedule if s - now > 0 or abs(s - now) <= grace]
+    return min(found) if found else None
+
+
+@pytest.mark.parametrize("bucket", [7, 50, 1000])
+def test_nearest_event(spark, bucket):
+    schedule = [(0, 100), (1, 100), (2, 130), (5, 121), (3, 400), (4, 990)]
+    points = list(range(0, 1100, 3)) + [100, 115, 121, 990, 1000]
+    out = sc.nearest_event(
+        spark.createDataFrame([(i, p) for i, p in enumerate(points)], "id LONG, epoch LONG"),
+        spark.createDataFrame(schedule, "ordinal LONG, start LONG"), grace=30, bucket=bucket,
+    ).collect()
+    assert len(out) == len(points)
+    for row in out:
+        best = nearest(row.epoch, schedule, 30)
+        assert (row.ordinal, row.start) == ((best[1], best[2]) if best else (None, None)), row
+        assert row.delta == (None if best is None else best[2] - row.epoch)
+
+
+def item(date, label=None, party="Republican debate"):
+    time = f'<span class="label">Time:</span> {label}' if label is not None else ""
+    return (
+        f'<li class="debate-schedule-item"><span class="party">{party}</span>'
+        f'<span class="date">{date}</span>{time}</li>'
+    )
+
+
+def test_schedule_from_html(spark):
+    html = "<ul>" + "\n".join(
+        [
+            item("Sept. 16, 2015", "8:30 p.m. ET"), item("Oct. 13, 2015", "9 p.m. ET", "Democratic"),
+            item("March 3, 2016", "12:05 p.m."), item("May 1, 2016", "noon"), item("Jan. 9, 2016"),
+            item("To be announced", "9 p.m."), item("Feb. 31, 2016", "9 p.m."),
+        ]
+    ) + "</ul>"
+    rows = {r.date: r for r in sc.schedule_from_html(spark.createDataFrame([(html,)], "html STRING")).collect()}
+    assert {d: r.datetime for d, r in rows.items()} == {
+        "Sept 16 2015": "2015-09-16T20:30:00", "Oct 13 2015": "2015-10-13T21:00:00",
+        "March 3 2016": "2016-03-03T12:05:00", "May 1 2016": "2016-05-01T20:00:00", "Jan 9 2016": "2016-01-09T20:00:00",
+    }
+    assert rows["Sept 16 2015"].party == "Republican" and rows["Sept 16 2015"].caveat == ""
+    assert rows["Jan 9 2016"].caveat == rows["May 1 2016"].caveat == sc.CAVEAT
+
+
+def test_cheapest_group(spark):
+    rows = [
+        ("big", "a", 100, 0.2), ("big", "a", 200, 0.4), ("big", "b", 150, 0.25), ("big", "c", -99999, 0.01),
+        ("small", "a", 100, 0.01), ("small", "b", 100, 0.005),
+    ]
+    prices = spark.createDataFrame(rows, "item STRING, grp STRING, sec LONG, price DOUBLE").select(
+        "item", "grp", F.timestamp_seconds("sec").alias("ts"), "price"
+    )
+    now = F.timestamp_seconds(F.lit(300))
+    got = {r.item: r for r in pr.cheapest_group(prices, "big", "small", now, hours=3).collect()}
+    assert (got["big"].grp, got["big"].price, got["big"].bid) == ("b", 0.25, 0.3)
+    assert (got["small"].grp, got["small"].price, got["small"].bid) == ("b", 0.005, 0.015)
+    alone = pr.cheapest_group(prices.filter("item = 'big'"), "big", "small", now, hours=3).collect()
+    assert {r.item: (r.price, r.bid) for r in alone} == {"big": (0.25, 0.3), "small": (None, 0.015)}
+
+
+# ---------------------------------------------------------------- files
+
+
+def test_a_rewritten_batch_replaces_itself(spark):
+    path = new_folder(spark, "t")
+    df = spark.range(5)
+    for batch in (0, 1, 1):
+        writers.sink_posts(df, path, batch)
+    assert spark.read.parquet(path).count() == 10
+
+
+def test_delimited_documents(spark, tmp_path):
+    path = tmp_path / "docs.txt"
+    path.write_text("one two\n&&&&&three & four\nfive\n&&&&&six\n&&&&&\n")
+    docs = readers.scan_delimited_docs(spark, str(path)).orderBy("doc_id").collect()
+    assert [d.text for d in docs] == ["one two", "three & four\nfive", "six"]
+    assert len({d.doc_id for d in docs}) == 3
+
+
+def test_quoted_csv(spark):
+    path = new_folder(spark, "csv")
+    df = spark.createDataFrame([('a "quoted", value', "")], "v STRING, w STRING")
+    writers.sink_quoted_csv(df.coalesce(1), path)
+    lines = [r.value for r in spark.read.text(path).collect()]
+    assert '"v","w"' in lines and '"a ""quoted"", value",""' in lines

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -113,7 +115,7 @@ def substring_positions(docs: DataFrame, target: str) -> DataFrame:
     The text is cut in front of each occurrence; a piece starts where the lengths
     before it add up to. Only the lengths leave the row.
     """
-    pieces = F.split("text", r"(?=\Q" + target + r"\E)", -1)
+    pieces = F.split("text", f"(?={re.escape(target)})", -1)
     lengths = F.transform(pieces, lambda piece: F.length(piece).cast("long"))
     before = Window.partitionBy("doc_id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
     found = docs.filter(F.contains("text", F.lit(target))).withColumn(
