@@ -11,7 +11,7 @@ from tidemark.plans.registry import fixed, fixed_sql, query
 from tidemark.session import store
 
 K = 10
-PARTS = 32
+PARTS = 16
 ALPHA, BETA = counts.ALPHA, counts.BETA
 
 
