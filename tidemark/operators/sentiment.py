@@ -217,11 +217,21 @@ def entities_with_general(terms: DataFrame, party: str | None) -> list[tuple[str
 
 
 def zero_fill(counts: DataFrame, entities: list[tuple[str, str]], zeros: tuple[str, ...] = ("num_posts",)) -> DataFrame:
-    """Every entity in every interval seen; the absent ones report 0 in the ``zeros`` columns."""
+    """Every entity in every interval seen; the absent ones report 0 in the ``zeros`` columns.
+
+    The rows of an interval, at most one per entity, are gathered into a map and
+    looked up per listed entity, so ``counts`` is computed once and not joined
+    with itself.
+    """
+    values = [c for c in counts.columns if c not in ("batchtime", "first_term")]
     listed = F.array(*[F.struct(F.lit(e).alias("first_term"), F.lit(p).alias("party")) for e, p in entities])
-    grid = counts.select("batchtime").distinct().select("batchtime", F.inline(listed))
-    filled = grid.join(counts, ["batchtime", "first_term"], "left")
-    return filled.withColumns({c: F.coalesce(c, F.lit(0)) for c in zeros})
+    seen = F.map_from_entries(F.collect_list(F.struct("first_term", F.struct(*values))))
+    grid = counts.groupBy("batchtime").agg(seen.alias("seen")).select("batchtime", "seen", F.inline(listed))
+    found = F.try_element_at("seen", F.col("first_term"))
+    return grid.withColumn("found", found).select(
+        "batchtime", "first_term", "party",
+        *[F.coalesce(F.col(f"found.{c}"), F.lit(0)).alias(c) if c in zeros else F.col(f"found.{c}") for c in values],
+    )
 
 
 def entity_summary(
@@ -352,8 +362,13 @@ def score_histogram(posts: DataFrame, lexicon: DataFrame, bins: int = 15) -> Dat
     )
 
 
-def batch_row_counts(scored: DataFrame) -> DataFrame:
+def batch_row_counts(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Posts before and after dropping the unscored ones, per interval and entity."""
-    return scored.groupBy("batchtime", "first_term").agg(
-        F.count(F.lit(1)).alias("rows_in"), F.count("score_avg").alias("rows_scored")
+    return (
+        post_moments(posts, lexicon)
+        .groupBy("batchtime", "first_term")
+        .agg(
+            F.sum("n_rows").alias("rows_in"),
+            F.sum(F.when(F.col("n_words") > 0, F.col("n_rows")).otherwise(0)).alias("rows_scored"),
+        )
     )

@@ -180,6 +180,4 @@ def score_histogram(spark, sf_dir):
 SELECT batchtime, first_term, count(*) AS rows_in, count(n) AS rows_scored
 FROM tagged LEFT JOIN n USING (id) GROUP BY ALL""")
 def batch_row_counts(spark, sf_dir):
-    posts = sample.tagged_posts(spark, sf_dir)
-    scores = st.score_posts(posts, sample.lexicon(spark)).select("id", "score_avg")
-    return st.batch_row_counts(posts.select("id", "batchtime", "first_term").join(scores, "id", "left"))
+    return st.batch_row_counts(sample.tagged_posts(spark, sf_dir), sample.lexicon(spark))

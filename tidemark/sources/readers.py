@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.session import spread_out
 
 GENERAL = "general"
 
@@ -13,10 +14,11 @@ GENERAL = "general"
 def scan_archive(spark: SparkSession, path_glob: str, min_parts: int = 48) -> DataFrame:
     """Lines of (possibly gzipped) JSON-lines files as one ``value`` column.
 
-    A gzip file is one task however large it is, so the lines are spread out
-    right after the read, before any parsing.
+    A gzip file is one task however large it is, so the lines of a few files are
+    spread out right after the read, before any parsing. An archive that already
+    reads in ``min_parts`` pieces is not shuffled.
     """
-    return spark.read.text(path_glob).repartition(min_parts)
+    return spread_out(spark.read.text(path_glob), min_parts)
 
 
 def flatten_terms(dictionaries: DataFrame, value: str = "value") -> DataFrame:
