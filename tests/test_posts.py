@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,6 +120,25 @@ def test_unknown_party_is_an_error(spark, terms):
         ps.tag_entities(raw(spark, "x").withColumnRenamed("value", "text"), terms, "dem")
 
 
+def test_joined_tagging_equals_the_patterns(spark, monkeypatch):
+    rng = random.Random(7)
+    dictionary = {
+        "general": ["ab"],
+        "candidates": {"p": {"one": ["a", "b b"], "two": ["AB", "a@b"], "three": ["bab", "Ba"], "four": ["#b"]}},
+    }
+    terms = readers.flatten_terms(spark.createDataFrame([(json.dumps(dictionary),)], "value STRING"))
+    texts = ["".join(rng.choice("aAbB #@.é\n\u212a") for _ in range(rng.randrange(12))) for _ in range(300)]
+    posts = spark.createDataFrame(list(enumerate(texts)), "id LONG, text STRING")
+
+    def rows():
+        return {r.id: r.search_terms for r in ps.tag_entities(posts, terms).collect()}
+
+    by_pattern = rows()
+    monkeypatch.setattr(ps, "MAX_PATTERN_TERMS", 0)
+    assert rows() == by_pattern
+    assert len({tuple(v) for v in by_pattern.values()}) > 5
+
+
 def test_hashtags_are_searched_on_request(spark, terms):
     df = spark.createDataFrame([("nothing", ["randpaul"])], "text STRING, hashtags ARRAY<STRING>")
     assert ps.tag_entities(df, terms).first().search_terms == ["general"]

@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions import text as tx
 from tidemark.functions import times as tm
-from tidemark.session import dimension_rows
+from tidemark.operators import mentions
+from tidemark.session import dimension_rows, rows_if_small
 from tidemark.sources.readers import GENERAL, pool_terms, select_party
 
+MAX_PATTERN_TERMS = 2_000  # beyond this, a dictionary is joined instead of written into patterns
+
 # ---------------------------------------------------------------- decoding
 
 
@@ -46,19 +49,24 @@ def _no_links(posts: DataFrame) -> Column:
 def eligible_posts(
     posts: DataFrame, terms: DataFrame, mode: str = "strict", check_limit: bool = True
 ) -> DataFrame:
-    """Original English posts without links or media that mention a tracked term."""
-    pooled = [r.term for r in dimension_rows(pool_terms(terms))]
+    """Original English posts without links or media that mention a tracked term.
+
+    A dictionary beyond what a pattern can hold is joined instead (strict mode;
+    post ids must then be unique).
+    """
     keep = (
         F.col("delete").isNull()
         & F.col("retweeted_status").isNull()
         & _yes(F.col("lang") == "en")
         & _yes(_no_links(posts))
         & F.col("entities.media").isNull()
-        & _yes(tx.matches_terms(F.col("text"), pooled, mode))
     )
     if check_limit:
         keep = keep & F.col("limit").isNull()
-    return posts.filter(keep)
+    pooled = _inlined(pool_terms(terms), mode)
+    if pooled is None:
+        return mentions.mentioning(posts.filter(keep), terms)
+    return posts.filter(keep & _yes(tx.matches_terms(F.col("text"), [r.term for r in pooled], mode)))
 
 
 def eligible_geo(posts: DataFrame, needle: str | None = None) -> DataFrame:
@@ -115,9 +123,21 @@ def dedupe_posts(posts: DataFrame, keys: list[str] | None = None) -> DataFrame:
 # ---------------------------------------------------------------- tagging
 
 
-def entity_terms(terms: DataFrame, party: str | None) -> list[tuple[str, list[str]]]:
-    """``(entity, its terms)`` in dictionary order. An unknown party is an error."""
-    rows = dimension_rows(select_party(terms, party).select("entity", "entity_pos", "term", "term_pos"))
+def _inlined(terms: DataFrame, mode: str) -> list | None:
+    """Rows of a dictionary for patterns; None when it should be joined instead."""
+    if mode == "strict":
+        return rows_if_small(terms, MAX_PATTERN_TERMS)
+    return dimension_rows(terms)
+
+
+def entity_terms(terms: DataFrame, party: str | None, mode: str) -> list[tuple[str, list[str]]] | None:
+    """``(entity, its terms)`` in dictionary order, None when there are too many.
+
+    An unknown party is an error.
+    """
+    rows = _inlined(select_party(terms, party).select("entity", "entity_pos", "term", "term_pos"), mode)
+    if rows is None:
+        return None
     if not rows:
         raise ValueError(f"no terms for party {party!r}")
     grouped: dict[tuple[int, str], list] = {}
@@ -126,20 +146,29 @@ def entity_terms(terms: DataFrame, party: str | None) -> list[tuple[str, list[st
     return [(entity, [t for _, t in sorted(found)]) for (_, entity), found in sorted(grouped.items())]
 
 
+def _with_hashtags() -> Column:
+    """The text followed by its hashtags, each after `` #``."""
+    tags = F.transform("hashtags", lambda h: F.concat(F.lit(" #"), h))
+    return F.concat("text", F.array_join(tags, ""))
+
+
 def tag_entities(
     posts: DataFrame, terms: DataFrame, party: str | None = None, mode: str = "strict",
     include_hashtags: bool = False,
 ) -> DataFrame:
     """Add ``search_terms``: every entity the text mentions, else ``['general']``.
 
-    The dictionary is a small dimension and becomes one pattern per entity, so
-    tagging is a narrow projection: no join, no shuffle, whatever the entity mix.
+    A dictionary of ordinary size becomes one pattern per entity, so tagging is a
+    narrow projection: no join, no shuffle, whatever the entity mix. A large one is
+    joined instead (strict mode; post ids must then be unique).
     """
-    searched = F.col("text")
-    if include_hashtags:
-        tags = F.transform("hashtags", lambda h: F.concat(F.lit(" #"), h))
-        searched = F.concat(searched, F.array_join(tags, ""))
-    entities = entity_terms(terms, party)
+    entities = entity_terms(terms, party, mode)
+    if entities is None:
+        if include_hashtags:
+            posts = posts.withColumn("_text", F.col("text")).withColumn("text", _with_hashtags())
+        tagged = mentions.tag_entities_joined(posts, terms, party)
+        return tagged.withColumn("text", F.col("_text")).drop("_text") if include_hashtags else tagged
+    searched = _with_hashtags() if include_hashtags else F.col("text")
     flags = {f"_hit_{i}": tx.matches_terms(searched, found, mode) for i, (_, found) in enumerate(entities)}
     named = F.array_compact(F.array(*[F.when(F.col(f), F.lit(e)) for f, (e, _) in zip(flags, entities)]))
     return (
@@ -168,11 +197,14 @@ def entity_indicators(
     posts: DataFrame, terms: DataFrame, party: str | None = None, mode: str = "strict"
 ) -> DataFrame:
     """One 0/1 column ``is_<entity>`` per entity of the dictionary."""
+    entities = entity_terms(terms, party, mode)
+    if entities is None:
+        raise ValueError("too many terms for a column per entity; use tag_entities")
     return posts.select(
         "*",
         *[
             _yes(tx.matches_terms(F.col("text"), found, mode)).cast("int").alias(f"is_{entity}")
-            for entity, found in entity_terms(terms, party)
+            for entity, found in entities
         ],
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as tx
 from tidemark.functions import times as tm
+from tidemark.operators import mentions
 from tidemark.operators import posts as ps
 from tidemark.plans import sample
 from tidemark.plans.parsing import eligible, good_posts
@@ -101,6 +102,18 @@ def tag_entities(spark, sf_dir):
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 
+@query(f"""WITH d AS (SELECT doc_id AS id, text FROM documents)
+SELECT id, array_to_string({sample.hits_sql()}, '|') AS search_terms, regexp_matches(text, {POOLED}) AS mentioning FROM d""")
+def tag_entities_joined(spark, sf_dir):
+    """The same tagging by join, as for a dictionary too large for patterns."""
+    posts, terms = documents_as_posts(spark, sf_dir), sample.terms(spark)
+    any_term = mentions.mentioning(posts, terms).select("id", F.lit(True).alias("found"))
+    return mentions.tag_entities_joined(posts, terms).join(any_term, "id", "left").select(
+        "id", F.array_join("search_terms", "|").alias("search_terms"),
+        F.coalesce("found", F.lit(False)).alias("mentioning"),
+    )
+
+
 @query(f"WITH {sample.tagged_sql()} SELECT id, first_term, multiple_terms FROM tagged")
 def primary_entity(spark, sf_dir):
     return sample.tagged_posts(spark, sf_dir).select("id", "first_term", "multiple_terms")

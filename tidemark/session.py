@@ -96,10 +96,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def rows_if_small(df: DataFrame, limit: int) -> list | None:
+    """Rows of a dimension on the driver, or None when there are more than ``limit``."""
+    rows = df.limit(limit + 1).collect()
+    return rows if len(rows) <= limit else None
+
+
 def dimension_rows(df: DataFrame, limit: int = MAX_DIMENSION_ROWS) -> list:
     """Rows of a small dimension on the driver, refused above ``limit`` rows."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
+    rows = rows_if_small(df, limit)
+    if rows is None:
         raise ValueError(f"dimension has more than {limit} rows; join it instead of inlining it")
     return rows
 
