@@ -104,17 +104,17 @@ def test_loglik_against_the_formula(spark, themed):
     assert got == pytest.approx(expected)
 
 
-@pytest.mark.parametrize("parts", [1, 3])
-def test_sampler_finds_the_themes(spark, themed, parts):
+@pytest.mark.parametrize("parts, iters", [(1, 20), (3, 5)])
+def test_sampler_finds_the_themes(spark, themed, parts, iters):
     long, vocab = themed
     size = vocab.count()
-    state, word_topic, logliks = gibbs.fit_lda(long, size, k=2, iters=8, parts=parts, alpha=0.5, seed=5)
+    state, word_topic, logliks = gibbs.fit_lda(long, size, k=2, iters=iters, parts=parts, alpha=0.5, seed=5)
     assert state.count() == long.count()
     assert counts.check_counts(state, word_topic).count() == 0
     assert state.filter(~F.col("topic").between(0, 1)).count() == 0
     whole = logliks.filter("phase = 'after' and iter > 0").groupBy("iter").agg(F.sum("loglik").alias("v")).orderBy("iter")
     values = [r.v for r in whole.collect()]
-    assert len(values) == 8 and values[-1] >= values[0]
+    assert len(values) == iters and values[-1] >= values[0]
     if parts > 1:  # parts start from their own labels, so a short run need not agree on the themes
         return
     phi = counts.lda_phi(word_topic, 2, size)
