@@ -90,7 +90,7 @@ def nearest(now, schedule, grace):
     return min(found) if found else None
 
 
-@pytest.mark.parametrize("bucket", [7, 50, 1000])
+@pytest.mark.parametrize("bucket", [7, 50, 1000, None])
 def test_nearest_event(spark, bucket):
     schedule = [(0, 100), (1, 100), (2, 130), (5, 121), (3, 400), (4, 990)]
     points = list(range(0, 1100, 3)) + [100, 115, 121, 990, 1000]
@@ -105,6 +105,17 @@ def test_nearest_event(spark, bucket):
         assert row.delta == (None if best is None else best[2] - row.epoch)
 
 
+def test_fitting_bucket(spark):
+    def fit(starts, crowd):
+        df = spark.createDataFrame([(i, s) for i, s in enumerate(starts)], "ordinal LONG, start LONG")
+        return sc.fitting_bucket(df, widest=64, crowd=crowd)
+
+    assert fit([0, 1, 2, 100], 3) == 64
+    assert fit([0, 1, 2, 100], 2) == 1
+    assert fit([5, 5, 5, 5], 1) == 64  # equal starts are one event
+    assert fit([], 1) == 1
+
+
 def item(date, label=None, party="Republican debate"):
     time = f'<span class="label">Time:</span> {label}' if label is not None else ""
     return (

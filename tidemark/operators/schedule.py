@@ -58,8 +58,26 @@ def schedule_from_html(pages: DataFrame, html: str = "html") -> DataFrame:
     )
 
 
+def fitting_bucket(schedule: DataFrame, widest: int = 86_400, crowd: int = 8) -> int:
+    """The widest bucket (seconds) that holds at most ``crowd`` different starts anywhere.
+
+    One second always does. Only one number per candidate width reaches the driver.
+    """
+    widths = sorted({max(1, widest // 4**i) for i in range(12)})
+    most = (
+        schedule.select("start").distinct()
+        .select(F.explode(F.array(*[F.lit(w) for w in widths])).alias("width"), "start")
+        .groupBy("width", F.floor(F.col("start") / F.col("width")).alias("bucket")).count()
+        .groupBy("width").agg(F.max("count").alias("most"))
+        .filter(F.col("most") <= crowd)
+        .agg(F.max("width").alias("width"))
+        .first()
+    )
+    return most.width or 1
+
+
 def nearest_event(
-    points: DataFrame, schedule: DataFrame, grace: int = 3 * 3600, bucket: int = 86_400
+    points: DataFrame, schedule: DataFrame, grace: int = 3 * 3600, bucket: int | None = None
 ) -> DataFrame:
     """The next event of every instant, or one that began at most ``grace`` seconds ago, whichever is closer.
 
@@ -69,10 +87,13 @@ def nearest_event(
 
     Two neighbouring events bound a stretch of time, and every instant lies in one
     stretch. Stretches are cut at bucket borders and matched to the instants on the
-    bucket, an equi-join that Spark may broadcast or shuffle. Neighbours are found
-    inside each bucket; only one row per bucket of the time axis takes part in the
-    step that looks across buckets, so its size depends on the time range alone.
+    bucket, an equi-join that Spark may broadcast or shuffle. Unless given, the
+    bucket is chosen so that no instant is compared with more than a few stretches.
+    Neighbours are found inside each bucket; only one row per bucket in use takes
+    part in the step that looks across buckets, so its size depends on the time
+    range, not on the number of instants.
     """
+    bucket = bucket or fitting_bucket(schedule)
     events = schedule.groupBy("start").agg(F.min("ordinal").alias("ordinal"))
     point_bucket = F.floor(F.col("epoch") / bucket)
 

@@ -58,7 +58,7 @@ def nearest_event(spark, sf_dir):
     schedule = events.filter(F.col("event_type") == "purchase").select(
         F.col("event_id").alias("ordinal"), F.col("epoch").alias("start")
     )
-    return sc.nearest_event(events.select("event_id", "epoch"), schedule, grace=GRACE, bucket=3600)
+    return sc.nearest_event(events.select("event_id", "epoch"), schedule, grace=GRACE)
 
 
 # ---------------------------------------------------------------- stored results

@@ -20,8 +20,6 @@ def local_session(cores: str = "*", app: str = "tidemark", **conf: str) -> Spark
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.adaptive.enabled": "true",
         "spark.driver.memory": "8g",
-        # superseded topic-model states are dropped once nothing refers to them
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
@@ -90,12 +88,6 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder (survives lost executors)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def rows_if_small(df: DataFrame, limit: int) -> list | None:
     """Rows of a dimension on the driver, or None when there are more than ``limit``."""
     rows = df.limit(limit + 1).collect()
