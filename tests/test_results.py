@@ -67,6 +67,16 @@ def test_range_reads(spark):
     assert (bounds.first_ts, bounds.last_ts) == (0, 2970)
 
 
+def test_range_reads_prune_days(spark):
+    path = new_folder(spark, "days")
+    df = spark.range(0, 10 * 86_400, 3600).select(F.col("id").alias("timestamp"))
+    writers.sink_results(df, path)
+    read = rs.summary_range(readers.scan_results(spark, path), 2 * 86_400, 4 * 86_400)
+    assert read.count() == 49
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "(day" in plan
+
+
 def test_numbers_follow_the_global_order(spark):
     df = spark.range(0, 5000, numPartitions=7).select(F.reverse(F.format_string("%05d", "id")).alias("k"))
     rows = number_in_order(df, [F.col("k")], "n").orderBy("n").collect()

@@ -80,6 +80,18 @@ def test_windowed_counts(spark, terms, folder):
     assert {tuple(r) for r in spark.table("window_counts").collect()} == {tuple(r) for r in batch.collect()}
 
 
+def test_repeated_posts_are_dropped_within_the_watermark(spark):
+    path = new_folder(spark, "repeats")
+    spark.createDataFrame([("1",), ("1",), ("2",)], "value STRING").repartition(1).write.text(path)
+    raw = jobs.replay_stream(spark, path).withColumn("ts", F.timestamp_seconds(F.lit(100))).withWatermark("ts", "1 minute")
+    query = (
+        ps.dedupe_posts(raw, ["value"]).writeStream.format("memory").queryName("repeats")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert sorted(r.value for r in spark.table("repeats").collect()) == ["1", "2"]
+
+
 def test_bounded_run_stops_an_endless_query(spark, folder):
     query = jobs.replay_stream(spark, folder).writeStream.format("noop").start()
     assert jobs.run_bounded(query, minutes=0.05, poll_seconds=0.5) is False

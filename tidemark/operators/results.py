@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.session import number_in_order
+from tidemark.sources.writers import DAY
 
 
 def summary_items(summary: DataFrame) -> DataFrame:
@@ -60,9 +61,15 @@ def eav_pivot(eav: DataFrame, names: list[str], id_col: str = "item") -> DataFra
 
 
 def summary_range(results: DataFrame, start: int, end: int = 0) -> DataFrame:
-    """Rows of the closed time range, or of exactly ``start`` when ``end`` is not positive."""
-    ts = F.col("timestamp")
-    return results.filter(ts.between(start, end) if end > 0 else ts == start)
+    """Rows of the closed time range, or of exactly ``start`` when ``end`` is not positive.
+
+    Results stored by day are read from the days of the range only.
+    """
+    last = end if end > 0 else start
+    rows = results.filter(F.col("timestamp").between(start, last))
+    if "day" in results.columns:
+        rows = rows.filter(F.col("day").between(start // DAY, last // DAY))
+    return rows
 
 
 def latest_closed_interval(results: DataFrame, now: int, seconds: int = 30) -> DataFrame:

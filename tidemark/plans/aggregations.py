@@ -133,6 +133,11 @@ def count_series(spark, sf_dir):
     return st.count_series(sample.tagged_posts(spark, sf_dir, 30))
 
 
+@query(f"WITH {TAGGED} SELECT DISTINCT first_term FROM tagged")
+def distinct_entities(spark, sf_dir):
+    return st.distinct_entities(sample.tagged_posts(spark, sf_dir))
+
+
 LOCAL_MINUTE = "minute((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York')"
 
 

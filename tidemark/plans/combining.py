@@ -15,7 +15,8 @@ from tidemark.plans.aggregations import (
 )
 from tidemark.plans.parsing import registered_days
 from tidemark.plans.registry import fixed, fixed_sql, query
-from tidemark.session import store
+from tidemark.session import new_folder
+from tidemark.sources import readers, writers
 
 ENTITIES = ", ".join(f"('{e}', '{p}')" for p, e, _ in sample.entity_list())
 
@@ -75,6 +76,13 @@ def results(spark, sf_dir):
     )
 
 
+def stored_results(spark, sf_dir):
+    """The results as a table in day folders."""
+    path = new_folder(spark, "results")
+    writers.sink_results(results(spark, sf_dir), path)
+    return readers.scan_results(spark, path)
+
+
 START = 1704067200  # 2024-01-01 00:00 UTC, where the events begin
 RANGE = (START + 2 * 3600, START + 30 * 3600)
 
@@ -83,23 +91,24 @@ RANGE = (START + 2 * 3600, START + 30 * 3600)
 SELECT 'range' AS kind, * FROM results WHERE timestamp BETWEEN {RANGE[0]} AND {RANGE[1]} UNION ALL
 SELECT 'exact', * FROM results WHERE timestamp = {RANGE[0]}""")
 def summary_range(spark, sf_dir):
-    stored = results(spark, sf_dir)
+    stored = stored_results(spark, sf_dir)
     return (
         rs.summary_range(stored, *RANGE).withColumn("kind", F.lit("range"))
         .unionByName(rs.summary_range(stored, RANGE[0], 0).withColumn("kind", F.lit("exact")))
+        .drop("day")
     )
 
 
 @query(f"WITH {SCORED}, {RESULTS_SQL} SELECT * FROM results WHERE timestamp = {START + 4 * 3600}")
 def latest_closed_interval(spark, sf_dir):
-    return rs.latest_closed_interval(results(spark, sf_dir), START + 5 * 3600 + 1234, 3600)
+    return rs.latest_closed_interval(stored_results(spark, sf_dir), START + 5 * 3600 + 1234, 3600).drop("day")
 
 
 @query(f"""WITH {SCORED}, {RESULTS_SQL}
 SELECT 'initial' AS phase, * FROM results WHERE timestamp BETWEEN {RANGE[0]} AND {RANGE[0] + 1200} UNION ALL
 SELECT 'full', * FROM results WHERE timestamp BETWEEN {RANGE[0]} AND {RANGE[1]}""")
 def initial_then_full(spark, sf_dir):
-    return rs.initial_then_full(results(spark, sf_dir), *RANGE)
+    return rs.initial_then_full(stored_results(spark, sf_dir), *RANGE).drop("day")
 
 
 @query(f"WITH {TAGGED} SELECT min(batchtime) AS first_ts, max(batchtime) AS last_ts FROM tagged")
@@ -151,8 +160,7 @@ SELECT entity, x, y FROM master UNION ALL SELECT entity, x, y FROM fresh WHERE e
 
 @query(APPENDED_SQL)
 def append_series(spark, sf_dir):
-    stored = store(results(spark, sf_dir), "results")
-    points = stored.select(
+    points = stored_results(spark, sf_dir).select(
         "entity", F.col("timestamp").alias("x"), F.when(F.col("score") > 0, fixed("score", 2)).alias("y")
     )
     master = points.filter((F.col("entity") != "general") & (F.col("x") < RANGE[1]))

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import ascii_only
 
+DAY = 86_400
+
 
 def sink_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """One batch of a table; writing the same batch again replaces it."""
@@ -30,6 +32,12 @@ def sink_summary(items: DataFrame, path: str, batch_id: int = 0) -> None:
     sink_batch(items, path, batch_id)
 
 
+def sink_results(results: DataFrame, path: str) -> None:
+    """Result rows in one folder per UTC day of their ``timestamp``, which range reads prune by."""
+    day = F.floor(F.col("timestamp") / DAY).cast("int")
+    results.withColumn("day", day).write.mode("overwrite").partitionBy("day").parquet(path)
+
+
 def sink_gzip_text(df: DataFrame, path: str) -> None:
     """Records as gzipped JSON lines."""
     df.write.mode("overwrite").option("compression", "gzip").json(path)
