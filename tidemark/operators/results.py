@@ -13,6 +13,7 @@ from tidemark.sources.writers import DAY
 def summary_items(summary: DataFrame) -> DataFrame:
     """Store items ``(item, name, value)``: key ``entity_interval``, three attributes each.
 
+    The attribute and field names are fixed: they are what readers of the store expect.
     The data attribute is the summary as a JSON object of texts, with the extremes
     in the ``score_text`` form and blanks where there is nothing.
     """

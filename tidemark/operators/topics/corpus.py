@@ -19,6 +19,7 @@ STOPWORDS = [
     "from", "about", "this", "do", "out", "have",
     "so", "will", "like", "&amp;", "but", "",
 ]
+SERIAL_STOPWORDS = [*STOPWORDS[:-1], "w\\/"]
 MIN_DF = 5
 
 
