@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import minmax
+from tidemark.llm import minmax, packing, tokenfiles
+from tidemark.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,16 +17,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of at most 1024 tokens, packed into sequences."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.packed_documents(table(spark, sf_dir, "documents"), path, end_id=2, with_ids=False)
+
+
 def op5_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents."""
     return minmax.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written as files and indexed from what is read back."""
+    path = new_folder(spark, "tokens")
+    tokenfiles.write_tokens(
+        table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1
+    )
+    return tokenfiles.read_index(spark, path).drop("part")
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
         for f in (
+            op1_sum_of_squares_packing,
             op5_minmax_dedup,
+            op7_token_files,
         )
     }
 
