@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import minmax, packing, tokenfiles
+from tidemark.llm import forest, minmax, packing, tokenfiles
 from tidemark.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), path, end_id=2, with_ids=False)
 
 
+def op2_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate links of all vectors within a label."""
+    return forest.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents."""
     return minmax.near_duplicates(table(spark, sf_dir, "documents"))
@@ -42,6 +47,7 @@ def queries() -> dict[str, Query]:
         f.__name__: f
         for f in (
             op1_sum_of_squares_packing,
+            op2_projection_forest,
             op5_minmax_dedup,
             op7_token_files,
         )
