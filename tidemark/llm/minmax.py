@@ -20,8 +20,10 @@ PERMUTATIONS = 30
 BAND = 3
 CHUNK = 256
 MEMBERS = 64
-ESTIMATE = 0.5
-_FEATURES = "n_shingles long, d1 long, d2 long, bands array<long>, sketch binary"
+WHOLE = 1024
+DEVIATIONS = 4
+COLUMNS = 1 << 14
+_FEATURES = "n_shingles long, d1 long, d2 long, bands array<long>"
 
 
 def signatures(
@@ -54,7 +56,7 @@ def band_keys(values: np.ndarray, band: int = BAND) -> np.ndarray:
 
 
 def features(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """Per document: set size, a 128-bit digest of the set, band keys and a short sketch.
+    """Per document: set size, a 128-bit digest of the set, and band keys.
 
     A null text counts as empty: size 0, no bands. ``mark`` tells rows of one id apart
     by their text.
@@ -74,8 +76,6 @@ def features(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
                 digests[0, full] = np.add.reduceat(mixed(sets), begins)
                 digests[1, full] = np.add.reduceat(mixed(sets ^ np.uint64(0x5851F42D4C957F2D)), begins)
             at_bands = np.concatenate([[0], np.cumsum(full * keys.shape[1])]).astype(np.int32)
-            short = iter((values >> np.uint64(48)).astype(np.uint16))
-            sketches = [next(short).tobytes() if one else b"" for one in full]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -84,9 +84,8 @@ def features(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
                     pa.array(digests[0].view(np.int64)),
                     pa.array(digests[1].view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(at_bands), pa.array(keys.reshape(-1).view(np.int64))),
-                    pa.array(sketches, type=pa.binary()),
                 ],
-                names=["doc_id", "mark", "n_shingles", "d1", "d2", "bands", "sketch"],
+                names=["doc_id", "mark", "n_shingles", "d1", "d2", "bands"],
             )
 
     return _texts(docs, key, text).mapInArrow(run, f"doc_id long, mark long, {_FEATURES}")
@@ -139,12 +138,114 @@ def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: i
     return rows.select("g", "salt", "part", "doc_id", "text").mapInArrow(run, "a long, b long")
 
 
+def _sketches(rows: DataFrame, width: int) -> DataFrame:
+    """Shortened hashes of the shingles of documents that are given with their text.
+
+    A set of up to ``WHOLE`` shingles is kept whole. From larger ones only hashes below a
+    bound are kept, which halves with each doubling of the size (``halvings`` times), so
+    that sets of like size are sampled alike.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            sets, ends = shingle_sets(*utf8_view(batch.column("text")), width)
+            short = (mixed(sets) >> np.uint64(32)).astype(np.uint32)
+            halvings = np.ceil(np.log2(np.maximum(np.diff(ends), 1) / WHOLE)).clip(0).astype(np.int32)
+            kept = []
+            for low, high, times in zip(ends[:-1], ends[1:], halvings, strict=True):
+                own = np.unique(short[low:high])
+                kept.append(own[: np.searchsorted(own, (1 << 32) >> int(times))].tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("mark"), pa.array(halvings), pa.array(kept, pa.binary())],
+                names=["doc_id", "mark", "halvings", "sketch"],
+            )
+
+    return rows.mapInArrow(run, "doc_id long, mark long, halvings int, sketch binary")
+
+
+def _shared(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
+    """Number of common values of every set of the one list with every set of the other."""
+    every = first + second
+    sizes = [len(x) for x in every]
+    _, column, times = np.unique(np.concatenate(every), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(every)), sizes)
+    common = times > 1
+    place = np.cumsum(common) - 1
+    owner, column = owner[common[column]], place[column[common[column]]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(first), len(second)), dtype=np.float32)
+    for low in range(0, int(common.sum()), COLUMNS):
+        a, b = np.searchsorted(column, [low, low + COLUMNS])
+        here = np.zeros((len(every), COLUMNS), dtype=np.float32)
+        here[owner[a:b], column[a:b] - low] = 1
+        out += here[: len(first)] @ here[len(first) :].T
+    return out
+
+
+def _alike(group: pd.DataFrame, percent: int) -> pd.DataFrame | None:
+    """Pairs of a chunk pair that lie in different components and reach ``percent``.
+
+    Where both sets are whole the similarity is exact, and of the pairs found only those
+    are returned that join components not yet joined here. Sampled sets count as reaching
+    the mark up to ``DEVIATIONS`` standard errors below it, and all such pairs are returned.
+    """
+    doc, mark, component, size, own, halvings = (
+        group[c].to_numpy() for c in ("doc_id", "mark", "component", "n_shingles", "own", "halvings")
+    )
+    sets = [np.frombuffer(x, np.uint32) for x in group["sketch"]]
+    low, high = group["low"].iloc[0], group["high"].iloc[0]
+    first, second = np.flatnonzero(own == low), np.flatnonzero(own == high)
+    if not len(first) or not len(second):
+        return None
+    pairs = []
+    for times in np.unique(halvings[np.concatenate([first, second])]).tolist():
+        bound = (1 << 32) >> times
+        left = first[np.isin(halvings[first], (times - 1, times))]
+        right = second[np.isin(halvings[second], (times - 1, times))]
+        if not len(left) or not len(right):
+            continue
+        cut = {x: sets[x][: np.searchsorted(sets[x], bound)] for x in {*left.tolist(), *right.tolist()}}
+        both = _shared([cut[x] for x in left.tolist()], [cut[x] for x in right.tolist()])
+        counts = {x: len(v) for x, v in cut.items()}
+        total = np.array([counts[x] for x in left.tolist()])[:, None] + [counts[x] for x in right.tolist()] - both
+        slack = 0 if times == 0 else DEVIATIONS * np.sqrt(0.1875 / np.maximum(total, 1))
+        good = both + 1e-3 >= (percent / 100 - slack) * total
+        good &= component[left][:, None] != component[right][None, :]
+        good &= np.maximum(halvings[left][:, None], halvings[right][None, :]) == times
+        smaller, larger = np.minimum(size[left][:, None], size[right]), np.maximum(size[left][:, None], size[right])
+        good &= 100 * smaller >= percent * larger
+        if low == high:
+            good &= left[:, None] < right[None, :]
+        i, j = np.nonzero(good)
+        pairs += zip(left[i].tolist(), right[j].tolist(), [times] * len(i), strict=True)
+    joined = {c: c for c in set(component.tolist())}
+
+    def root(c: int) -> int:
+        while joined[c] != c:
+            joined[c] = joined[joined[c]]
+            c = joined[c]
+        return c
+
+    out = []
+    for i, j, times in pairs:
+        one, other = root(component[i]), root(component[j])
+        if times or one != other:
+            out.append((i, j) if doc[i] <= doc[j] else (j, i))
+        if not times:
+            joined[one] = other
+    if not out:
+        return None
+    i, j = np.array(out).T
+    return pd.DataFrame({"a": doc[i], "a_mark": mark[i], "b": doc[j], "b_mark": mark[j]})
+
+
 def _within_buckets(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket that lie in different components so far and look alike enough.
+    """Pairs to confirm across the components that one bucket still holds.
 
-    ``rows`` has key, m (size of the bucket), centre, doc_id, mark, n_shingles, component,
-    sketch. Buckets are cut into chunks, and every two chunks meet once, so a task holds
-    two chunks whatever the size of the bucket.
+    ``rows`` has key, m (size of the bucket), doc_id, mark, n_shingles, component, halvings
+    and sketch. Buckets are cut into chunks, and every two chunks meet once, so a task
+    holds two chunks whatever the size of the bucket.
     """
     parts = F.ceil(F.col("m") / CHUNK).cast("int")
     dealt = rows.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("doc_id", "mark"), "parts").cast("int"))
@@ -153,44 +254,20 @@ def _within_buckets(rows: DataFrame, percent: int) -> DataFrame:
     )
     met = met.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame | None:
-        size, component = group["n_shingles"].to_numpy(), group["component"].to_numpy()
-        own, doc = group["own"].to_numpy(), group["doc_id"].to_numpy()
-        low, high = group["low"].iloc[0], group["high"].iloc[0]
-        sketch = np.stack([np.frombuffer(x, np.uint16) for x in group["sketch"]])
-        spokes = doc != group["centre"].to_numpy()
-        first = np.flatnonzero((own == low) & spokes)
-        second = np.flatnonzero((own == high) & spokes)
-        found = []
-        for i in first:
-            j = second[second > i] if low == high else second
-            j = j[component[j] != component[i]]
-            j = j[100 * np.minimum(size[j], size[i]) >= percent * np.maximum(size[j], size[i])]
-            if len(j):
-                j = j[(sketch[j] == sketch[i]).mean(axis=1) >= ESTIMATE]
-                found += [(i, x) for x in j]
-        if not found:
-            return None
-        i, j = np.array(found).T
-        i, j = np.where(doc[i] < doc[j], i, j), np.where(doc[i] < doc[j], j, i)
-        mark = group["mark"].to_numpy()
-        return pd.DataFrame({"a": doc[i], "a_mark": mark[i], "b": doc[j], "b_mark": mark[j]})
-
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: pd.DataFrame | None = None
         for frame in frames:
             held = frame if held is None else pd.concat([held, frame], ignore_index=True)
             tags = held[["key", "low", "high"]].to_numpy()
-            cuts = np.flatnonzero((tags[1:] != tags[:-1]).any(axis=1)) + 1
-            begins = np.concatenate([[0], cuts])
+            begins = np.concatenate([[0], np.flatnonzero((tags[1:] != tags[:-1]).any(axis=1)) + 1])
             for begin, end in zip(begins[:-1], begins[1:], strict=True):
-                if (pairs := compare(held.iloc[begin:end])) is not None:
+                if (pairs := _alike(held.iloc[begin:end], percent)) is not None:
                     yield pairs
             held = held.iloc[begins[-1] :].reset_index(drop=True)
-        if held is not None and len(held) and (pairs := compare(held)) is not None:
+        if held is not None and len(held) and (pairs := _alike(held, percent)) is not None:
             yield pairs
 
-    wanted = ["key", "low", "high", "own", "centre", "doc_id", "mark", "n_shingles", "component", "sketch"]
+    wanted = ["key", "low", "high", "own", "doc_id", "mark", "n_shingles", "component", "halvings", "sketch"]
     return (
         met.select(*wanted)
         .mapInPandas(run, "a long, a_mark long, b long, b_mark long")
@@ -209,14 +286,15 @@ def near_duplicates(
     1. one pass over the texts takes min-max signatures, band keys and set digests;
     2. documents with equal sets form a class; only its smallest id goes on;
     3. in every bucket of a band all documents are confirmed against the smallest one;
-    4. where a bucket still holds several components, pairs across them are compared by
-       sketch, two chunks at a time, and those that look alike are confirmed too;
+    4. where a bucket still holds several components, pairs across them are compared
+       inside tasks, two chunks at a time: exactly up to ``WHOLE`` shingles, above that on
+       a sample of the hashes; what links components is confirmed too;
     5. links and classes give the components.
 
     With 20 bands of three values a pair at 0.75 exactly is missed with probability
-    0.00002. Step 4 drops pairs whose 60 signature values agree on less than half, which
-    at 0.75 is more than four standard errors away. Nothing else is estimated: a link
-    always rests on the whole sets.
+    0.00002. In step 4 pairs of larger sets are left out where the sample puts them more
+    than four standard errors below the mark. Nothing else is estimated: a link always
+    rests on the whole sets.
 
     Null or empty texts and texts without words have size 0 and link with nothing. Rows
     with one id and different texts are judged apart, under that id; exact repeats of a
@@ -269,9 +347,11 @@ def near_duplicates(
         .filter("c0 <> c1")
         .select("key")
     )
-    left = named.join(open_keys, "key", "left_semi").join(
-        heads.select("doc_id", "mark", "sketch").hint("shuffle_hash"), ["doc_id", "mark"]
-    )
+    left = named.join(open_keys, "key", "left_semi").select("key", "m", "doc_id", "mark", "n_shingles", "component")
+    left = store(left, "open-buckets")
+    asked = left.select("doc_id", "mark").distinct().hint("shuffle_hash")
+    seen = _texts(docs, key, text).join(asked, ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"])
+    left = left.join(store(_sketches(seen, width), "sketches"), ["doc_id", "mark"])
     more = store(_within_buckets(left, percent), "inner-pairs")
     if not more.isEmpty():
         links = store(links.unionByName(confirmed(more, docs, key, text, percent, width)), "links")
