@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import forest, minmax, packing, tokenfiles
+from tidemark.llm import forest, minmax, packing, pstable, tokenfiles
 from tidemark.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +34,11 @@ def op5_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_multiprobe_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one among all."""
+    return pstable.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written as files and indexed from what is read back."""
     path = new_folder(spark, "tokens")
@@ -49,6 +55,7 @@ def queries() -> dict[str, Query]:
             op1_sum_of_squares_packing,
             op2_projection_forest,
             op5_minmax_dedup,
+            op6_multiprobe_search,
             op7_token_files,
         )
     }
