@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import forest, linetree, minmax, packing, pstable, tokenfiles
+from tidemark.llm import forest, linetree, minmax, packing, pstable, pu, tokenfiles
 from tidemark.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,11 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read_index(spark, path).drop("part")
 
 
+def op8_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents."""
+    return pu.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines whose templates recur across them."""
     return linetree.drop_recurring(table(spark, sf_dir, "documents"))
@@ -62,6 +67,7 @@ def queries() -> dict[str, Query]:
             op5_minmax_dedup,
             op6_multiprobe_search,
             op7_token_files,
+            op8_pu_quality,
             op10_line_templates,
         )
     }
