@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import forest, linetree, minmax, packing, pstable, pu, tokenfiles
-from tidemark.session import new_folder
+from tidemark.llm import chat, forest, linetree, minmax, packing, pstable, pu, tagpaths, tokenfiles
+from tidemark.session import new_folder, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,21 @@ def op2_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op3_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return tagpaths.extracted(table(spark, sf_dir, "pages"))
+
+
+def op4_chat_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one made of control strings, formatted, stored and read back."""
+    said = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(store(chat.formatted(turns), "chat"))
+
+
 def op5_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents."""
     return minmax.near_duplicates(table(spark, sf_dir, "documents"))
@@ -64,6 +79,8 @@ def queries() -> dict[str, Query]:
         for f in (
             op1_sum_of_squares_packing,
             op2_projection_forest,
+            op3_tag_path_ratios,
+            op4_chat_assembly,
             op5_minmax_dedup,
             op6_multiprobe_search,
             op7_token_files,
