@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, forest, linetree, minmax, packing, pstable, pu, tagpaths, tokenfiles
+from tidemark.llm import chat, forest, linetree, minmax, nbest, packing, pstable, pu, tagpaths, tokenfiles
 from tidemark.session import new_folder, store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,12 @@ def op8_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three best segmentations of all documents, decoded again."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return nbest.segmentations(table(spark, sf_dir, "documents"), path, with_ids=False)
+
+
 def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines whose templates recur across them."""
     return linetree.drop_recurring(table(spark, sf_dir, "documents"))
@@ -85,6 +91,7 @@ def queries() -> dict[str, Query]:
             op6_multiprobe_search,
             op7_token_files,
             op8_pu_quality,
+            op9_nbest_pieces,
             op10_line_templates,
         )
     }
