@@ -6,7 +6,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -147,13 +146,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Dat
     whole = checked.filter(full).withColumns({"sequence_id": -1 - row, "offset": F.lit(0).cast("long")})
     open_rows = checked.filter(~full).withColumn("_group", F.pmod(row, F.lit(groups)))
 
-    def place(rows: pd.DataFrame) -> pd.DataFrame:
-        sequence, offset = sum_of_squares(rows["length"].to_numpy(), capacity)
-        return rows.drop(columns="_group").assign(
-            sequence_id=(rows["_group"].to_numpy().astype(np.int64) << 32) + sequence, offset=offset
-        )
+    def place(rows: pa.Table) -> pa.Table:
+        sequence, offset = sum_of_squares(rows["length"].to_numpy().astype(np.int64), capacity)
+        sequence += rows["_group"].to_numpy().astype(np.int64) << 32
+        rows = rows.drop_columns(["_group"])
+        return rows.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
-    placed = open_rows.groupBy("_group").applyInPandas(place, whole.schema)
+    placed = open_rows.groupBy("_group").applyInArrow(place, whole.schema)
     return whole.unionByName(placed)
 
 
