@@ -1,0 +1,22 @@
+from __future__ import annotations
+
+import pytest
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, mark string, row int, length string, _text int, _row int"
+
+
+@pytest.fixture
+def docs_of(spark):
+    """Documents from (id, text) pairs, with columns whose names an operator may use itself."""
+
+    def make(*rows):
+        return spark.createDataFrame(
+            [(i, t, "en", "src0", None if t is None else len(t), "m", 1, "x", 2, 3) for i, t in rows], DOCS
+        )
+
+    return make
+
+
+@pytest.fixture
+def empty_docs(spark):
+    return spark.createDataFrame([], DOCS)

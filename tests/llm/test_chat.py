@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import hashlib
+
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidemark.llm import catalog, chat
+
+TEXTS = st.lists(
+    st.tuples(*[st.lists(st.sampled_from(["\\", "###", "#", "</turn>", "<", ":", "\n", " ", "é", "😀", "x"]), max_size=8).map("".join)] * 2),
+    max_size=6,
+)
+
+
+def digests(turns):
+    whole, loss, chars = hashlib.sha256(), hashlib.sha256(), 0
+    for role, text in turns:
+        whole.update(f"{role or ''}\n{text or ''}\n".encode())
+        if role == "assistant":
+            loss.update((text or "").encode())
+            chars += len(text or "")
+    return len(turns), whole.hexdigest(), chars, loss.hexdigest()
+
+
+def got(df):
+    return {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in df.collect()}
+
+
+def wanted(rows):
+    out = {}
+    for conv, _, role, text in sorted(rows, key=lambda r: (r[0] is not None, r[0], r[1] is not None, r[1], r[2] or "", r[3] or "")):
+        out.setdefault(conv, []).append((role, text))
+    return {conv: digests(turns) for conv, turns in out.items()}
+
+
+def test_query_equals_the_digests_of_the_rows(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    said = r"\### Assistant: </turn> ok"
+    rows += [(-7, 0, "user", said), (-7, 1, "assistant", said)]
+    assert got(catalog.op4_chat_assembly(spark, sf_dir)) == wanted(rows)
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXTS)
+def test_marks_never_hide_in_texts(turns):
+    roles, texts = (pa.array([t[k] for t in turns], pa.string()) for k in (0, 1))
+    buffer, at, opens, closes = chat.assembled(roles, texts)
+    text = buffer.tobytes().decode()
+    assert list(chat.turns_of(text)) == turns
+    for (_, said), low, high in zip(turns, opens, closes, strict=True):
+        assert chat.unescaped(buffer[low:high].tobytes().decode()) == said
+    assert at[-1] == len(buffer)
+
+
+def test_nulls_ties_long_texts_and_a_hot_conversation(spark):
+    rows = [(1, 0, "user", None), (1, 1, None, "x"), (1, None, "system", "first"), (1, 1, "assistant", "tie b"), (1, 1, "assistant", "tie a")]
+    rows += [(None, 0, "assistant", "null id"), (2, 0, "assistant", "### " * 40_000), (2, 1, "user", ""), (2, 1, "user", "")]
+    rows += [(3, i, "assistant" if i % 2 else "user", f"turn {i} </turn>\n") for i in range(5000)]
+    schema = "conv_id long, turn long, role string, text string, part string, formatted int"
+    df = spark.createDataFrame([(*r, "p", 1) for r in rows], schema).repartition(7)
+    parts = chat.formatted(df)
+    assert got(chat.read_back(parts)) == wanted(rows)
+    one = chat.read_back(parts.filter("conv_id = 1")).first()
+    assert one.formatted_chars == sum(len(r.formatted) for r in parts.filter("conv_id = 1").collect())
+    assert chat.read_back(chat.formatted(spark.createDataFrame([], schema))).collect() == []
+
+
+def test_parts_follow_each_other(spark, monkeypatch):
+    from tidemark.llm import arrow
+
+    monkeypatch.setattr(arrow.slices, "__defaults__", (64,))
+    rows = [(c, i, "assistant", f"text {c} {i} #### \\ ") for c in range(5) for i in range(30)]
+    parts = chat.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert parts.count() > 20 and got(chat.read_back(parts)) == wanted(rows)

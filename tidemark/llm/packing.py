@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.arrow import slices
 from tidemark.llm.encoders import encoder
+from tidemark.llm.names import spare
 from tidemark.session import store
 
 CAPACITY = 1024
@@ -132,11 +133,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Dat
     A piece of full length is a sequence of its own. The others are dealt evenly into
     groups of about ``group`` pieces, whose number follows the corpus, and each group is
     packed by itself: a task holds one group, and what a group cannot fill is a small
-    share of it. Other columns pass through, so ids can travel along or be joined later;
-    none may be called ``_group``. Pieces of null or unfit length are refused. The pieces
+    share of it. Other columns pass through, so ids can travel along or be joined later; the
+    new columns replace any of their name. Pieces of null or unfit length are refused. The pieces
     should be a stored table, as they are counted first. No pieces give no rows.
     """
     fit = F.col("length").isNotNull() & F.col("length").between(1, capacity)
+    pieces = pieces.drop("sequence_id", "offset")
+    (own,) = spare(pieces, "_group")
     checked = pieces.withColumn(
         "length", F.when(fit, F.col("length")).otherwise(F.raise_error(F.lit("length outside 1 to capacity")))
     )
@@ -144,15 +147,15 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Dat
     groups = max(1, -(-checked.filter(~full).count() // group))
     row = F.monotonically_increasing_id()
     whole = checked.filter(full).withColumns({"sequence_id": -1 - row, "offset": F.lit(0).cast("long")})
-    open_rows = checked.filter(~full).withColumn("_group", F.pmod(row, F.lit(groups)))
+    open_rows = checked.filter(~full).withColumn(own, F.pmod(row, F.lit(groups)))
 
     def place(rows: pa.Table) -> pa.Table:
         sequence, offset = sum_of_squares(rows["length"].to_numpy().astype(np.int64), capacity)
-        sequence += rows["_group"].to_numpy().astype(np.int64) << 32
-        rows = rows.drop_columns(["_group"])
+        sequence += rows[own].to_numpy().astype(np.int64) << 32
+        rows = rows.drop_columns([own])
         return rows.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
-    placed = open_rows.groupBy("_group").applyInArrow(place, whole.schema)
+    placed = open_rows.groupBy(own).applyInArrow(place, whole.schema)
     return whole.unionByName(placed)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrow import slices, utf8_view
+from tidemark.llm.names import spare
 from tidemark.llm.style import WIDTH, style
 from tidemark.session import store
 
@@ -212,11 +213,11 @@ def keep_good(
     """
     rows = store(trained_rows(styled(docs, "doc_id", text), labels, label), "styled")
     model = fit(rows, class_prior(docs, labels, label))
-    names = docs.columns
+    names, (whole,) = docs.columns, spare(docs, "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
-            good = model.scores(style(*utf8_view(batch.column("_text")))) >= threshold
+        for batch in slices(batches, whole):
+            good = model.scores(style(*utf8_view(batch.column(whole)))) >= threshold
             yield batch.select(names).filter(pa.array(good))
 
-    return docs.withColumn("_text", F.coalesce(F.col(text), F.lit(""))).mapInArrow(run, docs.schema)
+    return docs.withColumn(whole, F.coalesce(F.col(text), F.lit(""))).mapInArrow(run, docs.schema)

@@ -59,7 +59,7 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarr
     counts = np.diff(begins)
     n = len(words)
     rolled = np.zeros(n, dtype=np.uint64)
-    for k in range(width):
+    for k in range(min(width, n)):
         rolled[: n - k] += words[k:] * (weights[k] | np.uint64(1))
     rolled = mixed(rolled)
     sets, sizes = [], np.zeros(len(counts), dtype=np.int64)
