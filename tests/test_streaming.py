@@ -69,15 +69,15 @@ def test_stream_equals_batch(spark, terms, lexicon, folder):
 
 
 def test_windowed_counts(spark, terms, folder):
-    raw = jobs.replay_stream(spark, folder, 6)
-    counts = jobs.stream_counts(jobs.tagged_stream(raw, terms), 30)
-    query = (
-        counts.writeStream.format("memory").queryName("window_counts").outputMode("complete")
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    batch = st.count_by_entity(jobs.tagged_stream(spark.read.text(folder), terms))
-    assert {tuple(r) for r in spark.table("window_counts").collect()} == {tuple(r) for r in batch.collect()}
+    """Appended are the intervals that end at the latest time less the delay, or before."""
+    raw, path = jobs.replay_stream(spark, folder, 6), new_folder(spark, "counts")
+    counts = jobs.stream_counts(jobs.tagged_stream(raw, terms), 30, "5 seconds")
+    jobs.append_counts(counts, path).trigger(availableNow=True).start().awaitTermination()
+    tagged = jobs.tagged_stream(spark.read.text(folder), terms)
+    last = tagged.agg(F.max(F.unix_timestamp("timestamp"))).first()[0]
+    batch = {tuple(r) for r in st.count_by_entity(tagged).collect()}
+    closed = {r for r in batch if r[0] + 30 <= last - 5}
+    assert {tuple(r) for r in spark.read.schema(counts.schema).parquet(path).collect()} == closed and closed != batch
 
 
 def test_repeated_posts_are_dropped_within_the_watermark(spark):

@@ -17,10 +17,11 @@ MAX_PATTERN_TERMS = 2_000  # beyond this, a dictionary is joined instead of writ
 # ---------------------------------------------------------------- decoding
 
 
-def decode_posts(raw: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Split raw JSON text into ``(posts, dead letters)``.
+def parse_posts(raw: DataFrame, value: str = "value") -> DataFrame:
+    """Raw JSON text as the post's fields, the line itself and whether it is a dead letter.
 
-    Lines that are blank or not a JSON object go to the dead letters as they came.
+    Lines that are blank or not a JSON object are dead. Where both kinds are used,
+    store or persist this table and take them from it, so that a line is parsed once.
     The parsed struct is opened with ``inline`` so that later filters cannot be
     pushed below it and make Spark parse every line twice.
     """
@@ -30,8 +31,22 @@ def decode_posts(raw: DataFrame, value: str = "value") -> tuple[DataFrame, DataF
         line.alias("_line"), F.inline_outer(F.array(F.from_json(line, schemas.RAW_POST, options)))
     )
     bad = (F.col(schemas.CORRUPT).isNotNull()) | F.coalesce(F.trim("_line") == "", F.lit(True))
-    posts = parsed.filter(~bad).drop("_line", schemas.CORRUPT)
-    return posts, parsed.filter(bad).select(F.col("_line").alias(value))
+    return parsed.withColumn("_dead", bad).drop(schemas.CORRUPT)
+
+
+def good_posts(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(~F.col("_dead")).drop("_line", "_dead")
+
+
+def dead_letters(parsed: DataFrame, value: str = "value") -> DataFrame:
+    """The dead lines as they came."""
+    return parsed.filter("_dead").select(F.col("_line").alias(value))
+
+
+def decode_posts(raw: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Raw JSON text as ``(posts, dead letters)``; for use of one of the two, see ``parse_posts``."""
+    parsed = parse_posts(raw, value)
+    return good_posts(parsed), dead_letters(parsed, value)
 
 
 # ---------------------------------------------------------------- filters

@@ -12,12 +12,13 @@ def cheapest_group(
 ) -> DataFrame:
     """``(item, grp, price, bid)`` of two items, both in the group where ``lead`` is cheapest.
 
-    ``prices`` has ``item, grp, ts, price``; means run over the ``hours`` before
+    ``prices`` has ``item, grp, ts, price``; means run over the ``hours`` up to
     ``now``. The bid is the rounded mean times ``multiplier``, at least ``floor``.
     An item without prices in the group has no price and bids the floor. Equal
     means go to the lowest group.
     """
-    recent = prices.filter((F.col("ts") >= now - F.expr(f"INTERVAL {int(hours)} HOURS")) & F.col("item").isin(lead, other))
+    in_time = F.col("ts").between(now - F.expr(f"INTERVAL {int(hours)} HOURS"), now)
+    recent = prices.filter(in_time & F.col("item").isin(lead, other))
 
     def rounded(col: Column) -> Column:
         return F.round(col.cast("decimal(28,10)"), digits).cast("double")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.session import explode_words
@@ -14,6 +14,7 @@ DATE = r'class="date"[^>]*>([^<]*)<'
 TIME = r'(?s)<span[^>]*class="label"[^>]*>[^<]*Time[^<]*</span>([^<]*)'
 CLOCK = r"(\d{1,2}):?(\d{2})?\sp\.m\."
 DEFAULT_TIME = "20:00"
+DAY = 86_400
 CAVEAT = (
     "The time for this debate has not yet been officially set. "
     "The time given here is an approximation based on previous debate schedules."
@@ -76,6 +77,20 @@ def fitting_bucket(schedule: DataFrame, widest: int = 86_400, crowd: int = 8) ->
     return most.width or 1
 
 
+def _with_neighbours(rows: DataFrame, order: str, within: WindowSpec) -> DataFrame:
+    """Add ``prev``, the last event before a row, and ``next``, the first one after it.
+
+    Both look back over rows that have been seen, once in either order; a frame that
+    reaches to the end would be worked out anew for every row.
+    """
+    seen = (Window.unboundedPreceding, -1)
+    return rows.select(
+        "*",
+        F.last("last", ignorenulls=True).over(within.orderBy(order).rowsBetween(*seen)).alias("prev"),
+        F.last("first", ignorenulls=True).over(within.orderBy(F.desc(order)).rowsBetween(*seen)).alias("next"),
+    )
+
+
 def nearest_event(
     points: DataFrame, schedule: DataFrame, grace: int = 3 * 3600, bucket: int | None = None
 ) -> DataFrame:
@@ -89,9 +104,8 @@ def nearest_event(
     stretch. Stretches are cut at bucket borders and matched to the instants on the
     bucket, an equi-join that Spark may broadcast or shuffle. Unless given, the
     bucket is chosen so that no instant is compared with more than a few stretches.
-    Neighbours are found inside each bucket; only one row per bucket in use takes
-    part in the step that looks across buckets, so its size depends on the time
-    range, not on the number of instants.
+    Neighbours are found inside each bucket, then among the buckets of a day, then
+    among days; only one row per day takes part in the step that looks across all.
     """
     bucket = bucket or fitting_bucket(schedule)
     events = schedule.groupBy("start").agg(F.min("ordinal").alias("ordinal"))
@@ -107,11 +121,14 @@ def nearest_event(
         .unionByName(edges.select("bucket")).distinct()
         .join(edges, "bucket", "left")
     )
-    by_time = Window.orderBy("bucket")
-    axis = axis.select(
+    axis = axis.withColumn("day", F.floor(F.col("bucket") * bucket / DAY))
+    days = axis.groupBy("day").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    days = _with_neighbours(days, "day", Window.partitionBy()).select(
+        "day", F.col("prev").alias("day_before"), F.col("next").alias("day_after")
+    )
+    axis = _with_neighbours(axis, "bucket", Window.partitionBy("day")).join(days, "day").select(
         "bucket", "first", "last",
-        F.last("last", ignorenulls=True).over(by_time.rowsBetween(Window.unboundedPreceding, -1)).alias("prev"),
-        F.first("first", ignorenulls=True).over(by_time.rowsBetween(1, Window.unboundedFollowing)).alias("next"),
+        F.coalesce("prev", "day_before").alias("prev"), F.coalesce("next", "day_after").alias("next"),
     )
     # the stretch before the first event of a bucket (all of it when there is none) ...
     opening = axis.select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import whitespace_words
@@ -19,7 +19,7 @@ STOPWORDS = [
     "from", "about", "this", "do", "out", "have",
     "so", "will", "like", "&amp;", "but", "",
 ]
-SERIAL_STOPWORDS = [*STOPWORDS[:-1], "w\\/"]
+SERIAL_STOPWORDS = [*STOPWORDS[:-1], "w\\/"]  # those of the serial sampler
 MIN_DF = 5
 
 
@@ -83,9 +83,16 @@ def numbered_vocabulary(
     return store(number_in_order(kept, [F.col("word")], "word_id"), "vocabulary")
 
 
-def corpus_long(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
-    """``(doc_id, pos, word_id, word)`` of every kept word instance."""
-    return tokens.join(vocab.select("word", "word_id"), "word").select("doc_id", "pos", "word_id", "word")
+def corpus_long(
+    tokens: DataFrame, vocab: DataFrame, stopwords: list[str] | DataFrame = STOPWORDS
+) -> DataFrame:
+    """``(doc_id, pos, word_id, word)`` of every kept word instance.
+
+    Stop words, the most frequent of all, leave before the join, where they would be
+    hot keys without a partner.
+    """
+    kept = drop_stopwords(tokens, stopwords)
+    return kept.join(vocab.select("word", "word_id"), "word").select("doc_id", "pos", "word_id", "word")
 
 
 def word_instances(corpus: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -114,17 +121,17 @@ def substring_positions(docs: DataFrame, target: str) -> DataFrame:
     """Zero-based character offsets of every, also overlapping, occurrence of ``target``.
 
     The text is cut in front of each occurrence; a piece starts where the lengths
-    before it add up to. Only the lengths leave the row.
+    before it add up to, which the row works out by itself.
     """
     pieces = F.split("text", f"(?={re.escape(target)})", -1)
     lengths = F.transform(pieces, lambda piece: F.length(piece).cast("long"))
-    before = Window.partitionBy("doc_id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    found = docs.filter(F.contains("text", F.lit(target))).withColumn(
-        "at_start", F.startswith("text", F.lit(target))
-    )
-    return (
-        explode_words(found, ["doc_id", "at_start"], lengths, "i", "length")
-        .select("doc_id", "i", "at_start", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("pos"))
-        .filter((F.col("i") > 0) | F.col("at_start"))
-        .select("doc_id", "pos")
+    found = docs.filter(F.contains("text", F.lit(target))).withColumn("lengths", lengths)
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("starts"))
+    summed = F.aggregate(
+        "lengths", start,
+        lambda seen, n: F.struct((seen["at"] + n).alias("at"), F.array_append(seen["starts"], seen["at"]).alias("starts")),
+        lambda seen: seen["starts"],
     )
+    skipped = F.when(F.startswith("text", F.lit(target)), 0).otherwise(1)
+    starts = found.select("doc_id", skipped.alias("skipped"), summed.alias("starts"))
+    return starts.select("doc_id", F.explode(F.slice("starts", F.col("skipped") + 1, F.size("starts"))).alias("pos"))

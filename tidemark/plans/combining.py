@@ -179,7 +179,7 @@ ROUNDED_BID = f"greatest({fixed_sql('price * 1.2', 3)}, CAST(0.015 AS DOUBLE))"
 
 
 @query(f"""WITH m AS (SELECT user_id % 5 AS grp, event_type AS item, {fixed_sql('avg(value)', 3)} AS price
-  FROM events WHERE ts >= TIMESTAMP '2024-01-01' GROUP BY ALL),
+  FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-31' GROUP BY ALL),
 best AS (SELECT grp FROM m WHERE item = 'click' ORDER BY price, grp LIMIT 1)
 SELECT i.item, best.grp, price, coalesce({ROUNDED_BID}, CAST(0.015 AS DOUBLE)) AS bid
 FROM best, (VALUES ('click'), ('view')) i(item) LEFT JOIN m ON m.item = i.item AND m.grp = best.grp""")

@@ -148,9 +148,9 @@ ENTITY_DOCS = f"""entity_docs AS (SELECT doc_id, {_owner_sql('substr(text, 1, 20
   {_owner_sql('text')} AS entity_whole FROM documents)"""
 
 
-def documents_with_entity(spark, sf_dir):
+def documents_with_entity(spark, sf_dir, chars: int | None = 200):
     docs = sample.documents(spark, sf_dir).select("doc_id", "text")
-    return ps.entity_from_prefix(docs, sample.terms(spark), exact=EXACT)
+    return ps.entity_from_prefix(docs, sample.terms(spark), chars, exact=EXACT)
 
 
 @query(f"WITH {ENTITY_DOCS} SELECT doc_id, entity, entity_whole FROM entity_docs")

@@ -72,10 +72,9 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tagged_posts(spark: SparkSession, sf_dir: str, seconds: int = 3600) -> DataFrame:
-    """English posts with their entities, ASCII text and interval."""
-    english = posts(spark, sf_dir).filter(F.col("lang") == "en")
+    """All posts with their entities, ASCII text and interval."""
     return (
-        primary_entity(tag_entities(english, terms(spark)))
+        primary_entity(tag_entities(posts(spark, sf_dir), terms(spark)))
         .withColumn("text", tx.ascii_only(F.col("text")))
         .withColumn("batchtime", tm.floor_interval(F.col("ts"), seconds))
     )
@@ -191,9 +190,9 @@ LEXICON_SQL = (
 )
 
 
-def tagged_sql(seconds: int = 3600, source: str = "english", party: str | None = None) -> str:
-    """CTEs up to ``tagged``, over all English posts or over the ``eligible`` raw posts."""
-    before = f"{POSTS_SQL}, english AS (SELECT * FROM posts WHERE lang = 'en')" if source == "english" else ELIGIBLE_SQL
+def tagged_sql(seconds: int = 3600, source: str = "posts", party: str | None = None) -> str:
+    """CTEs up to ``tagged``, over all posts or over the ``eligible`` raw posts."""
+    before = POSTS_SQL if source == "posts" else ELIGIBLE_SQL
     return f"""{before}, tagged AS (
   SELECT *, search_terms[1] AS first_term, len(search_terms) > 1 AS multiple_terms FROM (
     SELECT id, lang, source, ts, user_id, event_type, value, k, {ASCII_SQL.format('text')} AS text,

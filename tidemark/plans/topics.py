@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.topics import builtin, corpus, counts, gibbs
+from tidemark.operators.topics import corpus, counts, gibbs
 from tidemark.plans import sample
 from tidemark.plans.filtering import ENTITY_DOCS, documents_with_entity
 from tidemark.plans.registry import fixed, fixed_sql, query
@@ -32,7 +35,9 @@ def corpus_and_words(spark, sf_dir):
 TOKENS = """split_docs AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '\\s+'), lambda w: w <> '') AS words
   FROM documents),
 tokens AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS pos, len(words) AS n FROM split_docs)"""
-STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in corpus.STOPWORDS)
+STOP, SERIAL_STOP = (
+    ", ".join("'" + w.replace("'", "''") + "'" for w in words) for words in (corpus.STOPWORDS, corpus.SERIAL_STOPWORDS)
+)
 CORPUS = f"""{TOKENS},
 vocab AS (SELECT word, count(DISTINCT doc_id) AS doc_freq FROM tokens WHERE word NOT IN ({STOP})
           GROUP BY word HAVING count(DISTINCT doc_id) >= {corpus.MIN_DF}),
@@ -54,20 +59,29 @@ def lda_tokens(spark, sf_dir):
     )
 
 
-@query(f"WITH {TOKENS} SELECT word, count(DISTINCT doc_id) AS doc_freq FROM tokens GROUP BY word HAVING doc_freq >= {corpus.MIN_DF}")
+@query(f"""WITH {TOKENS}, df AS (SELECT word, count(DISTINCT doc_id) AS doc_freq FROM tokens GROUP BY word)
+SELECT {corpus.MIN_DF} AS least, word, doc_freq FROM df WHERE doc_freq >= {corpus.MIN_DF}
+UNION ALL SELECT 0, word, doc_freq FROM df""")
 def vocabulary(spark, sf_dir):
-    return corpus.vocabulary(corpus.lda_words(documents(spark, sf_dir)))
+    """Words under the usual document threshold, and all of them as in the runs per entity."""
+    docs = corpus.lda_words(documents(spark, sf_dir))
+    kept = [corpus.vocabulary(docs, least).select(F.lit(least).alias("least"), "*") for least in (corpus.MIN_DF, 0)]
+    return kept[0].unionByName(kept[1])
 
 
 @query(f"""WITH {TOKENS} SELECT 'inline' AS kind, word, count(*) AS n FROM tokens WHERE word NOT IN ({STOP}) GROUP BY ALL
+UNION ALL SELECT 'serial', word, count(*) FROM tokens WHERE word NOT IN ({SERIAL_STOP}) GROUP BY ALL
 UNION ALL SELECT 'table', word, count(*) FROM tokens WHERE word NOT IN (
   SELECT word FROM tokens GROUP BY word HAVING count(*) > 100) GROUP BY ALL""")
 def drop_stopwords(spark, sf_dir):
     words = tokens(spark, sf_dir)
     frequent = words.groupBy("word").count().filter(F.col("count") > 100).select("word")
-    kinds = {"inline": corpus.drop_stopwords(words), "table": corpus.drop_stopwords(words, frequent)}
+    kinds = {
+        "inline": corpus.drop_stopwords(words), "serial": corpus.drop_stopwords(words, corpus.SERIAL_STOPWORDS),
+        "table": corpus.drop_stopwords(words, frequent),
+    }
     out = [df.groupBy("word").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit(k)) for k, df in kinds.items()]
-    return out[0].unionByName(out[1])
+    return reduce(DataFrame.unionByName, out)
 
 
 @query(f"""WITH {CORPUS} SELECT word_id, word, count(*) AS instances, count(DISTINCT doc_id) AS docs
@@ -170,13 +184,13 @@ def topic_top_words(spark, sf_dir):
     return counts.topic_top_words(phi, words).withColumn("p", fixed("p", 8))
 
 
-ENTITY_COUNTS = """nek AS (SELECT entity, topic, count(*) AS n FROM state JOIN entity_docs USING (doc_id) GROUP BY ALL)"""
+ENTITY_COUNTS = """nek AS (SELECT entity_whole AS entity, topic, count(*) AS n FROM state JOIN entity_docs USING (doc_id) GROUP BY ALL)"""
 
 
 @query(f"WITH {STATE}, {ENTITY_DOCS}, {ENTITY_COUNTS} SELECT entity, topic, n FROM nek")
 def doc_label_join(spark, sf_dir):
     state, _ = fixed_state(spark, sf_dir)
-    labels = documents_with_entity(spark, sf_dir).select("doc_id", "entity")
+    labels = documents_with_entity(spark, sf_dir, chars=None).select("doc_id", "entity")
     return counts.doc_label_join(counts.doc_topic_counts(state), labels)
 
 
@@ -187,7 +201,7 @@ SELECT entity, topic, {fixed_sql('lead_topic.p', 8)} AS share, rank, word FROM l
 def entity_topics(spark, sf_dir):
     state, words = fixed_state(spark, sf_dir)
     phi = counts.lda_phi(counts.word_topic_counts(state), K, words.count())
-    labels = documents_with_entity(spark, sf_dir).select("doc_id", "entity")
+    labels = documents_with_entity(spark, sf_dir, chars=None).select("doc_id", "entity")
     by_entity = counts.doc_label_join(counts.doc_topic_counts(state), labels)
     return counts.entity_topics(by_entity, phi, words, K).withColumn("share", fixed("share", 8))
 
@@ -268,9 +282,3 @@ def sink_loglik(spark, sf_dir):
     _, _, logliks = gibbs.fit_lda(long, words.count(), K, ITERATIONS, PARTS, seed=2)
     return logliks.select("iter", "part", "phase", (F.col("loglik") < 0).alias("finite"))
 
-
-@query()
-def fit_lda_ml(spark, sf_dir):
-    long, words = corpus_and_words(spark, sf_dir)
-    docs = store(long.groupBy("doc_id").agg(F.collect_list("word").alias("words")), "documents")
-    return builtin.fit_lda_ml(docs, words.count(), K, iters=5, seed=1)[1]

@@ -26,7 +26,6 @@ TERM_DICTIONARY = """
     general ARRAY<STRING>, candidates MAP<STRING, MAP<STRING, ARRAY<STRING>>>
 """
 
-LEXICON_FILE = "word STRING, rank STRING, score DOUBLE"
 
 REDUCED_POST = """
     first_term STRING, text STRING, timestamp STRING, tweet_id BIGINT, username STRING
