@@ -139,6 +139,32 @@ def test_joined_tagging_equals_the_patterns(spark, monkeypatch):
     assert len({tuple(v) for v in by_pattern.values()}) > 5
 
 
+@pytest.mark.parametrize("mode", ["strict", "compat"])
+def test_large_dictionaries_give_the_same_on_repeated_ids(spark, terms, monkeypatch, mode):
+    """One id with several texts and repeated rows: a row is judged by its own text, either way."""
+    texts = ["jeb is here", "hillary there", "hillary there", "nothing", "", None, "x jeb #bernie @hillary"]
+    df = spark.createDataFrame([(1, t, [] if t is None else ["rubio"]) for t in texts], "id LONG, text STRING, hashtags ARRAY<STRING>")
+
+    def results():
+        both = [ps.tag_entities(df, terms, mode=mode), ps.tag_entities(df, terms, mode=mode, include_hashtags=True)]
+        marks = ps.entity_indicators(df, terms, mode=mode)
+        return [
+            sorted((str(r.text), r.search_terms) for r in tagged.collect()) for tagged in both
+        ] + [sorted(map(str, marks.collect())), sorted(str(r.text) for r in eligible().collect())]
+
+    def eligible():
+        empty = "CAST(NULL AS STRING)"
+        whole = df.selectExpr(
+            "*", f"{empty} AS delete", f"{empty} AS retweeted_status", "'en' AS lang", f"{empty} AS limit",
+            "named_struct('urls', array(), 'media', CAST(NULL AS ARRAY<STRING>)) AS entities",
+        )
+        return ps.eligible_posts(whole, terms, mode)
+
+    written_out = results()
+    monkeypatch.setattr(ps, "MAX_PATTERN_TERMS", 0)
+    assert results() == written_out
+
+
 def test_hashtags_are_searched_on_request(spark, terms):
     df = spark.createDataFrame([("nothing", ["randpaul"])], "text STRING, hashtags ARRAY<STRING>")
     assert ps.tag_entities(df, terms).first().search_terms == ["general"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import pricing as pr
 from tidemark.operators import results as rs
 from tidemark.operators import schedule as sc
-from tidemark.session import dimension_rows, new_folder, number_in_order
+from tidemark.session import new_folder, number_in_order, rows_if_small
 from tidemark.sources import readers, writers
 
 
@@ -85,10 +85,8 @@ def test_numbers_follow_the_global_order(spark):
     assert rs.number_rows(df, ["k"]).agg(F.min("row_id"), F.max("row_id")).first()[:] == (1, 5000)
 
 
-def test_big_dimensions_are_refused(spark):
-    assert len(dimension_rows(spark.range(10), 10)) == 10
-    with pytest.raises(ValueError):
-        dimension_rows(spark.range(11), 10)
+def test_rows_reach_the_driver_only_within_a_bound(spark):
+    assert len(rows_if_small(spark.range(10), 10)) == 10 and rows_if_small(spark.range(11), 10) is None
 
 
 # ---------------------------------------------------------------- schedule
@@ -180,10 +178,10 @@ def test_a_rewritten_batch_replaces_itself(spark):
 
 def test_delimited_documents(spark, tmp_path):
     path = tmp_path / "docs.txt"
-    path.write_text("one two\n&&&&&three & four\nfive\n&&&&&six\n&&&&&\n")
+    path.write_text("one two\n&&&&&three & four\nfive\n&&&&& \n&&&&&six\n&&&&&\n")
     docs = readers.scan_delimited_docs(spark, str(path)).orderBy("doc_id").collect()
-    assert [d.text for d in docs] == ["one two", "three & four\nfive", "six"]
-    assert len({d.doc_id for d in docs}) == 3
+    assert [d.text for d in docs] == ["one two", "three & four\nfive", " ", "six"]
+    assert [d.doc_id for d in docs] == [0, 1, 2, 3]
 
 
 def test_quoted_csv(spark):

@@ -107,7 +107,10 @@ def test_a_repeated_post_counts_twice(spark, lexicon):
 
 
 def test_zero_fill(spark, posts):
-    filled = st.zero_fill(st.count_by_entity(posts), [("a", "x"), ("b", "x"), ("c", "y"), ("general", "general")])
+    entities = spark.createDataFrame(
+        [("a", "x"), ("b", "x"), ("c", "y"), ("general", "general")], "first_term STRING, party STRING"
+    )
+    filled = st.zero_fill(st.count_by_entity(posts), entities)
     rows = {(r.batchtime, r.first_term): (r.party, r.num_posts) for r in filled.collect()}
     assert len(rows) == 12
     assert rows[(0, "a")] == ("x", 3) and rows[(60, "c")] == ("y", 0) and rows[(30, "general")] == ("general", 0)

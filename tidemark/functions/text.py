@@ -54,6 +54,16 @@ def term_pattern(terms: list[str], mode: str = "strict") -> str:
     raise ValueError(f"unknown pattern mode {mode!r}")
 
 
+def terms_pattern(terms: Column, mode: str = "strict") -> Column:
+    """``term_pattern`` of a non-empty array column of terms."""
+    if mode == "strict":
+        literal = F.transform(terms, lambda t: F.regexp_replace(t, r"([^A-Za-z0-9_\x80-\x{10FFFF}])", r"\\$1"))
+        return F.concat(F.lit(r"(?i)(^|[\s#@])("), F.array_join(literal, "|"), F.lit(")"))
+    if mode == "compat":
+        return F.concat(F.lit("(?i)"), F.array_join(terms, "|" + GUARD))
+    raise ValueError(f"unknown pattern mode {mode!r}")
+
+
 def matches_terms(text: Column, terms: list[str], mode: str = "strict") -> Column:
     """True where the text holds at least one of the terms.
 

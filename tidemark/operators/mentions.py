@@ -14,10 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as tx
-from tidemark.session import dimension_rows, explode_words
+from tidemark.session import explode_words
 from tidemark.sources.readers import GENERAL, select_party
 
 CUT = r"[\s#@]"
+TEXT_KEY, HITS = "_text_key", "_hits"
 
 
 def _ascii_lower(text: Column) -> Column:
@@ -25,16 +26,22 @@ def _ascii_lower(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def with_text_key(posts: DataFrame) -> DataFrame:
+    """Posts with a hash of their text: posts of one text mention the same, whatever their ids."""
+    return posts.withColumn(TEXT_KEY, F.sha2("text", 256))
+
+
 def term_mentions(posts: DataFrame, terms: DataFrame) -> DataFrame:
-    """Distinct ``(id, entity, entity_pos)`` of the terms each post mentions.
+    """Distinct ``(_text_key, entity, entity_pos)`` of the terms each text mentions.
 
     Posts send their distinct prefixes, not their text. The dictionary side has
-    one row per term; Spark broadcasts it or splits frequent prefixes as needed.
-    Terms with a cutting character inside are few and are matched as patterns.
+    one row per term; Spark broadcasts it or splits frequent prefixes as needed. Only
+    the term lengths reach the driver, one number each. Terms with a cutting character
+    inside are matched as patterns in one more pass, all in one.
     """
-    keyed = terms.select("entity", "entity_pos", "term", _ascii_lower(F.col("term")).alias("prefix"))
+    keyed = terms.select("entity", "entity_pos", "term", "term_pos", _ascii_lower(F.col("term")).alias("prefix"))
     plain = keyed.filter(~F.col("term").rlike(CUT))
-    sizes = sorted(r.n for r in dimension_rows(plain.select(F.length("term").alias("n")).distinct()))
+    sizes = sorted(r.n for r in plain.select(F.length("term").alias("n")).distinct().collect())
     pieces = F.array_distinct(F.split(_ascii_lower(F.col("text")), CUT + "+"))
     prefixes = F.flatten(
         F.transform(
@@ -44,38 +51,49 @@ def term_mentions(posts: DataFrame, terms: DataFrame) -> DataFrame:
             ),
         )
     )
-    cut = posts.select("id", pieces.alias("pieces"))
+    cut = posts.select(TEXT_KEY, pieces.alias("pieces"))
     found = (
-        explode_words(cut, ["id"], F.array_distinct(prefixes), name="prefix")
+        explode_words(cut, [TEXT_KEY], F.array_distinct(prefixes), name="prefix")
         .join(plain.select("prefix", "entity", "entity_pos").distinct(), "prefix")
-        .select("id", "entity", "entity_pos")
+        .select(TEXT_KEY, "entity", "entity_pos")
     )
-    inner = keyed.filter(F.col("term").rlike(CUT)).select("entity", "entity_pos", "term")
-    by_entity: dict[tuple[str, int], list[str]] = {}
-    for row in dimension_rows(inner):
-        by_entity.setdefault((row.entity, row.entity_pos), []).append(row.term)
-    for (entity, place), phrases in by_entity.items():
-        found = found.unionByName(
-            posts.filter(tx.matches_terms(F.col("text"), phrases)).select(
-                "id", F.lit(entity).alias("entity"), F.lit(place).alias("entity_pos")
-            )
-        )
-    return found.distinct()
+    phrases = with_hits(posts, F.col("text"), keyed.filter(F.col("term").rlike(CUT)), "strict")
+    return found.unionByName(
+        phrases.select(TEXT_KEY, F.explode(HITS).alias("hit")).select(TEXT_KEY, "hit.entity", "hit.entity_pos")
+    ).distinct()
+
+
+def entity_patterns(terms: DataFrame, mode: str) -> Column:
+    """One pattern per entity of a dictionary, in dictionary order, as a single array value.
+
+    The array is worked out by Spark as a scalar subquery; the driver sees no terms.
+    """
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("term_pos", "term"))), lambda t: t["term"])
+    by_entity = terms.groupBy("entity_pos", "entity").agg(tx.terms_pattern(ordered, mode).alias("pattern"))
+    rows = F.sort_array(F.collect_list(F.struct("entity_pos", "entity", "pattern")))
+    return by_entity.agg(rows.alias("patterns")).scalar()
+
+
+def with_hits(posts: DataFrame, text: Column, terms: DataFrame, mode: str) -> DataFrame:
+    """Posts with the entities whose pattern ``text`` matches, in dictionary order, as ``HITS``."""
+    hits = F.filter(HITS, lambda entry: F.coalesce(F.rlike(text, entry["pattern"]), F.lit(False)))
+    return posts.withColumn(HITS, entity_patterns(terms, mode)).withColumn(HITS, hits)
 
 
 def tag_entities_joined(posts: DataFrame, terms: DataFrame, party: str | None = None) -> DataFrame:
-    """``search_terms`` of posts (unique ``id``) by join; else ``['general']``."""
-    named = select_party(terms, party)
-    hits = term_mentions(posts, named).groupBy("id").agg(
+    """``search_terms`` of posts by join; else ``['general']``."""
+    named, keyed = select_party(terms, party), with_text_key(posts)
+    hits = term_mentions(keyed, named).groupBy(TEXT_KEY).agg(
         F.sort_array(F.collect_set(F.struct("entity_pos", "entity"))).alias("hits")
     )
     return (
-        posts.join(hits, "id", "left")
+        keyed.join(hits, TEXT_KEY, "left")
         .withColumn("search_terms", F.coalesce(F.col("hits.entity"), F.array(F.lit(GENERAL))))
-        .drop("hits")
+        .select(*posts.columns, "search_terms")
     )
 
 
 def mentioning(posts: DataFrame, terms: DataFrame) -> DataFrame:
-    """Posts (unique ``id``) that mention any term of the dictionary."""
-    return posts.join(term_mentions(posts, terms).select("id").distinct(), "id", "left_semi")
+    """Posts that mention any term of the dictionary."""
+    keyed = with_text_key(posts)
+    return keyed.join(term_mentions(keyed, terms).select(TEXT_KEY).distinct(), TEXT_KEY, "left_semi").select(posts.columns)

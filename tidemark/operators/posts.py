@@ -9,10 +9,11 @@ from tidemark import schemas
 from tidemark.functions import text as tx
 from tidemark.functions import times as tm
 from tidemark.operators import mentions
-from tidemark.session import dimension_rows, rows_if_small
+from tidemark.session import rows_if_small
 from tidemark.sources.readers import GENERAL, pool_terms, select_party
 
 MAX_PATTERN_TERMS = 2_000  # beyond this, a dictionary is joined instead of written into patterns
+MAX_INDICATORS = 2_000  # columns
 
 # ---------------------------------------------------------------- decoding
 
@@ -66,8 +67,8 @@ def eligible_posts(
 ) -> DataFrame:
     """Original English posts without links or media that mention a tracked term.
 
-    A dictionary beyond what a pattern can hold is joined instead (strict mode;
-    post ids must then be unique).
+    A dictionary beyond what a pattern can hold is joined instead, or in compat mode
+    matched as one array value; the result is the same.
     """
     keep = (
         F.col("delete").isNull()
@@ -78,9 +79,14 @@ def eligible_posts(
     )
     if check_limit:
         keep = keep & F.col("limit").isNull()
-    pooled = _inlined(pool_terms(terms), mode)
-    if pooled is None:
+    pooled = rows_if_small(pool_terms(terms), MAX_PATTERN_TERMS)
+    if pooled is None and mode == "strict":
         return mentions.mentioning(posts.filter(keep), terms)
+    if pooled is None:
+        order = F.struct(F.col("entity") == GENERAL, "entity_pos", "term_pos")
+        pool = terms.select(F.lit(0).alias("entity_pos"), F.lit(GENERAL).alias("entity"), "term", order.alias("term_pos"))
+        found = mentions.with_hits(posts.filter(keep), F.col("text"), pool, mode)
+        return found.filter(F.size(mentions.HITS) > 0).drop(mentions.HITS)
     return posts.filter(keep & _yes(tx.matches_terms(F.col("text"), [r.term for r in pooled], mode)))
 
 
@@ -138,19 +144,14 @@ def dedupe_posts(posts: DataFrame, keys: list[str] | None = None) -> DataFrame:
 # ---------------------------------------------------------------- tagging
 
 
-def _inlined(terms: DataFrame, mode: str) -> list | None:
-    """Rows of a dictionary for patterns; None when it should be joined instead."""
-    if mode == "strict":
-        return rows_if_small(terms, MAX_PATTERN_TERMS)
-    return dimension_rows(terms)
-
-
-def entity_terms(terms: DataFrame, party: str | None, mode: str) -> list[tuple[str, list[str]]] | None:
-    """``(entity, its terms)`` in dictionary order, None when there are too many.
+def entity_terms(terms: DataFrame, party: str | None) -> list[tuple[str, list[str]]] | None:
+    """``(entity, its terms)`` in dictionary order, None when there are too many to write out.
 
     An unknown party is an error.
     """
-    rows = _inlined(select_party(terms, party).select("entity", "entity_pos", "term", "term_pos"), mode)
+    rows = rows_if_small(
+        select_party(terms, party).select("entity", "entity_pos", "term", "term_pos"), MAX_PATTERN_TERMS
+    )
     if rows is None:
         return None
     if not rows:
@@ -175,9 +176,17 @@ def tag_entities(
 
     A dictionary of ordinary size becomes one pattern per entity, so tagging is a
     narrow projection: no join, no shuffle, whatever the entity mix. A large one is
-    joined instead (strict mode; post ids must then be unique).
+    joined instead, on a hash of the text, or in compat mode matched as one array
+    value; the result is the same.
     """
-    entities = entity_terms(terms, party, mode)
+    entities = entity_terms(terms, party)
+    if entities is None and mode != "strict":
+        searched = _with_hashtags() if include_hashtags else F.col("text")
+        found = mentions.with_hits(posts, searched, select_party(terms, party), mode)
+        named = F.col(f"{mentions.HITS}.entity")
+        return found.withColumn(
+            "search_terms", F.when(F.size(named) > 0, named).otherwise(F.array(F.lit(GENERAL)))
+        ).drop(mentions.HITS)
     if entities is None:
         if include_hashtags:
             posts = posts.withColumn("_text", F.col("text")).withColumn("text", _with_hashtags())
@@ -211,10 +220,23 @@ def primary_entity(tagged: DataFrame) -> DataFrame:
 def entity_indicators(
     posts: DataFrame, terms: DataFrame, party: str | None = None, mode: str = "strict"
 ) -> DataFrame:
-    """One 0/1 column ``is_<entity>`` per entity of the dictionary."""
-    entities = entity_terms(terms, party, mode)
+    """One 0/1 column ``is_<entity>`` per entity of the dictionary, whatever its number of terms.
+
+    More than ``MAX_INDICATORS`` entities are refused: a table has no room for them.
+    """
+    entities = entity_terms(terms, party)
     if entities is None:
-        raise ValueError("too many terms for a column per entity; use tag_entities")
+        names = rows_if_small(
+            select_party(terms, party).select("entity", "entity_pos").distinct().orderBy("entity_pos", "entity"),
+            MAX_INDICATORS,
+        )
+        if names is None:
+            raise ValueError(f"more than {MAX_INDICATORS} entities for a column each; use tag_entities")
+        tagged = tag_entities(posts, terms, party, mode)
+        return tagged.select(
+            *posts.columns,
+            *[F.array_contains("search_terms", r.entity).cast("int").alias(f"is_{r.entity}") for r in names],
+        )
     return posts.select(
         "*",
         *[
@@ -229,24 +251,26 @@ def entity_from_prefix(
 ) -> DataFrame:
     """Add ``entity``: that of the first word holding a term, else ``general``.
 
-    Only the opening ``chars`` characters decide. Terms listed in ``exact`` must
-    equal the word, all others may be any part of it.
+    Only the opening ``chars`` characters decide, all with None. Terms listed in
+    ``exact`` must equal the word, all others may be any part of it. The dictionary
+    is one array value that Spark works out itself, so it may have any size.
     """
-    rows = dimension_rows(select_party(terms, None).select("entity", "entity_pos", "term", "term_pos"))
-    ordered = sorted(rows, key=lambda r: (r.entity_pos, r.term_pos))
+    rows = select_party(terms, None).select("entity_pos", "term_pos", F.lower("term").alias("term"), "entity")
+    ordered = rows.agg(F.sort_array(F.collect_list(F.struct("*"))).alias("terms")).scalar()
     opening = F.col("text") if chars is None else F.substring("text", 1, chars)
 
+    def held(word: Column, entry: Column) -> Column:
+        return F.when(entry["term"].isin(*exact), word == entry["term"]).otherwise(F.contains(word, entry["term"]))
+
     def owner(word: Column) -> Column:
         """Entity of the first term the word holds."""
-        hits = None
-        for row in ordered:
-            term = row.term.lower()
-            hit = word == term if term in exact else F.contains(word, F.lit(term))
-            hits = F.when(hit, row.entity) if hits is None else hits.when(hit, row.entity)
-        return hits
-
-    owners = F.array_compact(F.transform(tx.whitespace_words(F.lower(opening)), owner))
-    return docs.withColumn("entity", F.coalesce(F.get(owners, F.lit(0)), F.lit(GENERAL)))
+        return F.get(F.filter("_terms", lambda entry: held(word, entry)), F.lit(0))["entity"]
+
+    words = F.array_distinct(tx.whitespace_words(F.lower(opening)))
+    owners = F.array_compact(F.transform(words, owner))
+    return docs.withColumn("_terms", ordered).withColumn(
+        "entity", F.coalesce(F.get(owners, F.lit(0)), F.lit(GENERAL))
+    ).drop("_terms")
 
 
 # ---------------------------------------------------------------- projection

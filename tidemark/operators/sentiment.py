@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as tx
 from tidemark.functions import times as tm
-from tidemark.session import dimension_rows, explode_words, store
+from tidemark.session import explode_words, store
 from tidemark.sources.readers import GENERAL, select_party
 
 NEUTRAL = 5.0
@@ -208,30 +208,38 @@ def extreme_posts(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
     )
 
 
-def entities_with_general(terms: DataFrame, party: str | None) -> list[tuple[str, str]]:
-    """``(entity, party)`` pairs of the dictionary plus the ``general`` entity."""
-    rows = dimension_rows(select_party(terms, party).select("entity", "party").distinct())
-    if not rows:
+def entities_with_general(terms: DataFrame, party: str | None) -> DataFrame:
+    """``(first_term, party)`` rows of the dictionary plus the ``general`` entity.
+
+    An unknown party is an error.
+    """
+    named = select_party(terms, party).select(F.col("entity").alias("first_term"), "party").distinct()
+    if named.isEmpty():
         raise ValueError(f"no terms for party {party!r}")
-    return sorted((r.entity, r.party) for r in rows) + [(GENERAL, GENERAL)]
+    general = named.sparkSession.range(1).select(F.lit(GENERAL).alias("first_term"), F.lit(GENERAL).alias("party"))
+    return named.unionByName(general)
 
 
-def zero_fill(counts: DataFrame, entities: list[tuple[str, str]], zeros: tuple[str, ...] = ("num_posts",)) -> DataFrame:
+def zero_fill(counts: DataFrame, entities: DataFrame, zeros: tuple[str, ...] = ("num_posts",)) -> DataFrame:
     """Every entity in every interval seen; the absent ones report 0 in the ``zeros`` columns.
 
-    The rows of an interval, at most one per entity, are gathered into a map and
-    looked up per listed entity, so ``counts`` is computed once and not joined
-    with itself.
+    ``entities`` has ``first_term`` and ``party``. The rows of an interval, at most one
+    per entity, are gathered once; the names missing among them, found as a difference
+    of two lists, are put beside them. So ``counts`` is computed once and not joined
+    with itself, and an interval costs as much as it has entities.
     """
     values = [c for c in counts.columns if c not in ("batchtime", "first_term")]
-    listed = F.array(*[F.struct(F.lit(e).alias("first_term"), F.lit(p).alias("party")) for e, p in entities])
-    seen = F.map_from_entries(F.collect_list(F.struct("first_term", F.struct(*values))))
-    grid = counts.groupBy("batchtime").agg(seen.alias("seen")).select("batchtime", "seen", F.inline(listed))
-    found = F.try_element_at("seen", F.col("first_term"))
-    return grid.withColumn("found", found).select(
-        "batchtime", "first_term", "party",
-        *[F.coalesce(F.col(f"found.{c}"), F.lit(0)).alias(c) if c in zeros else F.col(f"found.{c}") for c in values],
+    names = entities.agg(F.collect_set("first_term").alias("names")).scalar()
+    gathered = counts.groupBy("batchtime").agg(F.collect_list(F.struct("first_term", *values)).alias("rows"))
+    kinds = dict(counts.dtypes)
+    absent = F.transform(
+        F.array_except("names", F.transform("rows", lambda row: row["first_term"])),
+        lambda name: F.struct(
+            name.alias("first_term"), *[F.lit(0 if c in zeros else None).cast(kinds[c]).alias(c) for c in values]
+        ),
     )
+    filled = gathered.withColumn("names", names).select("batchtime", F.inline(F.concat("rows", absent)))
+    return filled.join(entities, "first_term").select("batchtime", "first_term", "party", *values)
 
 
 def entity_summary(

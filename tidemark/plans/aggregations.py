@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tidemark.operators import sentiment as st
 from tidemark.plans import sample
 from tidemark.plans.registry import fixed, fixed_sql, query
-from tidemark.session import dimension_rows
 
 TAGGED = sample.tagged_sql()
 SCORED = f"{TAGGED}, {sample.TOKENS_CTE}"

@@ -8,9 +8,6 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-MAX_DIMENSION_ROWS = 100_000
-
-
 def local_session(cores: str = "*", app: str = "tidemark", **conf: str) -> SparkSession:
     """A session for tests and benchmarks. On a cluster, use the session it gives you."""
     settings = {
@@ -94,14 +91,6 @@ def rows_if_small(df: DataFrame, limit: int) -> list | None:
     return rows if len(rows) <= limit else None
 
 
-def dimension_rows(df: DataFrame, limit: int = MAX_DIMENSION_ROWS) -> list:
-    """Rows of a small dimension on the driver, refused above ``limit`` rows."""
-    rows = rows_if_small(df, limit)
-    if rows is None:
-        raise ValueError(f"dimension has more than {limit} rows; join it instead of inlining it")
-    return rows
-
-
 def number_in_order(df: DataFrame, order_by: list[Column], name: str, start: int = 0) -> DataFrame:
     """Dense numbers in global sort order without sorting everything in one task.
 

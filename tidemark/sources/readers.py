@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.session import spread_out
+from tidemark.session import number_in_order, spread_out
 
 GENERAL = "general"
 
@@ -106,14 +106,21 @@ def scan_csv_terms(spark: SparkSession, path: str, view: str = "term_table") ->
 def scan_delimited_docs(
     spark: SparkSession, path: str, sep: str = "&&&&&", trim: bool = True
 ) -> DataFrame:
-    """Documents separated by a marker string, numbered in file order.
+    """Documents separated by a marker string, numbered densely in file order.
 
-    Every document ends with the separator, so there is no tail to read; blank
-    remains of one are dropped. ``trim`` takes one character off the end.
+    Every document ends with the separator, also a blank one. What follows a file's
+    last separator is no document: the last piece of a file is dropped where it is
+    blank. ``trim`` takes one character off the end.
     """
-    docs = spark.read.text(path, lineSep=sep).filter(F.trim("value", F.lit(" \r\n\t")) != "")
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    pieces = spark.read.text(path, lineSep=sep).select(*place, F.monotonically_increasing_id().alias("row"), "value")
+    blank = F.trim("value", F.lit(" \r\n\t")) == ""
+    ends = pieces.select("file", "block", "row").groupBy("file").agg(F.max(F.struct("block", "row")).alias("end"))
+    tail = (F.col("block") == F.col("end.block")) & (F.col("row") == F.col("end.row"))
+    docs = pieces.join(ends, "file").filter(~(tail & blank)).drop("end")
     text = F.expr("substring(value, 1, length(value) - 1)") if trim else F.col("value")
-    return docs.select(F.monotonically_increasing_id().alias("doc_id"), text.alias("text"))
+    order = [F.col("file"), F.col("block"), F.col("row")]
+    return number_in_order(docs, order, "doc_id").select("doc_id", text.alias("text"))
 
 
 def scan_reduced(spark: SparkSession, paths: list[str]) -> DataFrame:
