@@ -190,3 +190,45 @@ def test_quoted_csv(spark):
     writers.sink_quoted_csv(df.coalesce(1), path)
     lines = [r.value for r in spark.read.text(path).collect()]
     assert '"v","w"' in lines and '"a ""quoted"", value",""' in lines
+
+
+def test_nearest_event_on_a_dense_schedule(spark):
+    """Thousands of events seconds apart over three days with gaps, against brute force."""
+    import random
+    from bisect import bisect_left
+
+    rng = random.Random(8)
+    starts = sorted({rng.randrange(3 * 86_400) for _ in range(4000) if rng.random() < 0.9} - set(range(90_000, 170_000)))
+    schedule = spark.createDataFrame(list(enumerate(starts)), "ordinal LONG, start LONG")
+    instants = [rng.randrange(-50_000, 4 * 86_400) for _ in range(1500)]
+    points = spark.createDataFrame([(t,) for t in instants], "epoch LONG")
+    for r in sc.nearest_event(points, schedule, grace=3600).collect():
+        i = bisect_left(starts, r.epoch)
+        i += i < len(starts) and starts[i] == r.epoch
+        near = [(abs(starts[j] - r.epoch), j) for j in (i - 1, i) if 0 <= j < len(starts) and (j == i or r.epoch - starts[j] <= 3600)]
+        assert (r.ordinal, r.delta) == ((min(near)[1], starts[min(near)[1]] - r.epoch) if near else (None, None))
+
+
+def test_later_prices_do_not_count(spark):
+    prices = spark.sql(
+        "SELECT * FROM VALUES ('a', 1, timestamp'2024-01-01 00:00:00', 1.0D), ('a', 1, timestamp'2024-01-01 02:00:00', 9.0D),"
+        " ('a', 2, timestamp'2024-01-01 01:00:00', 2.0D), ('b', 1, timestamp'2024-01-01 01:00:00', 3.0D) AS v(item, grp, ts, price)"
+    )
+    rows = pr.cheapest_group(prices, "a", "b", F.expr("timestamp'2024-01-01 01:00:00'"), hours=1).collect()
+    assert [(r.item, r.grp, r.price) for r in rows] == [("a", 1, 1.0), ("b", 1, 3.0)]
+
+
+def test_posts_handed_to_a_store_partition_by_partition(spark, tmp_path):
+    target = str(tmp_path)
+
+    def put(rows):
+        import os
+        import uuid
+
+        found = [r.id for r in rows]
+        with open(os.path.join(target, uuid.uuid4().hex), "w") as out:
+            out.write("\n".join(map(str, found)))
+
+    writers.sink_posts(spark.range(20).repartition(3), "unused", per_partition=put)
+    texts = [f.read_text().split() for f in tmp_path.iterdir()]
+    assert len(texts) == 3 and sorted(int(x) for t in texts for x in t) == list(range(20))

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.topics import corpus, counts, gibbs
-from tidemark.session import store
+from tidemark.session import new_folder, store
 
 
 def docs(spark, *texts):
@@ -136,6 +136,18 @@ def test_sampler_repeats_exactly(spark, themed):
     assert runs[0] == runs[1]
 
 
+def test_a_stopped_fit_goes_on_where_it_was(spark, themed):
+    """Two steps, then a call for four: the same as four at once, and no doubled rows."""
+    folder = new_folder(spark, "lda")
+    gibbs.fit_lda(themed[0], 16, k=3, iters=2, parts=3, seed=9, folder=folder)
+    later = gibbs.fit_lda(themed[0], 16, k=3, iters=4, parts=3, seed=9, folder=folder)
+    again = gibbs.fit_lda(themed[0], 16, k=3, iters=4, parts=3, seed=9, folder=folder)
+    whole = gibbs.fit_lda(themed[0], 16, k=3, iters=4, parts=3, seed=9)
+    for one, two, three in zip(later, again, whole):
+        rows = [sorted(map(tuple, df.select(three.columns).collect())) for df in (one, two, three)]
+        assert rows[0] == rows[1] == rows[2]
+
+
 def test_parts_follow_the_corpus_size():
     assert gibbs.parts_needed(0) == 1
     assert gibbs.parts_needed(1_000_001, 500_000) == 3

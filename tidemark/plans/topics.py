@@ -14,7 +14,8 @@ from tidemark.plans.registry import fixed, fixed_sql, query
 from tidemark.session import store
 
 K = 10
-PARTS = 16
+PARTS = 16  # of the fixed assignments
+PER_PART = 25_000  # words of a part where the corpus decides their number
 ALPHA, BETA = counts.ALPHA, counts.BETA
 
 
@@ -228,57 +229,94 @@ def substring_positions(spark, sf_dir):
 
 # ---------------------------------------------------------------- sampling
 
-PART_SIZES = f"SELECT part, count(*) AS n, count(DISTINCT doc_id) AS docs, CAST(0 AS BIGINT) AS misplaced FROM state GROUP BY ALL"
+PARTS_SQL = f"parts AS (SELECT CAST(greatest(1, ceil(count(*) / {PER_PART}.0)) AS BIGINT) AS size FROM corpus)"
+DEALT = f"{CORPUS}, {PARTS_SQL}, dealt AS (SELECT *, CAST(doc_id % (SELECT size FROM parts) AS INT) AS part FROM corpus)"
+SWEPT = """SELECT part, count(*) AS n, count(DISTINCT doc_id) AS docs, CAST(0 AS BIGINT) AS misplaced, CAST(0 AS BIGINT) AS lost,
+  {change} AS change, true AS moved, CAST(0 AS BIGINT) AS counts_off FROM dealt GROUP BY ALL"""
 
 
-def part_sizes(state):
-    """Words and documents per part and how many words have a topic out of range."""
-    return state.groupBy("part").agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("docs"),
+def parts_of(long) -> int:
+    return gibbs.parts_needed(long.count(), PER_PART)
+
+
+def account(before, state, reported, counts_before):
+    """What a pass over the parts did, part by part.
+
+    Words and documents; topics out of range; words that are not where they were; the sum
+    of the reported changes; whether at least one topic in ten moved; and, for all parts,
+    counts that differ between the state and the old counts with the changes put in.
+    """
+    after = gibbs.assignments(state)
+    place = ["part", "doc_id", "pos", "word_id"]
+    old = before.select(*place, F.col("topic").alias("old"), F.lit(1).alias("here"))
+    joined = after.withColumn("there", F.lit(1)).join(old, place, "full")
+    by_part = joined.groupBy("part").agg(
+        F.count("there").alias("n"), F.count_distinct(F.when(F.col("there") == 1, F.col("doc_id"))).alias("docs"),
         F.count_if(~F.col("topic").between(0, K - 1)).alias("misplaced"),
+        F.count_if(F.col("there").isNull() | F.col("here").isNull()).alias("lost"),
+        (F.count_if(F.col("topic") != F.col("old")) * 10 > F.count("there")).alias("moved"),
     )
+    changes = reported.groupBy("part").agg(F.sum("n").alias("change"))
+    off = counts.check_counts(after, counts.lda_sync_counts(counts_before, reported))
+    off = off.agg(F.count(F.lit(1)).alias("counts_off"))
+    joined = by_part.join(changes, "part", "left").withColumn("counts_off", off.scalar())
+    return joined.withColumn("change", F.coalesce("change", F.lit(0).cast("long")))
 
 
-@query(f"WITH {STATE} {PART_SIZES}")
+@query(f"WITH {DEALT} {SWEPT.format(change='count(*)')}")
 def lda_init(spark, sf_dir):
+    """First topics: every change is an addition, so they sum to the words of a part."""
     long, words = corpus_and_words(spark, sf_dir)
-    docs = gibbs.packed(corpus.assign_parts(long, PARTS))
-    state = gibbs.lda_init(docs, PARTS, K, words.count(), seed=1)
-    return part_sizes(gibbs.assignments(state))
+    long = store(long, "corpus")
+    parts = parts_of(long)
+    dealt = corpus.assign_parts(long, parts)
+    state = store(gibbs.lda_init(gibbs.packed(dealt), parts, K, words.count(), seed=1), "state")
+    nothing = spark.createDataFrame([], gibbs.COUNTS)
+    return account(dealt.withColumn("topic", F.lit(-1)), state, gibbs.reported_changes(state), nothing)
 
 
-@query(f"WITH {STATE} {PART_SIZES}")
+@query(f"WITH {DEALT} {SWEPT.format(change='CAST(0 AS BIGINT)')}")
 def lda_gibbs_sweep(spark, sf_dir):
-    state, words = fixed_state(spark, sf_dir)
-    docs = store(gibbs.packed(state), "packed")
-    swept = gibbs.lda_gibbs_sweep(
-        docs, counts.word_topic_counts(state), gibbs.part_words(docs), PARTS, K, words.count(), step=1, seed=1
-    )
-    return part_sizes(gibbs.assignments(swept))
+    """One sweep from a fixed assignment."""
+    long, words = corpus_and_words(spark, sf_dir)
+    long = store(long, "corpus")
+    parts = parts_of(long)
+    before = store(corpus.assign_parts(long, parts).withColumn("topic", topic_of(31, 7)), "assignment")
+    docs = store(gibbs.packed(before), "packed")
+    old = counts.word_topic_counts(before)
+    swept = gibbs.lda_gibbs_sweep(docs, old, gibbs.part_words(docs), parts, K, words.count(), step=1, seed=1)
+    swept = store(swept, "state")
+    return account(before, swept, gibbs.reported_changes(swept), old)
 
 
-ITERATIONS = 3
+ITERATIONS = 3  # a full run takes 100 or 300
 
 
-@query(f"""WITH {STATE} SELECT part, count(*) AS n, true AS rises FROM state GROUP BY ALL""")
+@query(f"""WITH {DEALT} SELECT part, count(*) AS n, true AS rises, CAST(0 AS BIGINT) AS counts_off FROM dealt GROUP BY ALL""")
 def fit_lda(spark, sf_dir):
-    """A few iterations; per part, its words and whether its log-likelihood rose."""
+    """Three iterations; per part its words and whether its log-likelihood rose, and counts that a recount contradicts."""
     long, words = corpus_and_words(spark, sf_dir)
-    state, _, logliks = gibbs.fit_lda(long, words.count(), K, ITERATIONS, PARTS, seed=1)
+    long = store(long, "corpus")
+    state, word_topic, logliks = gibbs.fit_lda(long, words.count(), K, ITERATIONS, parts_of(long), seed=1)
     ends = logliks.filter(F.col("iter") > 0).groupBy("part").agg(  # the first assignment saw local counts only
         F.min_by("loglik", F.struct("iter", F.col("phase") == "after")).alias("first"),
         F.max_by("loglik", F.struct("iter", F.col("phase") == "after")).alias("last"),
     )
+    off = counts.check_counts(state, word_topic).agg(F.count(F.lit(1)).alias("n")).scalar()
     sizes = state.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.join(ends, "part").select("part", "n", (F.col("last") > F.col("first")).alias("rises"))
+    return sizes.join(ends, "part").select(
+        "part", "n", (F.col("last") > F.col("first")).alias("rises"), off.alias("counts_off")
+    )
 
 
-@query(f"""SELECT CAST(i AS INT) AS iter, CAST(p AS INT) AS part, phase, true AS finite
-FROM range({ITERATIONS + 1}) a(i), range({PARTS}) b(p), (VALUES ('before'), ('after')) c(phase)
+@query(f"""WITH {DEALT}, held AS (SELECT DISTINCT part FROM dealt)
+SELECT CAST(i AS INT) AS iter, part, phase, true AS finite
+FROM range({ITERATIONS + 1}) a(i), held, (VALUES ('before'), ('after')) c(phase)
 WHERE i > 0 OR phase = 'after'""")
 def sink_loglik(spark, sf_dir):
-    """The stored log-likelihood rows of a fit, one per iteration, part and phase."""
+    """The stored log-likelihood rows of a fit, one per iteration, part and phase, all finite and negative."""
     long, words = corpus_and_words(spark, sf_dir)
-    _, _, logliks = gibbs.fit_lda(long, words.count(), K, ITERATIONS, PARTS, seed=2)
-    return logliks.select("iter", "part", "phase", (F.col("loglik") < 0).alias("finite"))
-
+    long = store(long, "corpus")
+    _, _, logliks = gibbs.fit_lda(long, words.count(), K, ITERATIONS, parts_of(long), seed=2)
+    finite = F.col("loglik").between(F.lit(-1e300), F.lit(0.0))
+    return logliks.select("iter", "part", "phase", finite.alias("finite"))

@@ -63,9 +63,9 @@ def sink_quoted_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True, quoteAll=True, escape='"', emptyValue="")
 
 
-def sink_loglik(df: DataFrame, path: str) -> None:
-    """Append log-likelihood rows ``(iter, part, phase, loglik)`` of one iteration."""
-    df.write.mode("append").parquet(path)
+def sink_loglik(df: DataFrame, path: str, step: int) -> None:
+    """Log-likelihood rows ``(part, phase, loglik)`` of one iteration; writing it again replaces them."""
+    df.write.mode("overwrite").parquet(f"{path}/iter={step}")
 
 
 def eav_melt(df: DataFrame, id_col: str, keep_raw: tuple[str, ...] = ("batchtime",)) -> DataFrame:
