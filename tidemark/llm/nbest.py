@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.arrow import slices
 
 NBEST = 3
-REMEMBERED = 400_000
+REMEMBERED = 900_000
 UNKNOWN_PENALTY = 10.0
 SPACE = "▁"
 _RUNS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
@@ -64,13 +64,14 @@ class Lattice:
                 arcs[end].append((through, begin, piece))
                 if through > best[end]:
                     best[end] = through
-        for own in arcs:
-            own.sort(reverse=True)
-        heap, out, turn = [(-best[size], 0, size, 0, 0.0, b"")], [], 0
+        heap, out, turn, ordered = [(-best[size], 0, size, 0, 0.0, b"")], [], 0, set()
         while heap and len(out) < n:
             _, _, place, choice, done, ids = heapq.heappop(heap)
             while place:
                 own = arcs[place]
+                if place not in ordered:
+                    ordered.add(place)
+                    own.sort(reverse=True)
                 if choice + 1 < len(own):
                     turn += 1
                     heapq.heappush(heap, (-(done + own[choice + 1][0]), turn, place, choice + 1, done, ids))
@@ -80,17 +81,20 @@ class Lattice:
             out.append((done, ids))
         return out
 
-    def cut(self, text: str, n: int) -> Paths:
-        """As ``search``, after cutting where no piece of the vocabulary holds both neighbours."""
-        pairs, parts, begin = self.pairs, [], 0
+    def parts(self, text: str) -> list[str]:
+        """A string cut where no piece of the vocabulary holds both neighbours."""
+        pairs, out, begin = self.pairs, [], 0
         for k in range(1, len(text)):
             if text[k - 1 : k + 1] not in pairs:
-                parts.append(text[begin:k])
+                out.append(text[begin:k])
                 begin = k
-        if not parts:
-            return self.search(text, n)
-        whole = self.search(parts[0], n)
-        for part in [*parts[1:], text[begin:]]:
+        return [*out, text[begin:]]
+
+    def cut(self, text: str, n: int) -> Paths:
+        """As ``search``, part by part."""
+        first, *rest = self.parts(text)
+        whole = self.search(first, n)
+        for part in rest:
             pairs_of = [(a + b, x + y) for a, x in whole for b, y in self.search(part, n)]
             whole = heapq.nsmallest(n, pairs_of, key=lambda pair: -pair[0])
         return whole
@@ -106,8 +110,14 @@ class _Words(dict):
     def __missing__(self, word: str) -> tuple[bytes, float, float]:
         if len(self) >= REMEMBERED:
             self.clear()
-        (score, ids), *more = self.lattice.cut(word, 2)
-        found = self[word] = (ids, score, score - more[0][0] if more else np.inf)
+        parts = self.lattice.parts(word)
+        if len(parts) > 1:  # the next best of the whole is that of one part
+            ids, scores, losses = zip(*[self[part] for part in parts], strict=True)
+            found = (b"".join(ids), sum(scores), min(losses))
+        else:
+            (score, ids), *more = self.lattice.search(word, 2)
+            found = (ids, score, score - more[0][0] if more else np.inf)
+        self[word] = found
         return found
 
 
@@ -134,8 +144,8 @@ class Segmenter:
         inner = any(SPACE in piece.lstrip(SPACE) for _, piece in whole)
         self.split = (lambda text: [text] if text else []) if inner else _words
 
-    def encode(self, text: str) -> Paths:
-        """The best segmentations of a whole text.
+    def ranked(self, text: str) -> list[tuple[float, bytes, tuple]]:
+        """The best segmentations of a whole text, each with the words it cuts unlike the first.
 
         Pieces never reach over the start of a word, so every word is cut by itself. The
         ``n`` best of the text can differ from its best only in the ``n - 1`` words that
@@ -143,14 +153,13 @@ class Segmenter:
         """
         words = self.split(self.normalize(text))
         if not words:
-            return [(0.0, b"")]
-        found = list(map(self.words.__getitem__, words))
-        ids = [one[0] for one in found]
-        score = float(sum([one[1] for one in found]))
-        out = [(score, b"".join(ids))]
+            return [(0.0, b"", ())]
+        ids, scores, losses = zip(*map(self.words.__getitem__, words), strict=True)
+        score = float(sum(scores))
+        out = [(score, b"".join(ids), ())]
         if self.n == 1:
             return out
-        losses = np.array([one[2] for one in found])
+        losses = np.array(losses)
         count = min(self.n - 1, len(words))
         cheap = np.argpartition(losses, count - 1)[:count]
         choices: list[tuple[float, dict[int, bytes]]] = [(0.0, {})]
@@ -163,15 +172,26 @@ class Segmenter:
             ]
             choices = heapq.nsmallest(self.n, pairs, key=lambda pair: pair[0])
         for loss, chosen in choices[1:]:
-            other = ids.copy()
+            other = list(ids)
             for place, own in chosen.items():
                 other[place] = own
-            out.append((score - loss, b"".join(other)))
+            swapped = tuple((ids[place], own) for place, own in chosen.items())
+            out.append((score - loss, b"".join(other), swapped))
         return out
 
+    def encode(self, text: str) -> Paths:
+        return [(score, ids) for score, ids, _ in self.ranked(text)]
+
+    def written_alike(self, swapped: tuple[tuple[bytes, bytes], ...]) -> bool:
+        """Whether other cuts of some words stand for the same characters."""
+        return all(self._bytes(one) == self._bytes(other) for one, other in swapped)
+
+    def _bytes(self, ids: bytes) -> bytes:
+        return b"".join(map(self.written.__getitem__, array("I", ids)))
+
     def decode(self, ids: bytes) -> str:
         """The text of pieces; the blank that opens every text is taken off again."""
-        text = b"".join(map(self.written.__getitem__, array("I", ids))).decode("utf-8", "replace")
+        text = self._bytes(ids).decode("utf-8", "replace")
         return text.replace(SPACE, " ").removeprefix(" ")
 
 
@@ -201,7 +221,8 @@ def segmentations(
 
     One row per document and ``rank`` from 1: ``score`` (sum of the pieces' scores),
     ``n_pieces``, ``ids_crc32`` (ids as little-endian unsigned 32-bit integers),
-    ``round_trip`` (the ids decode to the text as it was) and ``ids``. Scores fall with the
+    ``round_trip`` (the ids decode to the text as it was; beyond the first rank, the words
+    that are cut otherwise decode alike) and ``ids``. Scores fall with the
     rank; segmentations differ; a text with fewer ways to be cut has fewer rows, an empty
     or null one a single row without pieces. A character outside the vocabulary goes by
     its bytes, at the score of the worst piece less ``UNKNOWN_PENALTY``. Texts that hold
@@ -214,13 +235,15 @@ def segmentations(
         for batch in slices(batches, "text"):
             rows, ranks, scores, sizes, sums, trips, ids = [], [], [], [], [], [], []
             for row, whole in enumerate(batch.column("text").to_pylist()):
-                for rank, (score, pieces) in enumerate(tool.encode(whole), 1):
+                same = False
+                for rank, (score, pieces, swapped) in enumerate(tool.ranked(whole), 1):
+                    same = tool.written_alike(swapped) and same if swapped else tool.decode(pieces) == whole
                     rows.append(row)
                     ranks.append(rank)
                     scores.append(score)
                     sizes.append(len(pieces) // 4)
                     sums.append(zlib.crc32(pieces))
-                    trips.append(tool.decode(pieces) == whole)
+                    trips.append(same)
                     if with_ids:
                         ids.append(pieces)
             columns = {
