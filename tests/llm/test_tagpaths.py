@@ -31,6 +31,11 @@ def test_an_article_element_is_kept_whole_and_nothing_else():
     assert main_text(PAGE.format(article)) == "A title\nFirst para, it is <here>.\nShort\none\ntwo\nSaid bold so."
 
 
+def test_names_of_other_attributes_do_not_count():
+    page = '<article><div class="article-header"><h1>Head</h1></div><p data-id="comment-3">One, two.</p><ol class="commentlist"><li>No, no.</ol></article>'
+    assert main_text(page) == "Head\nOne, two."
+
+
 def test_ratios_find_the_section_of_a_page_without_an_article():
     body = "".join(f"<p>Sentence number {i}, which is long enough, has some marks; and it ends here.</p>" for i in range(6))
     links = "".join(f"<div><a href=x>Link {i}</a></div>" for i in range(9))

@@ -18,7 +18,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>",
     re.S,
 )
-_NAMES = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_NAMES = re.compile(r"""(?<![\w-])(class|id|role|style|hidden|aria-hidden)(?![\w-])(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、؟،]")
@@ -45,13 +45,15 @@ _CLOSES = {
 _LIMITS = {"ul", "ol", "dl", "table", "select", "article", "section", "div", "main", "body", "html"}
 _ASIDE = {"head", "nav", "footer", "aside", "form", "menu", "button", "select", "dialog", "fieldset", "label"}
 _ASIDE_NAMES = {
-    "ad", "ads", "advert", "advertisement", "adverts", "advertising", "alert", "author", "banner", "breadcrumb",
-    "breadcrumbs", "byline", "comment", "comments", "consent", "cookie", "cookies", "disqus", "footer", "gdpr",
-    "header", "menu", "meta", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "pager",
+    "ad", "adbox", "ads", "adsbygoogle", "adsense", "adslot", "advert", "advertisement", "advertising", "adverts",
+    "alert", "author", "banner", "breadcrumb", "breadcrumbs", "byline", "comment", "commentform", "commentlist",
+    "comments", "consent", "cookie", "cookiebanner", "cookiebar", "cookies", "disqus", "footer", "gdpr", "header",
+    "masthead", "menu", "meta", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "pager",
     "pagination", "popup", "promo", "promotion", "recommended", "related", "replies", "reply", "respond", "share",
-    "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "tags", "teaser",
-    "toolbar", "widget", "widgets",
+    "sharing", "sidebar", "sidenav", "signup", "sitefooter", "siteheader", "skip", "social", "sponsor", "sponsored",
+    "subscribe", "tags", "teaser", "toolbar", "topbar", "topnav", "widget", "widgets",
 }
+_IN_ARTICLE = {"header"}  # what heads an article belongs to it
 _ASIDE_ROLES = {
     "alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar",
     "navigation", "note", "search", "status", "toolbar",
@@ -78,7 +80,8 @@ def _set_aside(name: str, attributes: str, parent: _Open) -> tuple[bool, str]:
             key, value = key.lower(), value.strip("\"'")
             if key in ("class", "id"):
                 if name not in ("html", "body", "main"):
-                    aside |= any(part.lower() in _ASIDE_NAMES for part in _PART.findall(value))
+                    parts = {part.lower() for part in _PART.findall(value)}
+                    aside |= bool(parts & (_ASIDE_NAMES - _IN_ARTICLE if parent.in_article else _ASIDE_NAMES))
                 if key == "class":
                     label = "." + value.split()[0] if value.split() else ""
             elif key == "role":
