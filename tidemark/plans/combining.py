@@ -10,9 +10,7 @@ from tidemark.operators import results as rs
 from tidemark.operators import schedule as sc
 from tidemark.operators import sentiment as st
 from tidemark.plans import sample
-from tidemark.plans.aggregations import (
-    PER_POST, PROFILE_SQL, SCORED, SUMMARY_DOUBLES, TAGGED, rounded, summary_sql,
-)
+from tidemark.plans.aggregations import PROFILE_SQL, SCORED, TAGGED, rounded
 from tidemark.plans.parsing import registered_days
 from tidemark.plans.registry import fixed, fixed_sql, query
 from tidemark.session import new_folder
