@@ -104,7 +104,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: i
     at a time.
     """
     groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).alias("n"))
-    dealt = pairs.join(groups, "a").withColumn("salt", F.pmod(F.xxhash64("b", "b_mark"), F.col("n")))
+    dealt = pairs.join(store(groups, "groups"), "a").withColumn("salt", F.pmod(F.xxhash64("b", "b_mark"), F.col("n")))
     centres = dealt.select(
         F.col("a").alias("doc_id"), F.col("a_mark").alias("mark"), F.col("a").alias("g"), "salt", F.lit(0).alias("part")
     ).distinct()
@@ -322,7 +322,8 @@ def near_duplicates(
         )
         .filter("m > 1")
     )
-    placed = store(members.join(buckets, "key"), "buckets")
+    # stored, so that the join deals out both sides itself and can split a bucket with very many documents
+    placed = store(members.join(store(buckets, "bucket-sizes"), "key"), "buckets")
     alike = 100 * F.least("n_shingles", "centre_size") >= percent * F.greatest("n_shingles", "centre_size")
     spokes = (
         placed.filter(alike & ((F.col("doc_id") != F.col("centre")) | (F.col("mark") != F.col("centre_mark"))))
