@@ -62,3 +62,38 @@ def test_null_long_and_repeated_pages(spark):
     assert [(r.page_id, r.url, r.n_chars) for r in found[:3]] == [(1, "u", 0), (2, None, 0), (None, "u", 1)]
     assert [r.text.count("\n") for r in found[3:]] == [29_999] * 2
     assert tagpaths.extracted(spark.createDataFrame([], schema)).collect() == []
+
+
+BODY = "".join(f"<p>Sentence number {i}, which is long enough, has some marks; and it ends here.</p>" for i in range(6))
+BODY_TEXT = "\n".join(f"Sentence number {i}, which is long enough, has some marks; and it ends here." for i in range(6))
+ROUND = "<nav><a href=x>Home</a></nav><div>{}</div><div class=sidebar><p>Buy this, now. It is good.</p></div><footer>All rights reserved, here.</footer>"
+
+
+def test_names_and_forms_around_the_text_do_not_take_it_away():
+    wrappers = [
+        "<form id=aspnetForm>{}</form>", "<form><fieldset>{}</fieldset></form>", "<div class='page has-sidebar'>{}</div>",
+        "<div id='main-with-comments'>{}</div>", "<div class='site no-header'>{}</div>", "<article class='post author-jane'>{}</article>",
+        "<article class='ad-free'>{}</article>", "<div class='post author-jane'>{}</div>", "<div class=sidebar>{}</div>",
+        "<main><div class='post author-jane'>{}</div></main>", "<form><div class='post author-jane'>{}</div></form>",
+    ]
+    for wrapper in wrappers:
+        for inner in (BODY, f"<article>{BODY}</article>", f"<main>{BODY}</main>"):
+            assert main_text(f"<body>{wrapper.format(inner)}</body>") == BODY_TEXT, wrapper
+            found = main_text("<body>" + ROUND.format(wrapper.format(inner)) + "</body>")
+            if "class=sidebar" not in wrapper:
+                assert found == BODY_TEXT, wrapper
+        assert main_text(f"<body>{wrapper.format(ROUND.format(BODY))}</body>") == BODY_TEXT, wrapper
+
+
+def test_long_comments_stay_aside_and_small_asides_in_a_form_too():
+    comments = "<div class='post-comments'>" + "<article><p>I think, that this is long; really.</p></article>" * 60 + "</div>"
+    assert main_text(f"<body><article>{BODY}</article>{comments}</body>") == BODY_TEXT
+    assert main_text(f"<body><div class=text>{BODY}</div>{comments}</body>") == BODY_TEXT
+    assert main_text(f"<form>{BODY}<label>Name, please.</label><div class=related-links><p>More, here.</p></div></form>") == BODY_TEXT
+
+
+def test_self_closed_svg_and_math_are_empty():
+    for empty in ("<svg/>", "<svg class='icon' />", '<math a="b"/>', "<svg focusable/>"):
+        assert main_text(f"<article><p>One, two.</p>{empty}<p>Three, four.</p></article>") == "One, two.\nThree, four.", empty
+    assert main_text("<article><p>One, <svg><text>no</text></svg>two.</p></article>") == "One, two."
+    assert main_text("<article><p>One, <span hidden>x, y.</span>two.</p></article>") == "One, two."

@@ -34,6 +34,8 @@ _BLOCK = {
     "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section", "select",
     "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
+_FOREIGN = {"svg", "math"}  # those that a slash at the end of the tag closes
+_EMPTY = re.compile(r"(?:^|[\s\"']|(?<![^\s])[^\s=\"']+)/$")
 _SECTION = {"article", "body", "div", "main", "section", "td", "center", "html"}
 _HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 # Start tags that end an open element of these kinds, which HTML lets authors leave unclosed.
@@ -54,68 +56,138 @@ _ASIDE_NAMES = {
     "subscribe", "tags", "teaser", "toolbar", "topbar", "topnav", "widget", "widgets",
 }
 _IN_ARTICLE = {"header"}  # what heads an article belongs to it
+_QUALIFIERS = {"has", "with", "no", "without", "free"}  # of a class that tells what a page has, and not what it is
+_READERS = {"comment", "commentform", "commentlist", "comments", "disqus", "replies", "reply", "respond"}
+_WRAPPERS = {"fieldset", "form", "label"}  # elements that may as well hold a whole page
 _ASIDE_ROLES = {
     "alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar",
     "navigation", "note", "search", "status", "toolbar",
 }
 SHARE = 0.2
+LITTLE = 0.05
+PROSE = 200
+_HINT, _SIGN = 1, 2
+
+
+class _Aside:
+    """Elements of one path that are set aside within the same others, and the text right inside them."""
+
+    __slots__ = ("outer", "weight", "in_article", "holds", "prose", "text")
+
+    def __init__(self, outer: _Aside | None, weight: int, in_article: bool):
+        self.outer, self.in_article = outer, in_article
+        self.weight = max(weight, outer.weight) if outer else weight
+        self.holds, self.prose, self.text = "", 0, 0
 
 
 class _Open:
-    """An element on the way from the root: its name, its path, whether its text is set aside."""
+    """An element on the way from the root: its name, its path, what sets its text aside, the article it lies in."""
+
+    __slots__ = ("name", "path", "aside", "section", "in_article", "holds")
+
+    def __init__(self, name: str, path: str, aside: _Aside | None, section: str, in_article: bool, holds: str):
+        self.name, self.path, self.aside, self.section, self.in_article, self.holds = name, path, aside, section, in_article, holds
 
-    __slots__ = ("name", "path", "aside", "section", "in_article")
 
-    def __init__(self, name: str, path: str, aside: bool, section: str, in_article: bool):
-        self.name, self.path, self.aside, self.section, self.in_article = name, path, aside, section, in_article
+def _weight(name: str, value: str, names: set[str]) -> int:
+    """How far a class or id tells that an element is not the article: a whole name is a sign, a part of one a hint."""
+    weight = 0
+    for one in value.split():
+        parts = {one.lower()} if name == "article" else {part.lower() for part in _PART.findall(one)}
+        found = parts & names
+        if found and not parts & _QUALIFIERS:
+            weight = max(weight, _SIGN if one.lower() in names or found & _READERS else _HINT)
+    return weight
 
 
-def _set_aside(name: str, attributes: str, parent: _Open) -> tuple[bool, str]:
-    """Whether an element's text is not the article's, and its class for the path."""
-    aside, label = name in _ASIDE, ""
+def _set_aside(name: str, attributes: str, parent: _Open) -> tuple[int, str]:
+    """How far an element tells that its text is not the article's, and its class for the path."""
+    aside, label = (_HINT if name in _WRAPPERS else _SIGN) if name in _ASIDE else 0, ""
     if name == "header" and not parent.in_article:
-        aside = True
+        aside = _SIGN
     if "=" in attributes or "hidden" in attributes:
         for key, value in _NAMES.findall(attributes):
             key, value = key.lower(), value.strip("\"'")
             if key in ("class", "id"):
                 if name not in ("html", "body", "main"):
-                    parts = {part.lower() for part in _PART.findall(value)}
-                    aside |= bool(parts & (_ASIDE_NAMES - _IN_ARTICLE if parent.in_article else _ASIDE_NAMES))
+                    aside = max(aside, _weight(name, value, _ASIDE_NAMES - _IN_ARTICLE if parent.in_article else _ASIDE_NAMES))
                 if key == "class":
                     label = "." + value.split()[0] if value.split() else ""
             elif key == "role":
-                aside |= value.lower() in _ASIDE_ROLES
+                if value.lower() in _ASIDE_ROLES:
+                    aside = max(aside, _HINT if value.lower() == "form" else _SIGN)
             elif key == "style":
-                aside |= bool(_HIDDEN.search(value))
+                aside = _SIGN if _HIDDEN.search(value) else aside
             elif key == "hidden":
-                aside |= value.lower() != "until-found"
+                aside = _SIGN if value.lower() != "until-found" else aside
             else:
-                aside |= value.lower() == "true"
+                aside = _SIGN if value.lower() == "true" else aside
     return aside, label
 
 
-def _blocks(html: str) -> list[tuple[str, str, str, bool]]:
-    """Text blocks outside what is set aside: text, tag path, section path, and whether it is a heading."""
-    top = _Open("", "", False, "", False)
+def _released(groups: list[_Aside], blocks: list[tuple[list[tuple[str, _Open]], bool]]) -> set[_Aside]:
+    """The groups that are not set aside after all, since they hold the page's text.
+
+    Text counts as prose where its block has a punctuation mark. A hint gives way where its
+    group holds more prose than all that is not set aside, a sign only where next to nothing
+    else is left; the largest go first. Where an article or main element with prose stands
+    outside, only hints within it give way; where none does, a hint never outweighs main,
+    and an article only if that is small.
+    """
+    if not groups:
+        return set()
+    left, article = 0, False
+    for text, element in (piece for pieces, _ in blocks for piece in pieces):
+        group, prose = element.aside, bool(_PUNCTUATION.search(text))
+        if group is None:
+            left += len(text) * prose
+            article |= prose and element.in_article
+        else:
+            group.prose += len(text) * prose
+            group.text += len(text)
+            if element.holds == "main" or not group.holds:
+                group.holds = element.holds
+
+    def outweighs(group: _Aside) -> bool:
+        if group.weight == _SIGN:
+            return not article and group.prose >= PROSE and LITTLE * group.prose > left
+        if article:
+            return group.prose * (SHARE / (1 - SHARE) if group.in_article else LITTLE) > left
+        if group.holds == "main":
+            return group.text > 0
+        if group.prose == 0:
+            return left == 0 and group.text > 0
+        return group.prose > left * (SHARE if group.holds else 1)
+
+    released: set[_Aside] = set()
+    waiting = sorted((group for group in groups if group.text), key=lambda group: (-group.prose, -group.text))
+    while chosen := next((group for group in waiting if group not in released and outweighs(group)), None):
+        article |= bool(chosen.holds) and chosen.prose > 0
+        while chosen and chosen not in released:
+            released.add(chosen)
+            left += chosen.prose or chosen.text * (left == 0)
+            chosen = chosen.outer
+    return released
+
+
+def _blocks(html: str) -> list[tuple[str, _Open, bool]]:
+    """Text blocks outside what is set aside: text, element, and whether it is a heading."""
+    top = _Open("", "", None, "", False, "")
     stack, blocks, pieces = [top], [], []
-    where, at = top, 0
+    groups: dict[tuple[_Aside | None, str], _Aside] = {}
+    at = 0
 
     def end_block() -> None:
-        if pieces:
-            text = " ".join("".join(pieces).split())
-            pieces.clear()
-            if text:
-                heading = any(one.name in _HEADING for one in stack)
-                blocks.append((text, where.path, where.section, heading))
+        if any(not text.isspace() for text, _ in pieces):
+            heading = any(one.name in _HEADING for one in stack)
+            blocks.append((pieces.copy(), heading))
+        pieces.clear()
 
     while at < len(html):
         token = _TOKEN.search(html, at)
         stop = token.start() if token else len(html)
-        if stop > at and not stack[-1].aside:
-            if not pieces:
-                where = stack[-1]
-            pieces.append(unescape(html[at:stop]))
+        if stop > at:
+            pieces.append((unescape(html[at:stop]), stack[-1]))
         if not token:
             break
         at = token.end()
@@ -136,6 +208,8 @@ def _blocks(html: str) -> list[tuple[str, str, str, bool]]:
                     break
             continue
         if name in _RAW:
+            if name in _FOREIGN and _EMPTY.search(token[3]):
+                continue
             closing = re.compile(rf"</{name}\b[^>]*>", re.I).search(html, at)
             at = closing.end() if closing else len(html)
             continue
@@ -143,7 +217,7 @@ def _blocks(html: str) -> list[tuple[str, str, str, bool]]:
             if name == "hr":
                 end_block()
             elif name == "br" and pieces:
-                pieces.append(" ")
+                pieces.append((" ", stack[-1]))
             continue
         if name in _BLOCK:
             end_block()
@@ -154,20 +228,36 @@ def _blocks(html: str) -> list[tuple[str, str, str, bool]]:
                 elif stack[depth].name in _LIMITS:
                     break
         parent = stack[-1]
-        aside, label = _set_aside(name, token[3], parent)
+        weight, label = _set_aside(name, token[3], parent)
         path = f"{parent.path}/{name}{label}"
+        aside, holds = parent.aside, parent.holds
+        if weight:
+            kind = (aside, f"{path} {weight}")
+            if kind not in groups:
+                groups[kind] = _Aside(aside, weight, parent.in_article)
+            aside, holds = groups[kind], ""
+        if name in ("article", "main"):
+            holds = "main" if "main" in (name, holds) else name
         article = parent.in_article or name in ("article", "main")
         section = parent.section if parent.in_article else path if name in _SECTION else parent.section
-        stack.append(_Open(name, path, parent.aside or aside, section, article))
+        stack.append(_Open(name, path, aside, section, article, holds))
     end_block()
-    return blocks
+    released = _released(list(groups.values()), blocks)
+    left = []
+    for pieces, heading in blocks:
+        own = [piece for piece in pieces if piece[1].aside is None or piece[1].aside in released]
+        text = " ".join("".join(text for text, _ in own).split())
+        if text:
+            left.append((text, own[0][1], heading))
+    return left
 
 
 def main_text(html: str) -> str:
     """The article of a page: its blocks in page order, one to a line.
 
     Menus, footers, side bars, notices, adverts, forms, hidden parts and reader comments
-    are set aside by element, role, class and id. What is left is judged by its tag paths:
+    are set aside by element, role, class and id, unless they hold the page's text (see
+    ``_released``). What is left is judged by its tag paths:
     text length and punctuation marks are added up per path and divided by the path's
     blocks, smoothed along the sections of the page, and multiplied; sections whose best
     path reaches ``SHARE`` of the page's best are content. All blocks of a content section
@@ -178,8 +268,8 @@ def main_text(html: str) -> str:
         return ""
     per_path: dict[str, list[float]] = {}
     order: dict[str, int] = {}
-    for text, path, section, _ in blocks:
-        sums = per_path.setdefault(path, [0, 0, 0, order.setdefault(section, len(order))])
+    for text, element, _ in blocks:
+        sums = per_path.setdefault(element.path, [0, 0, 0, order.setdefault(element.section, len(order))])
         sums[0] += len(text)
         sums[1] += len(_PUNCTUATION.findall(text))
         sums[2] += 1
@@ -190,7 +280,8 @@ def main_text(html: str) -> str:
     fused = _smooth(lengths) * (1 + _smooth(marks))
     content = fused >= SHARE * fused.max()
     kept, wanted = [], False
-    for text, _, section, heading in reversed(blocks):
+    for text, element, heading in reversed(blocks):
+        section = element.section
         if content[order[section]]:
             wanted = True
             leads = section
