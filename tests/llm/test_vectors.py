@@ -124,3 +124,24 @@ def test_search_with_few_or_unusable_rows(spark):
     assert pstable.nearest_neighbours(frame(spark, [(1, [1, 2], 0)]), every_100()).collect() == []
     twice = lists(pstable.nearest_neighbours(frame(spark, [(0, [1, 2], 0), (0, [1, 2], 0), (7, [2, 2], 0), (7, [2, 2], 0)]), every_100()))
     assert twice == {0: [(1.0, 7)]}
+
+
+def test_search_far_above_the_sample_with_small_groups_of_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(pstable, "SAMPLE", 256)  # the share of a sample of 4,096 among 50,000
+    monkeypatch.setattr(pstable, "PART", 1000)
+    rng = np.random.default_rng(6)
+    middles = rng.standard_normal((40, 32))
+    rows = (middles[rng.integers(0, 40, 1500)] + 0.5 * rng.standard_normal((1500, 32))).tolist()
+    for i in range(0, 1500, 15):
+        copies = rows[i] + 1e-3 * rng.standard_normal((15, 32))
+        rows += copies[: 5 + i % 11].tolist()
+    order = rng.permutation(len(rows))
+    rows = [(i, np.float32(rows[x]).tolist(), 0) for i, x in enumerate(order.tolist())]
+    every_7 = F.col("vec_id") % 7 == 0
+    found = lists(pstable.nearest_neighbours(frame(spark, rows), every_7))
+    every = np.array([v for _, v, _ in rows])
+    wanted = {}
+    for i in range(0, len(rows), 7):
+        apart = np.sqrt(((every - every[i]) ** 2).sum(axis=1))
+        wanted[i] = sorted((d, j) for j, d in enumerate(apart.tolist()) if j != i)[:10]
+    assert recall(found, wanted) >= 0.93

@@ -110,8 +110,10 @@ def nearest_neighbours(
     a neighbour at its expected distance lies there, until the chance reaches ``success``
     in each table. That distance, and the width of the cells, come from a sample of
     ``SAMPLE`` vectors taken by hash over the whole table. Candidates of all tables are
-    ranked by exact distance. Queries whose distance spans too many cells, or that found
-    fewer than they asked for, are compared with every row, in blocks.
+    ranked by exact distance. A query whose ``k``-th find lies beyond the distance it was
+    aimed with visits the further cells that the distance of this find asks for. Queries
+    whose distance spans too many cells, or that found fewer than they asked for, are
+    compared with every row, in blocks.
 
     Equal vectors form a class that is stored once with its ``k + 1`` smallest ids, which is
     all that a result can need. Buckets are dealt into parts of about ``PART`` rows and
@@ -146,20 +148,18 @@ def nearest_neighbours(
     sizes = placed.groupBy("dim", "tab", "part").agg(F.ceil(F.count(F.lit(1)) / (2 * PART)).alias("salts"))
     sizes = store(sizes, "parts")
     asking = classes.join(rows.filter("asks").select("h1", "h2").distinct(), ["h1", "h2"], "left_semi")
-    asking = store(asking.select("dim", "h1", "h2", "embedding"), "queries")
-    aimed = _aimed(asking, samples, hashing, parts, counts, k, success)
-    found = store(_searched(placed, sizes, aimed, keep), "found")
+    asking = store(_expecting(asking.select("dim", "h1", "h2", "embedding"), samples, counts, k), "queries")
+    found = store(_searched(placed, sizes, _aimed(asking, hashing, parts, success), keep), "found")
     wanted = F.create_map(*[F.lit(x) for dim, (_, ids) in counts.items() for x in (dim, min(keep, ids))])
-    complete = found.groupBy("h1", "h2").agg(F.count_distinct("vec_id").alias("n"))
-    short = asking.join(complete, ["h1", "h2"], "left").filter(F.coalesce("n", F.lit(0)) < wanted[F.col("dim")])
-    short = store(short.select("dim", "h1", "h2", "embedding"), "short")
-    if not short.isEmpty():
-        every = F.explode(F.sequence(F.lit(0), F.element_at(F.create_map(*[F.lit(x) for p in parts.items() for x in p]), F.col("dim")) - 1))
-        everywhere = short.select(
-            "dim", F.lit(0).alias("tab"), every.cast("int").alias("part"), "h1", "h2", "embedding",
-            F.lit(None).cast("array<long>").alias("buckets"),
-        )
-        found = found.unionByName(_searched(placed, sizes, everywhere, keep))
+    order = Window.partitionBy("h1", "h2").orderBy("score", "vec_id")
+    finds = found.dropDuplicates(["h1", "h2", "vec_id"]).withColumn("nth", F.row_number().over(order))
+    reached = finds.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("nth") == keep, F.col("score"))).alias("reach"))
+    short = F.coalesce("n", F.lit(0)) < wanted[F.col("dim")]
+    beyond = F.coalesce(F.col("reach") > F.col("radius"), F.lit(False))
+    again = asking.join(reached, ["h1", "h2"], "left").filter(short | beyond)
+    again = store(again.select(*asking.columns, F.when(~short, F.col("reach")).alias("reach")), "again")
+    if not again.isEmpty():
+        found = found.unionByName(_searched(placed, sizes, _aimed(again, hashing, parts, success), keep))
     return _ranked(rows, found, k)
 
 
@@ -222,10 +222,33 @@ def _placed(classes: DataFrame, hashing: dict, parts: dict) -> DataFrame:
     )
 
 
-def _aimed(
-    asking: DataFrame, samples: dict, hashing: dict, parts: dict, counts: dict, k: int, success: float
-) -> DataFrame:
-    """A row per query, table and part with the buckets to visit there; no list means all."""
+def _expecting(asking: DataFrame, samples: dict, counts: dict, k: int) -> DataFrame:
+    """Every query with the ``radius`` it expects its neighbours in; null where nothing tells."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column("dim").to_numpy()
+            for dim in np.unique(dims).tolist():
+                own = batch.filter(pa.array(dims == dim))
+                radii = np.full(len(own), np.nan)
+                if dim in samples:
+                    radii = _radii(_matrix(own.column("embedding")), samples[dim], counts[dim][0], k)
+                unknown = ~(np.isfinite(radii) & (radii > 0))
+                yield pa.RecordBatch.from_arrays(
+                    [*own.columns, pa.array(radii, pa.float64(), mask=unknown)], names=[*own.schema.names, "radius"]
+                )
+
+    kind = asking.schema["embedding"].dataType.simpleString()
+    return asking.mapInArrow(run, f"dim int, h1 long, h2 long, embedding {kind}, radius double")
+
+
+def _aimed(asking: DataFrame, hashing: dict, parts: dict, success: float) -> DataFrame:
+    """A row per query, table and part with the buckets to visit there; no list means all.
+
+    Queries with a ``reach`` have searched at their ``radius`` and get the further buckets
+    that their reach asks for; where it is null, all.
+    """
+    repeated = "reach" in asking.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -234,13 +257,18 @@ def _aimed(
                 own = batch.filter(pa.array(dims == dim))
                 unit = _matrix(own.column("embedding"))
                 where, tabs, part_of, lists = [], [], [], []
+                radii = own.column("radius").to_pylist()
+                reaches = own.column("reach").to_pylist() if repeated else radii
                 if dim in hashing:
-                    radii = _radii(unit, samples[dim], counts[dim][0], k)
                     places = [hashing[dim].places(unit, tab) for tab in range(TABLES)]
-                for row in range(len(unit)):
+                for row, (radius, reach) in enumerate(zip(radii, reaches, strict=True)):
                     visits = None
-                    if dim in hashing and np.isfinite(radii[row]) and radii[row] > 0:
-                        visits = [hashing[dim].probes(places[t][row], radii[row], t, success) for t in range(TABLES)]
+                    if radius is not None and reach is not None:
+                        if repeated:
+                            before = [hashing[dim].probes(places[t][row], radius, t, success) for t in range(TABLES)]
+                            if any(v is None for v in before):
+                                continue  # it has seen all rows
+                        visits = [hashing[dim].probes(places[t][row], reach, t, success) for t in range(TABLES)]
                     if visits is None or any(v is None for v in visits):
                         for part in range(parts[dim]):
                             where.append(row)
@@ -249,6 +277,8 @@ def _aimed(
                             lists.append(None)
                         continue
                     for tab, buckets in enumerate(visits):
+                        if repeated:
+                            buckets = np.setdiff1d(buckets, before[tab])
                         homes = buckets % parts[dim]
                         for part in np.unique(homes).tolist():
                             where.append(row)
