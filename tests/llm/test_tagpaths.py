@@ -97,3 +97,20 @@ def test_self_closed_svg_and_math_are_empty():
         assert main_text(f"<article><p>One, two.</p>{empty}<p>Three, four.</p></article>") == "One, two.\nThree, four.", empty
     assert main_text("<article><p>One, <svg><text>no</text></svg>two.</p></article>") == "One, two."
     assert main_text("<article><p>One, <span hidden>x, y.</span>two.</p></article>") == "One, two."
+
+
+def test_a_page_without_an_article_keeps_leads_tables_code_and_captions():
+    long = "".join(f"<p>{f'Paragraph {i} goes on and on, with many words, some marks; and more of it. ' * 7}</p>" for i in range(6))
+    lead = "<div class=lead><p>A lead of about a hundred and fifty characters, which is what a neighbouring path may have, stands here. It is a part of the article, too.</p></div>"
+    extra = "<table><tr><td>Alpha<td>12<tr><td>Beta<td>13</table><div class=code><pre>x = 1</pre></div><div class=caption>A caption</div>"
+    menu = "".join(f"<div><a href=x>Link {i}</a></div>" for i in range(9))
+    wanted = ["A lead", "Paragraph 0", "Paragraph 5", "Alpha", "12", "Beta", "13", "x = 1", "A caption"]
+    pages = [
+        f"<body><div class=links>{menu}</div><div class=text>{lead}{long}{extra}</div><div>Copyright</div></body>",
+        f"<body><div class=links>{menu}</div><div class=page>{lead}{extra}<div class=text>{long}</div><div class=links>{menu}</div></div><div>Copyright</div></body>",
+        f"<body><div class=links>{menu}</div>{lead}{extra}<div class=text>{long}</div><div>Copyright</div></body>",
+    ]
+    for page in pages:
+        found = main_text(page)
+        assert all(f"\n{start}" in f"\n{found}" for start in wanted), found
+        assert "Link" not in found and "Copyright" not in found

@@ -83,10 +83,12 @@ class _Aside:
 class _Open:
     """An element on the way from the root: its name, its path, what sets its text aside, the article it lies in."""
 
-    __slots__ = ("name", "path", "aside", "section", "in_article", "holds")
+    __slots__ = ("name", "path", "aside", "section", "in_article", "holds", "parent", "depth", "linked")
 
-    def __init__(self, name: str, path: str, aside: _Aside | None, section: str, in_article: bool, holds: str):
+    def __init__(self, name: str, path: str, aside: _Aside | None, section: str, in_article: bool, holds: str, parent: _Open | None = None):
         self.name, self.path, self.aside, self.section, self.in_article, self.holds = name, path, aside, section, in_article, holds
+        self.parent, self.depth = parent, parent.depth + 1 if parent else 0
+        self.linked = name == "a" or bool(parent and parent.linked)
 
 
 def _weight(name: str, value: str, names: set[str]) -> int:
@@ -170,8 +172,55 @@ def _released(groups: list[_Aside], blocks: list[tuple[list[tuple[str, _Open]],
     return released
 
 
-def _blocks(html: str) -> list[tuple[str, _Open, bool]]:
-    """Text blocks outside what is set aside: text, element, and whether it is a heading."""
+def _container(elements: list[_Open]) -> _Open:
+    """The innermost element that holds all of these."""
+    common = elements[0]
+    for other in elements[1:]:
+        while other.depth > common.depth:
+            other = other.parent
+        while common is not other:
+            if common.depth > other.depth:
+                common = common.parent
+            elif other.depth > common.depth:
+                other = other.parent
+            else:
+                common, other = common.parent, other.parent
+    return common
+
+
+def _flow(blocks: list[tuple[str, _Open, bool, bool]], marked: list[bool]) -> list[bool]:
+    """Which blocks of a page without an article element belong to its text: those of the content container.
+
+    The container is the innermost section that holds all marked blocks. All its blocks are
+    kept but links without a punctuation mark in sections of nothing else (menus). Where
+    that is the page itself, only what lies between its first and last marked blocks is.
+    """
+    menus: dict[str, bool] = {}
+    for text, element, _, linked in blocks:
+        menus[element.section] = menus.get(element.section, True) and linked and not _PUNCTUATION.search(text)
+    owners = []
+    for keep, (_, element, _, _) in zip(marked, blocks, strict=True):
+        while keep and element.path != element.section:
+            element = element.parent
+        owners.append(element if keep else None)
+    container = _container(list(dict.fromkeys(one for one in owners if one is not None)))
+    first, last = marked.index(True), len(marked) - 1 - marked[::-1].index(True)
+    within, out = {container: True}, []
+    for at, (_, element, _, _) in enumerate(blocks):
+        way = []
+        while element is not None and element not in within and element.depth > container.depth:
+            way.append(element)
+            element = element.parent
+        inside = within.get(element, False)
+        within.update(dict.fromkeys(way, inside))
+        if container.name in ("", "html", "body"):
+            inside &= first <= at <= last
+        out.append(marked[at] or inside and not menus[blocks[at][1].section])
+    return out
+
+
+def _blocks(html: str) -> list[tuple[str, _Open, bool, bool]]:
+    """Text blocks outside what is set aside: text, element, whether it is a heading, whether all is links."""
     top = _Open("", "", None, "", False, "")
     stack, blocks, pieces = [top], [], []
     groups: dict[tuple[_Aside | None, str], _Aside] = {}
@@ -240,7 +289,7 @@ def _blocks(html: str) -> list[tuple[str, _Open, bool]]:
             holds = "main" if "main" in (name, holds) else name
         article = parent.in_article or name in ("article", "main")
         section = parent.section if parent.in_article else path if name in _SECTION else parent.section
-        stack.append(_Open(name, path, aside, section, article, holds))
+        stack.append(_Open(name, path, aside, section, article, holds, parent))
     end_block()
     released = _released(list(groups.values()), blocks)
     left = []
@@ -248,7 +297,7 @@ def _blocks(html: str) -> list[tuple[str, _Open, bool]]:
         own = [piece for piece in pieces if piece[1].aside is None or piece[1].aside in released]
         text = " ".join("".join(text for text, _ in own).split())
         if text:
-            left.append((text, own[0][1], heading))
+            left.append((text, own[0][1], heading, all(element.linked for text, element in own if not text.isspace())))
     return left
 
 
@@ -261,14 +310,17 @@ def main_text(html: str) -> str:
     text length and punctuation marks are added up per path and divided by the path's
     blocks, smoothed along the sections of the page, and multiplied; sections whose best
     path reaches ``SHARE`` of the page's best are content. All blocks of a content section
-    are kept, whatever their length, and so are headings that lead into one.
+    are kept, whatever their length, and so are headings that lead into one. Where no
+    article or main element has text, length and punctuation marks per character are held
+    against the best section's apart, and all blocks of the content container are kept
+    (see ``_flow``).
     """
     blocks = _blocks(html)
     if not blocks:
         return ""
     per_path: dict[str, list[float]] = {}
     order: dict[str, int] = {}
-    for text, element, _ in blocks:
+    for text, element, _, _ in blocks:
         sums = per_path.setdefault(element.path, [0, 0, 0, order.setdefault(element.section, len(order))])
         sums[0] += len(text)
         sums[1] += len(_PUNCTUATION.findall(text))
@@ -279,10 +331,17 @@ def main_text(html: str) -> str:
         marks[section] = max(marks[section], mark / count)
     fused = _smooth(lengths) * (1 + _smooth(marks))
     content = fused >= SHARE * fused.max()
+    whole = not any(element.in_article for _, element, _, _ in blocks)
+    if whole:
+        best = int(fused.argmax())
+        content |= (lengths >= SHARE * lengths[best]) & (marks * lengths[best] >= SHARE * marks[best] * lengths)
+    belongs = [bool(content[order[element.section]]) for _, element, _, _ in blocks]
+    if whole:
+        belongs = _flow(blocks, belongs)
     kept, wanted = [], False
-    for text, element, heading in reversed(blocks):
+    for (text, element, heading, _), keep in zip(reversed(blocks), reversed(belongs), strict=True):
         section = element.section
-        if content[order[section]]:
+        if keep:
             wanted = True
             leads = section
             kept.append(text)
