@@ -9,7 +9,7 @@ from pyspark.errors import PythonException, SparkRuntimeException
 from tokenizers import Tokenizer
 
 from tidemark.llm import catalog, packing
-from tidemark.llm.encoders import Encoder
+from tidemark.llm.encoders import Encoder, encoder
 
 ODD = [
     "", " ", "a", " a", "a ", "a  b", "\n", "a\nb", "a \nb", "a\n b", "a\n\n\nb", "a\tb", "x y", "don't we'll 's 't",
@@ -115,3 +115,20 @@ def test_the_rule_against_a_plain_account_of_squares():
         left[one] = left.get(one, 32) - size
         assert squares(left) == min(options)
     assert [left[k] for k in sorted(left)] == gaps.tolist()
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_control_strings_get_the_librarys_ids(name):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+    texts = [*ODD, "a<|endoftext|> b", "<|startoftext|>x <|endoftext|>", "<|ENDOFTEXT|> <|endoftext", "a  <|endoftext|>\n b"]
+    for text in texts:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert encoder(public_tokenizers.path(name)).encode(text) == np.array(ids, "<u4").tobytes(), text
+
+
+def test_documents_with_control_strings_are_packed_with_the_librarys_ids(docs_of):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    text = "a<|endoftext|> b"
+    ids = [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, 2]
+    rows = packing.packed_documents(docs_of((1, text)), path, end_id=2, with_ids=False).collect()
+    assert [(r.start, r.length, r.ids_crc32) for r in rows] == [(0, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))]

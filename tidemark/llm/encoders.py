@@ -3,7 +3,8 @@
 A tokenizer splits a text into words before it merges anything, so the ids of a text are
 the ids of its words end to end. Words repeat, so a process keeps the ids of those it has
 met, up to a bound, and asks the tokenizer only for new ones. A text whose white space
-does not cut cleanly goes to the tokenizer whole. Results equal the tokenizer's own.
+does not cut cleanly, or that holds a control string of the file, goes to the tokenizer
+whole. Results equal the tokenizer's own.
 """
 
 from __future__ import annotations
@@ -42,13 +43,18 @@ class _Words(dict):
 
 
 class Encoder:
-    """``encode(text)`` gives the ids of a text as little-endian unsigned 32-bit bytes."""
+    """``encode(text)`` gives the ids of a text as little-endian unsigned 32-bit bytes.
 
-    def __init__(self, path: str):
+    With ``controls``, control strings in a text get their own ids, as the library gives
+    them by default; without, they are encoded like other text.
+    """
+
+    def __init__(self, path: str, controls: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not controls
+        self.controls = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()] if controls else []
         model = self.tokenizer.model
         model._resize_cache(0)
         self.merge, self.letters = model.tokenize, _byte_letters()
@@ -81,6 +87,8 @@ class Encoder:
         return (self.rest if space else self.first)[letters] + self.marks[marks]
 
     def encode(self, text: str) -> bytes:
+        if any(map(text.__contains__, self.controls)):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         if not self.keeps_space:
             return b"".join(map(self.first.__getitem__, text.replace("\n", " ").split(" ")))
         if _SPACE_RUN(text):
@@ -93,5 +101,5 @@ def encoder(path: str) -> Encoder:
     """The process's encoder for a file, kept between tasks."""
     kept = sys.modules.setdefault("_tidemark_encoders", types.ModuleType("_tidemark_encoders"))
     if path not in kept.__dict__:
-        kept.__dict__[path] = Encoder(path)
+        kept.__dict__[path] = Encoder(path, controls=True)
     return kept.__dict__[path]
