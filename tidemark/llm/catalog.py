@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, forest, linetree, minmax, nbest, packing, pstable, pu, tagpaths, tokenfiles
+from tidemark.llm import (
+    audit, chat, codes, forest, linetree, minmax, nbest, packing, postings, pstable, pu, tagpaths, tokenfiles,
+)
 from tidemark.session import new_folder, store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +81,22 @@ def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linetree.drop_recurring(table(spark, sf_dir, "documents"))
 
 
+def op11_integer_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors as 16 entry numbers of codebooks fitted on all of them, with their errors."""
+    return codes.coded_rows(table(spark, sf_dir, "embeddings"))
+
+
+def op12_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against all benchmark windows of ten words."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return postings.contamination(docs, items, new_folder(spark, "postings")).drop("n_near")
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of all documents against each other and against their language."""
+    return audit.divergence(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -93,9 +111,17 @@ def queries() -> dict[str, Query]:
             op8_pu_quality,
             op9_nbest_pieces,
             op10_line_templates,
+            op11_integer_codes,
+            op12_positional_index,
+            op13_source_audit,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_line_templates": linetree.SQL}
+    return {
+        "op10_line_templates": linetree.SQL,
+        "op11_integer_codes": codes.SQL,
+        "op12_positional_index": postings.SQL,
+        "op13_source_audit": audit.SQL,
+    }
