@@ -26,7 +26,8 @@ TOP = 50
 SMOOTHING = 5
 SHARE = 1_000_000_000
 SLICE = 16 << 20
-CELLS = 1 << 21
+CELLS = 1 << 15
+MOST_CELLS = 1 << 22
 WORD_BYTES = bytes_in_words((0x41, 0x5A), (0x61, 0x7A))
 
 
@@ -178,12 +179,13 @@ def _differences(terms: pa.Table, groups: pa.Table) -> pa.Table:
 def source_pairs(kept: DataFrame, groups: DataFrame) -> DataFrame:
     """The divergence of any two sources of a language over all its kept terms: ``lang``, ``source``, ``item``, ``value``.
 
-    The terms of a language are dealt by hash into as many chunks as keep a chunk's
-    table of terms by sources within ``CELLS``; chunks are added up. Without kept terms
-    the value is 0.
+    The terms of a language are dealt by hash into chunks whose table of terms by sources
+    has about ``CELLS`` cells, or, with many sources, as many as the pairs a chunk gives
+    rise to, ``MOST_CELLS`` at most; chunks are added up. Without kept terms the value is 0.
     """
     sizes = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("width"), F.max("terms").alias("terms"))
-    sizes = sizes.select("lang", F.ceil((F.col("terms") * F.col("width") + 1) / CELLS).cast("int").alias("chunks"))
+    room = F.greatest(F.lit(CELLS), F.least(F.col("width") * F.col("width"), F.lit(MOST_CELLS)))
+    sizes = sizes.select("lang", F.ceil((F.col("terms") * F.col("width") + 1) / room).cast("int").alias("chunks"))
     chunk = F.pmod(F.xxhash64("term"), F.col("chunks")).cast("int")
     terms = kept.join(sizes, "lang").select("lang", chunk.alias("chunk"), "sources")
     chunks = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
