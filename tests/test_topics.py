@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,3 +153,109 @@ def test_a_stopped_fit_goes_on_where_it_was(spark, themed):
 def test_parts_follow_the_corpus_size():
     assert gibbs.parts_needed(0) == 1
     assert gibbs.parts_needed(1_000_001, 500_000) == 3
+
+
+def streamed(docs, budget):
+    """State rows of a first pass and a sweep over documents that come in batches of at most ``budget`` words."""
+    def batches():
+        held, words = [], 0
+        for number, (ids, topics) in enumerate(docs):
+            held.append((number, ids, topics))
+            words += len(ids)
+            if words >= budget:
+                yield held
+                held, words = [], 0
+        if held:
+            yield held
+
+    for held in batches():
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([d for d, _, _ in held], pa.int64()), pa.array([list(range(len(w))) for _, w, _ in held], pa.list_(pa.int32())),
+                pa.array([w for _, w, _ in held], pa.list_(pa.int64())), pa.array([t for _, _, t in held], pa.list_(pa.int32())),
+                pa.nulls(len(held), pa.list_(pa.int64())),
+            ],
+            names=["doc_id", "places", "words", "topics", "n"],
+        )
+
+
+@pytest.mark.parametrize("fresh", [True, False])
+def test_a_part_that_streams_equals_the_part_at_once(fresh, monkeypatch):
+    rng = np.random.default_rng(2)
+    docs = [(rng.integers(0, 40, n).tolist(), rng.integers(0, 5, n).tolist()) for n in rng.integers(1, 60, 300)]
+    monkeypatch.setattr(gibbs, "CHUNK_WORDS", 500)
+
+    def run(budget):
+        part = gibbs.Part(5, 40, 0.1, 0.01, np.random.default_rng(7))
+        if not fresh:
+            table = np.zeros((40, 5), dtype=np.int64)
+            for words, topics in docs:
+                np.add.at(table, (words, topics), 1)
+            word, topic = np.nonzero(table)
+            part.take_counts(word, topic, table[word, topic])
+            part.take_counts(np.full(5, -1), np.arange(5), table.sum(axis=0))
+        rows = pa.Table.from_batches(list(gibbs.swept(streamed(docs, budget), 0, part, fresh))).to_pylist()
+        return [r for r in rows if r["kind"] == gibbs.WORDS], [r for r in rows if r["kind"] != gibbs.WORDS]
+
+    whole, pieces = run(10**9), run(37)
+    assert whole == pieces and len(whole[0]) == len(docs)
+    # the reported changes lead from the counts before to a recount
+    change = next(r for r in whole[1] if r["kind"] == gibbs.CHANGE)
+    after, before = np.zeros((40, 5), dtype=np.int64), np.zeros((40, 5), dtype=np.int64)
+    for (words, topics), row in zip(docs, whole[0], strict=True):
+        np.add.at(after, (words, row["topics"]), 1)
+        if not fresh:
+            np.add.at(before, (words, topics), 1)
+    np.add.at(before, (change["words"], change["topics"]), change["places"])
+    assert (after == before).all()
+
+
+def test_a_part_of_ten_times_the_memory_goes_through(monkeypatch):
+    """What a first pass holds at once stays under a tenth of what streams through it."""
+    monkeypatch.setattr(gibbs, "CHUNK_WORDS", 1 << 14)
+    rng = np.random.default_rng(3)
+    docs = ((rng.integers(0, 500, 400).tolist(), [0] * 400) for _ in range(4000))
+    part = gibbs.Part(10, 500, 0.1, 0.01, np.random.default_rng(1))
+    tracemalloc.start()
+    passed = sum(b.nbytes for b in gibbs.swept(streamed(docs, 1 << 12), 0, part, True))
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert part.totals.sum() == 4000 * 400 and passed > 10 * most
+
+
+def test_a_sweep_of_a_stored_state_moves_counts_only(spark, themed):
+    folder = new_folder(spark, "lda")
+    gibbs.fit_lda(themed[0], 16, k=3, iters=1, parts=6, seed=1, folder=folder)
+    tasks = gibbs.tasks_for(spark, 6)
+    state, word_topic = gibbs._state_of(spark, folder, 1, tasks), gibbs._counts_of(spark, folder, 1)
+    again = gibbs.lda_gibbs_sweep(state, word_topic, gibbs.part_words(state), 6, 3, 16, 2, tasks=tasks)
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.rindex("Bucketed: true, DataFilters: [], Format: Parquet")].splitlines()
+    indents = [len(line) - len(line.lstrip(" :+-")) for line in above]
+    depth, path = indents[-1], []
+    for line, indent in zip(reversed(above[:-1]), reversed(indents[:-1])):
+        if indent < depth:
+            depth = indent
+            path.append(line)
+    assert any("Union" in line for line in path) and not any("Exchange" in line for line in path)
+    spark.sql(f"DROP TABLE {gibbs._table(folder, 1)}")
+
+
+def test_tasks_do_not_grow_with_the_parts(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert [gibbs.tasks_for(spark, parts) for parts in (1, 2, 10**6)] == [1, 8, 4 * cores]
+
+
+def test_a_long_fit_rises_and_ends_when_it_has_settled(spark, themed):
+    long, vocab = themed
+    size = vocab.count()
+    state, word_topic, logliks = gibbs.fit_lda(long, size, k=2, iters=100, parts=2, alpha=0.5, seed=4)
+    assert counts.check_counts(state, word_topic).count() == 0 and state.count() == long.count()
+    rows = logliks.filter("phase = 'after' and iter > 0").groupBy("iter").agg(F.sum("loglik").alias("v")).orderBy("iter").collect()
+    values = [r.v for r in rows]
+    assert [r.iter for r in rows] == list(range(1, 101))
+    assert np.mean(values[-10:]) > np.mean(values[:10])
+    early = gibbs.fit_lda(long, size, k=2, iters=100, parts=2, alpha=0.5, seed=4, tolerance=0.5)
+    assert early[2].agg(F.max("iter")).first()[0] == 1 and early[0].count() == long.count()
+    first = [tuple(r) for r in logliks.filter("iter <= 1").orderBy("iter", "part", "phase").collect()]
+    assert [tuple(r) for r in early[2].orderBy("iter", "part", "phase").collect()] == first

@@ -15,7 +15,7 @@ from tidemark.session import store
 
 K = 10
 PARTS = 16  # of the fixed assignments
-PER_PART = 25_000  # words of a part where the corpus decides their number
+PER_PART = 100_000  # words of a part where the corpus decides their number
 ALPHA, BETA = counts.ALPHA, counts.BETA
 
 
@@ -242,25 +242,28 @@ def parts_of(long) -> int:
 def account(before, state, reported, counts_before):
     """What a pass over the parts did, part by part.
 
-    Words and documents; topics out of range; words that are not where they were; the sum
-    of the reported changes; whether at least one topic in ten moved; and, for all parts,
-    counts that differ between the state and the old counts with the changes put in.
+    Words and documents; topics out of range; words that are not where they were in the
+    packed documents ``before``; the sum of the reported changes; whether these say that at
+    least one topic in ten moved; and, for all parts, counts that differ between the state
+    and the old counts with the changes put in.
     """
-    after = gibbs.assignments(state)
-    place = ["part", "doc_id", "pos", "word_id"]
-    old = before.select(*place, F.col("topic").alias("old"), F.lit(1).alias("here"))
-    joined = after.withColumn("there", F.lit(1)).join(old, place, "full")
-    by_part = joined.groupBy("part").agg(
-        F.count("there").alias("n"), F.count_distinct(F.when(F.col("there") == 1, F.col("doc_id"))).alias("docs"),
-        F.count_if(~F.col("topic").between(0, K - 1)).alias("misplaced"),
-        F.count_if(F.col("there").isNull() | F.col("here").isNull()).alias("lost"),
-        (F.count_if(F.col("topic") != F.col("old")) * 10 > F.count("there")).alias("moved"),
+    old = before.select("part", "doc_id", F.struct("places", "words").alias("was"))
+    new = gibbs.documents(state).select("part", "doc_id", F.struct("places", "words").alias("now"), "topics")
+    both = new.join(old, ["part", "doc_id"], "full")
+    size = F.greatest(*[F.coalesce(F.size(c), F.lit(0)) for c in ("now.words", "was.words")])
+    same = F.coalesce((F.col("now") == F.col("was")) & (F.size("topics") == F.size("was.words")), F.lit(False))
+    outside = (F.array_min("topics") < 0) | (F.array_max("topics") >= K)
+    by_part = both.groupBy("part").agg(
+        F.sum(F.coalesce(F.size("now.words"), F.lit(0)).cast("long")).alias("n"), F.count("now").alias("docs"),
+        F.count_if(outside).alias("misplaced"), F.sum(F.when(same, 0).otherwise(size).cast("long")).alias("lost"),
     )
-    changes = reported.groupBy("part").agg(F.sum("n").alias("change"))
-    off = counts.check_counts(after, counts.lda_sync_counts(counts_before, reported))
+    changes = reported.groupBy("part").agg(F.sum("n").alias("change"), F.sum(F.abs("n")).alias("_by"))
+    off = counts.check_counts(gibbs.assignments(state), counts.lda_sync_counts(counts_before, reported))
     off = off.agg(F.count(F.lit(1)).alias("counts_off"))
     joined = by_part.join(changes, "part", "left").withColumn("counts_off", off.scalar())
-    return joined.withColumn("change", F.coalesce("change", F.lit(0).cast("long")))
+    # a word that moves changes two counts by one
+    moved = F.coalesce(F.col("_by") * 5 > F.col("n"), F.lit(False))
+    return joined.select("part", "n", "docs", "misplaced", "lost", F.coalesce("change", F.lit(0).cast("long")).alias("change"), moved.alias("moved"), "counts_off")
 
 
 @query(f"WITH {DEALT} {SWEPT.format(change='count(*)')}")
@@ -269,10 +272,10 @@ def lda_init(spark, sf_dir):
     long, words = corpus_and_words(spark, sf_dir)
     long = store(long, "corpus")
     parts = parts_of(long)
-    dealt = corpus.assign_parts(long, parts)
-    state = store(gibbs.lda_init(gibbs.packed(dealt), parts, K, words.count(), seed=1), "state")
+    docs = store(gibbs.packed(corpus.assign_parts(long, parts)), "packed")
+    state = store(gibbs.lda_init(docs, parts, K, words.count(), seed=1), "state")
     nothing = spark.createDataFrame([], gibbs.COUNTS)
-    return account(dealt.withColumn("topic", F.lit(-1)), state, gibbs.reported_changes(state), nothing)
+    return account(docs, state, gibbs.reported_changes(state), nothing)
 
 
 @query(f"WITH {DEALT} {SWEPT.format(change='CAST(0 AS BIGINT)')}")
@@ -281,12 +284,12 @@ def lda_gibbs_sweep(spark, sf_dir):
     long, words = corpus_and_words(spark, sf_dir)
     long = store(long, "corpus")
     parts = parts_of(long)
-    before = store(corpus.assign_parts(long, parts).withColumn("topic", topic_of(31, 7)), "assignment")
+    before = corpus.assign_parts(long, parts).withColumn("topic", topic_of(31, 7))
     docs = store(gibbs.packed(before), "packed")
-    old = counts.word_topic_counts(before)
-    swept = gibbs.lda_gibbs_sweep(docs, old, gibbs.part_words(docs), parts, K, words.count(), step=1, seed=1)
+    old, in_part = store(counts.word_topic_counts(before), "counts"), store(gibbs.part_words(docs), "part-words")
+    swept = gibbs.lda_gibbs_sweep(docs, old, in_part, parts, K, words.count(), step=1, seed=1)
     swept = store(swept, "state")
-    return account(before, swept, gibbs.reported_changes(swept), old)
+    return account(docs, swept, gibbs.reported_changes(swept), old)
 
 
 ITERATIONS = 3  # a full run takes 100 or 300
