@@ -92,6 +92,25 @@ def test_phi_and_theta_are_distributions(spark, themed):
         assert row.s == pytest.approx(1.0)
 
 
+@pytest.mark.parametrize("n", [1, 3, 6, 20])
+def test_top_words_equal_the_ranking_of_all_cells(spark, n):
+    rng = np.random.default_rng(n)
+    table = rng.integers(0, 3, (12, 5)) * rng.integers(0, 2, (12, 5))
+    table[:, 3] = 0  # a topic without words, and one with two
+    table[:, 4] = [4, 0, 0, 4] + [0] * 8
+    rows = [(w, k, int(v)) for (w, k), v in np.ndenumerate(table) if v]
+    words = spark.createDataFrame([(w, f"w{w:02d}") for w in range(12)], "word_id LONG, word STRING")
+    phi = (table + counts.BETA) / (table.sum(axis=0) + 12 * counts.BETA)
+    expected = {
+        (k, r, f"w{w:02d}", round(float(phi[w, k]), 12))
+        for k in range(5) for r, w in enumerate(sorted(range(12), key=lambda w: (-table[w, k], w))[:n], 1)
+    }
+    top = counts.topic_top_words(spark.createDataFrame(rows, gibbs.COUNTS), words, 5, 12, n=n)
+    assert {(r.topic, r.rank, r.word, round(r.p, 12)) for r in top.collect()} == expected
+    plan = top._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
 def test_loglik_against_the_formula(spark, themed):
     topics, beta = 4, 0.01
     state = corpus.assign_parts(themed[0], 3).withColumn("topic", F.pmod(F.col("pos"), F.lit(3)).cast("int"))
@@ -119,15 +138,14 @@ def test_sampler_finds_the_themes(spark, themed, parts, iters):
     assert len(values) == iters and values[-1] >= values[0]
     if parts > 1:  # parts start from their own labels, so a short run need not agree on the themes
         return
-    phi = counts.lda_phi(word_topic, 2, size)
-    top = counts.topic_top_words(phi, vocab, 8).collect()
+    top = counts.topic_top_words(word_topic, vocab, 2, size, n=8).collect()
     by_topic = {t: {r.word.rstrip("0123456789") for r in top if r.topic == t} for t in (0, 1)}
     assert sorted(map(tuple, by_topic.values())) == [("hill",), ("sea",)]
     labels = themed[0].select("doc_id").distinct().withColumn(
         "entity", F.when(F.col("doc_id") % 2 == 0, "sea").otherwise("hill")
     )
     by_entity = counts.doc_label_join(counts.doc_topic_counts(state), labels)
-    leading = counts.entity_topics(by_entity, phi, vocab, 2, n=3).collect()
+    leading = counts.entity_topics(by_entity, counts.topic_top_words(word_topic, vocab, 2, size, n=3), 2).collect()
     assert all(r.word.startswith(r.entity) for r in leading) and len(leading) == 6
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import whitespace_words
@@ -120,18 +120,16 @@ def token_positions(tokens: DataFrame, target: str) -> DataFrame:
 def substring_positions(docs: DataFrame, target: str) -> DataFrame:
     """Zero-based character offsets of every, also overlapping, occurrence of ``target``.
 
-    The text is cut in front of each occurrence; a piece starts where the lengths
-    before it add up to, which the row works out by itself.
+    The text is cut in front of each occurrence and the pieces' lengths are exploded in
+    order; a piece starts where the lengths before it add up to, which a running sum per
+    row of ``docs`` gives in one pass over them.
     """
     pieces = F.split("text", f"(?={re.escape(target)})", -1)
     lengths = F.transform(pieces, lambda piece: F.length(piece).cast("long"))
-    found = docs.filter(F.contains("text", F.lit(target))).withColumn("lengths", lengths)
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("starts"))
-    summed = F.aggregate(
-        "lengths", start,
-        lambda seen, n: F.struct((seen["at"] + n).alias("at"), F.array_append(seen["starts"], seen["at"]).alias("starts")),
-        lambda seen: seen["starts"],
+    found = docs.filter(F.contains("text", F.lit(target))).select(
+        "doc_id", F.monotonically_increasing_id().alias("_row"), F.startswith("text", F.lit(target)).alias("_at_once"), lengths.alias("_lengths")
     )
-    skipped = F.when(F.startswith("text", F.lit(target)), 0).otherwise(1)
-    starts = found.select("doc_id", skipped.alias("skipped"), summed.alias("starts"))
-    return starts.select("doc_id", F.explode(F.slice("starts", F.col("skipped") + 1, F.size("starts"))).alias("pos"))
+    cuts = found.select("doc_id", "_row", "_at_once", F.posexplode("_lengths").alias("_nth", "_length"))
+    before = Window.partitionBy("_row").orderBy("_nth").rowsBetween(Window.unboundedPreceding, -1)
+    starts = cuts.withColumn("pos", F.coalesce(F.sum("_length").over(before), F.lit(0).cast("long")))
+    return starts.filter(F.col("_at_once") | (F.col("_nth") > 0)).select("doc_id", "pos")

@@ -178,11 +178,14 @@ top AS (SELECT *, CAST(row_number() OVER (PARTITION BY topic ORDER BY p DESC, wo
         QUALIFY rank <= 10)"""
 
 
+def top_words(state, words):
+    return counts.topic_top_words(store(counts.word_topic_counts(state), "counts"), words, K, words.count())
+
+
 @query(f"WITH {PHI} SELECT topic, rank, word, {fixed_sql('p', 8)} AS p FROM top")
 def topic_top_words(spark, sf_dir):
     state, words = fixed_state(spark, sf_dir)
-    phi = counts.lda_phi(counts.word_topic_counts(state), K, words.count())
-    return counts.topic_top_words(phi, words).withColumn("p", fixed("p", 8))
+    return top_words(state, words).withColumn("p", fixed("p", 8))
 
 
 ENTITY_COUNTS = """nek AS (SELECT entity_whole AS entity, topic, count(*) AS n FROM state JOIN entity_docs USING (doc_id) GROUP BY ALL)"""
@@ -201,10 +204,9 @@ lead_topic AS (SELECT entity, topic, p FROM theta QUALIFY row_number() OVER (PAR
 SELECT entity, topic, {fixed_sql('lead_topic.p', 8)} AS share, rank, word FROM lead_topic JOIN top USING (topic)""")
 def entity_topics(spark, sf_dir):
     state, words = fixed_state(spark, sf_dir)
-    phi = counts.lda_phi(counts.word_topic_counts(state), K, words.count())
     labels = documents_with_entity(spark, sf_dir, chars=None).select("doc_id", "entity")
     by_entity = counts.doc_label_join(counts.doc_topic_counts(state), labels)
-    return counts.entity_topics(by_entity, phi, words, K).withColumn("share", fixed("share", 8))
+    return counts.entity_topics(by_entity, top_words(state, words), K).withColumn("share", fixed("share", 8))
 
 
 @query(f"""WITH {STATE}, damaged AS (SELECT word_id, topic, n + 1 AS n FROM nwk WHERE topic = 3)
