@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import times as tm
+from tidemark.operators import mentions
 from tidemark.operators import posts as ps
 from tidemark.sources import readers, writers
 
@@ -136,6 +137,8 @@ def test_joined_tagging_equals_the_patterns(spark, monkeypatch):
     by_pattern = rows()
     monkeypatch.setattr(ps, "MAX_PATTERN_TERMS", 0)
     assert rows() == by_pattern
+    monkeypatch.setattr(mentions, "MAX_TERM_CHARS", 0)
+    assert rows() == by_pattern
     assert len({tuple(v) for v in by_pattern.values()}) > 5
 
 
@@ -163,6 +166,53 @@ def test_large_dictionaries_give_the_same_on_repeated_ids(spark, terms, monkeypa
     written_out = results()
     monkeypatch.setattr(ps, "MAX_PATTERN_TERMS", 0)
     assert results() == written_out
+    monkeypatch.setattr(mentions, "MAX_TERM_CHARS", 0)
+    assert results() == written_out
+
+
+def test_fifty_thousand_terms_equal_the_guard_by_hand(spark, monkeypatch):
+    """Half of the terms have a blank; automaton, join and a plain search agree, and the automaton shuffles nothing."""
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(3, 6))) for _ in range(4000)]
+    found = {(rng.choice(words).upper() if i % 2 else f"{rng.choice(words)} {rng.choice(words)}") + str(i) for i in range(50_000)}
+    found = sorted(found | set(words[:300]) | {f"{a} {b}" for a, b in zip(words[300:600], words[600:900])})
+    rows = [("p", f"e{i % 400}", i % 400, t, i) for i, t in enumerate(found)]
+    terms = spark.createDataFrame(rows, "party STRING, entity STRING, entity_pos INT, term STRING, term_pos INT")
+    texts = [rng.choice(" #@.").join(rng.choices([*words[:900], *found], k=12)) for _ in range(200)]
+    texts += [None, "", found[7], f"x{found[7]}", f"#{found[9]}s"]
+    posts = spark.createDataFrame(list(enumerate(texts)), "id LONG, text STRING")
+
+    def lower(text):
+        return text.encode().lower().decode()
+
+    owners = {}
+    for _, entity, at, term, _ in rows:
+        owners.setdefault(lower(term), set()).add((at, entity))
+    longest = max(map(len, found))
+
+    def by_hand(text):
+        text, hits = lower(text or ""), set()
+        for start in (i for i in range(len(text)) if i == 0 or text[i - 1] in " \t\n\x0b\f\r#@"):
+            for n in range(1, longest + 1):
+                hits |= owners.get(text[start : start + n], set()) if start + n <= len(text) else set()
+        return [e for _, e in sorted(hits)] or ["general"]
+
+    expected = {i: by_hand(t) for i, t in enumerate(texts)}
+    tagged = ps.tag_entities(posts, terms)
+    assert {r.id: r.search_terms for r in tagged.collect()} == expected
+    assert "Exchange" not in tagged._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(mentions, "MAX_TERM_CHARS", 0)
+    assert {r.id: r.search_terms for r in ps.tag_entities(posts, terms).collect()} == expected
+    assert sum(len(v) > 1 for v in expected.values()) > 100
+
+
+def test_callers_columns_may_have_any_name(spark, terms, monkeypatch):
+    df = spark.createDataFrame([("jeb", 1, 2, 3, 4, 5)], "text STRING, _hit_0 INT, _hits INT, _text_key INT, _opening_key INT, _terms INT")
+    for patterns, chars in ((64, 10**6), (0, 10**6), (0, 0)):
+        monkeypatch.setattr(ps, "MAX_PATTERN_TERMS", patterns)
+        monkeypatch.setattr(mentions, "MAX_TERM_CHARS", chars)
+        assert tuple(ps.tag_entities(df, terms).first()) == ("jeb", 1, 2, 3, 4, 5, ["bush"])
+    assert tuple(ps.entity_from_prefix(df, terms).first()) == ("jeb", 1, 2, 3, 4, 5, "bush")
 
 
 def test_hashtags_are_searched_on_request(spark, terms):
@@ -186,6 +236,32 @@ def test_entity_from_prefix(spark, terms):
     assert got == texts
 
 
+def test_entity_from_prefix_with_fifty_thousand_terms(spark):
+    rng = random.Random(5)
+    found = list({"".join(rng.choices("abcdefghij", k=rng.randint(1, 9))) for _ in range(52_000)} - set("abcdefghij"))
+    found = [t for t in found if len(t) > 4] + ["ab", "cde", "fghi"]
+    rows = [("p", f"e{i % 300}", i % 300, t.upper(), i) for i, t in enumerate(found)]
+    terms = spark.createDataFrame(rows, "party STRING, entity STRING, entity_pos INT, term STRING, term_pos INT")
+    texts = [" ".join("".join(rng.choices("abcdefghijk", k=rng.randint(1, 12))) for _ in range(8)) for _ in range(150)]
+    texts += ["", None, "kkk kkkab kcdek", found[3], f"x{found[3]}", "fghi FGHI"]
+    exact = ("fghi", found[3])
+    rank = {t: (i % 300, i) for i, t in enumerate(found)}
+
+    def by_hand(text):
+        for word in (text or "").lower().split():
+            parts = {word[i:j] for i in range(len(word)) for j in range(i + 1, len(word) + 1)}
+            held = [rank[p] for p in parts if p in rank and (p not in exact or p == word)]
+            if held:
+                return f"e{min(held)[0]}"
+        return "general"
+
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id LONG, text STRING")
+    tagged = ps.entity_from_prefix(docs, terms, chars=None, exact=exact)
+    assert {r.doc_id: r.entity for r in tagged.collect()} == {i: by_hand(t) for i, t in enumerate(texts)}
+    plan = tagged._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
 def test_term_dimension(spark, terms):
     rows = {(r.party, r.entity, r.entity_pos, r.term, r.term_pos) for r in terms.collect()}
     assert ("gop", "rand", 1, "randpaul", 1) in rows

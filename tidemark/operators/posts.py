@@ -9,10 +9,10 @@ from tidemark import schemas
 from tidemark.functions import text as tx
 from tidemark.functions import times as tm
 from tidemark.operators import mentions
-from tidemark.session import rows_if_small
+from tidemark.session import explode_words, rows_if_small, spare_names, store
 from tidemark.sources.readers import GENERAL, pool_terms, select_party
 
-MAX_PATTERN_TERMS = 2_000  # beyond this, a dictionary is joined instead of written into patterns
+MAX_PATTERN_TERMS = 64  # beyond this, a dictionary goes into an automaton instead of patterns
 MAX_INDICATORS = 2_000  # columns
 
 # ---------------------------------------------------------------- decoding
@@ -67,8 +67,8 @@ def eligible_posts(
 ) -> DataFrame:
     """Original English posts without links or media that mention a tracked term.
 
-    A dictionary beyond what a pattern can hold is joined instead, or in compat mode
-    matched as one array value; the result is the same.
+    A dictionary of many terms is matched as ``tag_entities`` does it; the result is the
+    same.
     """
     keep = (
         F.col("delete").isNull()
@@ -80,13 +80,14 @@ def eligible_posts(
     if check_limit:
         keep = keep & F.col("limit").isNull()
     pooled = rows_if_small(pool_terms(terms), MAX_PATTERN_TERMS)
-    if pooled is None and mode == "strict":
-        return mentions.mentioning(posts.filter(keep), terms)
     if pooled is None:
         order = F.struct(F.col("entity") == GENERAL, "entity_pos", "term_pos")
         pool = terms.select(F.lit(0).alias("entity_pos"), F.lit(GENERAL).alias("entity"), "term", order.alias("term_pos"))
-        found = mentions.with_hits(posts.filter(keep), F.col("text"), pool, mode)
-        return found.filter(F.size(mentions.HITS) > 0).drop(mentions.HITS)
+        if mode != "strict":
+            (hits,) = spare_names(posts, "_hits")
+            return mentions.with_hits(posts.filter(keep), F.col("text"), pool, mode, hits).filter(F.size(hits) > 0).drop(hits)
+        find = mentions.finder(pool)
+        return mentions.mentioning(posts.filter(keep), terms) if find is None else posts.filter(keep).filter(F.size(find(F.col("text"))) > 0)
     return posts.filter(keep & _yes(tx.matches_terms(F.col("text"), [r.term for r in pooled], mode)))
 
 
@@ -174,36 +175,33 @@ def tag_entities(
 ) -> DataFrame:
     """Add ``search_terms``: every entity the text mentions, else ``['general']``.
 
-    A dictionary of ordinary size becomes one pattern per entity, so tagging is a
-    narrow projection: no join, no shuffle, whatever the entity mix. A large one is
-    joined instead, on a hash of the text, or in compat mode matched as one array
-    value; the result is the same.
+    Few terms become one pattern per entity; more go into one automaton that reads a
+    text once, whatever the number of terms and entities. Either way tagging is a
+    narrow projection: no join, no shuffle, whatever the entity mix. Only a dictionary
+    too large to be sent to every task is joined instead, on a hash of the text. In
+    compat mode many terms are matched as one array value. The result is the same.
     """
     entities = entity_terms(terms, party)
-    if entities is None and mode != "strict":
-        searched = _with_hashtags() if include_hashtags else F.col("text")
-        found = mentions.with_hits(posts, searched, select_party(terms, party), mode)
-        named = F.col(f"{mentions.HITS}.entity")
-        return found.withColumn(
-            "search_terms", F.when(F.size(named) > 0, named).otherwise(F.array(F.lit(GENERAL)))
-        ).drop(mentions.HITS)
-    if entities is None:
-        if include_hashtags:
-            posts = posts.withColumn("_text", F.col("text")).withColumn("text", _with_hashtags())
-        tagged = mentions.tag_entities_joined(posts, terms, party)
-        return tagged.withColumn("text", F.col("_text")).drop("_text") if include_hashtags else tagged
     searched = _with_hashtags() if include_hashtags else F.col("text")
-    flags = {f"_hit_{i}": tx.matches_terms(searched, found, mode) for i, (_, found) in enumerate(entities)}
-    named = F.array_compact(F.array(*[F.when(F.col(f), F.lit(e)) for f, (e, _) in zip(flags, entities)]))
-    return (
-        posts.withColumns(flags)
-        .withColumn("search_terms", named)
-        .withColumn(
-            "search_terms",
-            F.when(F.size("search_terms") > 0, F.col("search_terms")).otherwise(F.array(F.lit(GENERAL))),
-        )
-        .drop(*flags)
-    )
+    if entities is None:
+        named = select_party(terms, party)
+        find = mentions.finder(named) if mode == "strict" else None
+        if mode == "strict" and find is None:
+            return mentions.tag_entities_joined(posts, terms, party, searched)
+        (hits,) = spare_names(posts, "_hits")
+        if find is None:
+            found = mentions.with_hits(posts, searched, named, mode, hits).withColumn(hits, F.col(f"{hits}.entity"))
+        else:
+            found = posts.withColumn(hits, find(searched))
+        return found.withColumn("search_terms", _or_general(F.col(hits))).drop(hits)
+    flags = dict(zip(spare_names(posts, *[f"_hit_{i}" for i in range(len(entities))]), entities, strict=True))
+    tagged = posts.withColumns({f: tx.matches_terms(searched, found, mode) for f, (_, found) in flags.items()})
+    named = F.array_compact(F.array(*[F.when(F.col(f), F.lit(e)) for f, (e, _) in flags.items()]))
+    return tagged.withColumn("search_terms", named).withColumn("search_terms", _or_general(F.col("search_terms"))).drop(*flags)
+
+
+def _or_general(names: Column) -> Column:
+    return F.when(F.size(names) > 0, names).otherwise(F.array(F.lit(GENERAL)))
 
 
 def primary_entity(tagged: DataFrame) -> DataFrame:
@@ -252,25 +250,25 @@ def entity_from_prefix(
     """Add ``entity``: that of the first word holding a term, else ``general``.
 
     Only the opening ``chars`` characters decide, all with None. Terms listed in
-    ``exact`` must equal the word, all others may be any part of it. The dictionary
-    is one array value that Spark works out itself, so it may have any size.
+    ``exact`` must equal the word, all others may be any part of it. Of several terms in
+    a word the first of the dictionary counts. Each different word is looked up once,
+    through an index of the terms by runs of characters, so neither a document nor a word
+    is held against the whole dictionary.
     """
     rows = select_party(terms, None).select("entity_pos", "term_pos", F.lower("term").alias("term"), "entity")
-    ordered = rows.agg(F.sort_array(F.collect_list(F.struct("*"))).alias("terms")).scalar()
     opening = F.col("text") if chars is None else F.substring("text", 1, chars)
-
-    def held(word: Column, entry: Column) -> Column:
-        return F.when(entry["term"].isin(*exact), word == entry["term"]).otherwise(F.contains(word, entry["term"]))
-
-    def owner(word: Column) -> Column:
-        """Entity of the first term the word holds."""
-        return F.get(F.filter("_terms", lambda entry: held(word, entry)), F.lit(0))["entity"]
-
-    words = F.array_distinct(tx.whitespace_words(F.lower(opening)))
-    owners = F.array_compact(F.transform(words, owner))
-    return docs.withColumn("_terms", ordered).withColumn(
-        "entity", F.coalesce(F.get(owners, F.lit(0)), F.lit(GENERAL))
-    ).drop("_terms")
+    key, named = spare_names(docs, "_opening_key", "_named")
+    keyed = docs.withColumn(key, F.sha2(opening, 256))
+    texts = keyed.select(F.col(key).alias("key"), tx.whitespace_words(F.lower(opening)).alias("words"))
+    places = explode_words(texts, ["key"], F.col("words"), "pos")
+    found = mentions.words_holding(places.select("word").distinct(), rows)
+    found = found.filter(~F.col("term").isin(*exact) | (F.col("word") == F.col("term")))
+    owners = found.groupBy("word").agg(F.min(F.struct("entity_pos", "term_pos", "term", "entity")).alias("first"))
+    owners = store(owners.select("word", F.col("first.entity").alias("entity")), "word-owners")
+    first = places.join(owners, "word").groupBy(F.col("key").alias(key)).agg(F.min(F.struct("pos", "entity")).alias(named))
+    out = keyed.join(first, key, "left")
+    entity = F.coalesce(F.col(f"{named}.entity"), F.lit(GENERAL)).alias("entity")
+    return out.select(*[c for c in docs.columns if c != "entity"], entity)
 
 
 # ---------------------------------------------------------------- projection

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+
 def local_session(cores: str = "*", app: str = "tidemark", **conf: str) -> SparkSession:
     """A session for tests and benchmarks. On a cluster, use the session it gives you."""
     settings = {
@@ -61,6 +62,17 @@ def spread_out(df: DataFrame, parts: int | None = None) -> DataFrame:
     return df.repartition(parts) if df.rdd.getNumPartitions() < parts else df
 
 
+def spare_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Each name, with underscores in front until no column of ``df`` is called so, in any case."""
+    taken = {name.lower() for name in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def explode_words(df: DataFrame, keep: list[str], words: Column, pos: str | None = None, name: str = "word") -> DataFrame:
     """One row per element of a computed array; rows with an empty array vanish.
 
