@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemark.operators import posts as ps
@@ -98,6 +99,67 @@ def test_bounded_run_stops_an_endless_query(spark, folder):
     assert not query.isActive
 
 
+def started(raw, out, broken=None):
+    def write(batch, number):
+        if number == broken:
+            raise ConnectionError
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={number}")
+
+    return raw.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}-checkpoint").trigger(availableNow=True).start()
+
+
+def test_replayed_batches_are_bounded_by_posts(spark, folder):
+    """Six files of about ten posts as batches of four; a stream that broke goes on where it was."""
+    out, cut = new_folder(spark, "bounded"), new_folder(spark, "cut")
+    with pytest.raises(StreamingQueryException):
+        started(jobs.replay_stream(spark, folder, posts_per_batch=4, folder=cut), out, broken=3).awaitTermination()
+    started(jobs.replay_stream(spark, folder, posts_per_batch=4, folder=cut), out).awaitTermination()
+    rows = spark.read.parquet(out)
+    sizes = sorted(r["count"] for r in rows.groupBy("batch_id").count().collect())
+    assert sizes == [1, *[4] * 15]
+    lines = sorted(r.value for r in spark.read.text(folder).collect())
+    assert sorted(r.value for r in rows.select("value").collect()) == lines
+
+
+def test_an_empty_folder_replays_nothing(spark):
+    path, out = new_folder(spark, "empty"), new_folder(spark, "bounded")
+    spark.createDataFrame([], "value STRING").write.text(path)
+    assert jobs.run_bounded(started(jobs.replay_stream(spark, path, posts_per_batch=4), out), minutes=5, batches=2)
+
+
+def test_compacted_summaries_stay_the_same_and_few(spark, terms, lexicon, folder):
+    out, plain = new_folder(spark, "out"), new_folder(spark, "out")
+    for path, every in ((out, 2), (plain, 10**6)):
+        raw = jobs.replay_stream(spark, folder, posts_per_batch=7)
+        jobs.fan_out(raw, terms, lexicon, path, compact_every=every).trigger(availableNow=True).start().awaitTermination()
+
+    def rows(path):
+        return sorted(str(r) for r in jobs.read_summary(spark, path, terms).collect())
+
+    assert rows(out) == rows(plain)
+    bases, batches = jobs._summary_folders(spark, out)
+    assert bases == [5, 7] and batches == [6, 7, 8]
+    assert jobs._summary_folders(spark, plain) == ([], list(range(9)))
+    jobs.compact_summary(spark, out, 7)  # a batch that is tried again makes the same base
+    assert rows(out) == rows(plain)
+    late = spark.read.parquet(f"{out}/summary/batch_id=8")
+    late.write.parquet(f"{out}/summary/batch_id=9")  # more posts of intervals long closed still count
+    more = jobs.read_summary(spark, out, terms).agg(F.sum("num_posts")).first()[0]
+    assert more == jobs.read_summary(spark, plain, terms).agg(F.sum("num_posts")).first()[0] + late.agg(F.sum("num_posts")).first()[0]
+
+
+def test_audit_holds_writes_against_tables(spark, terms, lexicon, folder):
+    out = new_folder(spark, "out")
+    raw = jobs.replay_stream(spark, folder, files_per_trigger=2)
+    jobs.fan_out(raw, terms, lexicon, out).trigger(availableNow=True).start().awaitTermination()
+    rows = {r.sink: tuple(r)[1:] for r in jobs.read_audit(spark, out).collect()}
+    assert set(rows) == {"posts", "summary", "dead"} and rows["dead"] == (1, 1, 1, 1)
+    assert all(r[:2] == r[2:] and r[0] > 0 for r in rows.values())
+    jobs.read_posts(spark, out).limit(1).write.parquet(f"{out}/posts/batch_id=99")  # a row no write saw
+    rows = {r.sink: tuple(r)[1:] for r in jobs.read_audit(spark, out).collect()}
+    assert rows["posts"][0] + 1 == rows["posts"][2]
+
+
 def test_unknown_source(spark):
     with pytest.raises(ValueError):
         jobs.stream_posts(spark, "pigeon")

@@ -51,6 +51,19 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def paths_like(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths in any store Spark reaches that match a glob pattern."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [one.getPath().toString() for one in found or []]
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder this library wrote."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread_out(df: DataFrame, parts: int | None = None) -> DataFrame:
     """Spread rows over the cores where the input has too few pieces to keep them busy.
 
