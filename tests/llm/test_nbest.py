@@ -91,3 +91,30 @@ def test_null_empty_long_and_repeated_texts(docs_of, empty_docs):
     assert len({tuple(r.ids) for r in rows if r.doc_id == 3}) == 3
     assert not any(r.round_trip for r in rows if r.doc_id is None)
     assert nbest.segmentations(empty_docs, PATH).collect() == []
+
+
+def test_best_and_its_loss_equal_the_search(tool):
+    rng = np.random.default_rng(4)
+    texts = ["▁", "é", "😀", "▁segmenting", "日本語", "aaaaaaaaaaaa", "x퟿"]
+    texts += ["".join(rng.choice(list("▁abdeinorst,.é日"), rng.integers(1, 14))) for _ in range(400)]
+    for text in texts:
+        (score, ids), *more = tool.lattice.search(text, 2)
+        best = tool.lattice.best(text)
+        assert best[0] == ids and best[1] == pytest.approx(score)
+        assert best[2] == (pytest.approx(score - more[0][0], abs=1e-9) if more else np.inf)
+    assert tool.lattice.parts_of_many(texts) == [tool.lattice.parts(text) for text in texts]
+    for size in {len(text) for text in texts}:
+        alike = [text for text in texts if len(text) == size]
+        assert tool.lattice.best_of_many(alike) == [tool.lattice.best(text) for text in alike]
+
+
+def test_learnt_words_equal_words_met_alone(tool, monkeypatch):
+    rng = np.random.default_rng(5)
+    words = {"▁" + "".join(rng.choice(list("abdeinorst,.é日"), rng.integers(1, 9))) for _ in range(700)}
+    monkeypatch.setattr(nbest, "MANY", 2)
+    monkeypatch.setattr(nbest, "REMEMBERED", 300)
+    learnt, alone = nbest._Words(tool.lattice), nbest._Words(tool.lattice)
+    learnt.learn(words)
+    learnt.learn(set())
+    assert {w: learnt[w] for w in words} == {w: alone[w] for w in words}
+    assert len(alone) <= 300 and len(alone.older) <= 300

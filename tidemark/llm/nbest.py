@@ -19,6 +19,7 @@ from tidemark.llm.arrow import slices
 
 NBEST = 3
 REMEMBERED = 900_000
+MANY, TOGETHER, LONGEST = 32, 1 << 14, 64  # strings of one length that are searched together, and their length
 UNKNOWN_PENALTY = 10.0
 SPACE = "▁"
 _RUNS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
@@ -33,8 +34,18 @@ class Lattice:
     def __init__(self, scores: dict[str, tuple[float, bytes]], raw_bytes: list[bytes], unknown: float):
         self.raw_bytes, self.unknown = raw_bytes, unknown
         self.pairs = {piece[k : k + 2] for piece in scores for k in range(len(piece) - 1)}
+        self.pair_keys = np.array([ord(a) << 21 | ord(b) for a, b in self.pairs], dtype=np.int64)
         self.known = dict.fromkeys((piece[:k] for piece in scores for k in range(1, len(piece) + 1)))
         self.known.update(scores)
+        # the same as numbered states, the empty beginning first, and sorted steps from state and character to state
+        state = {"": 0} | {piece: i for i, piece in enumerate(self.known, 1)}
+        self.chars = np.unique(np.array([ord(piece[-1]) for piece in self.known], dtype=np.int64))
+        letter = {c: i for i, c in enumerate(self.chars.tolist())}
+        steps = np.array([state[p[:-1]] * len(letter) + letter[ord(p[-1])] for p in self.known], dtype=np.int64)
+        order = np.argsort(steps)
+        self.steps, self.targets = steps[order], order + 1
+        self.worth = np.array([np.nan, *[found[0] if found else np.nan for found in self.known.values()]])
+        self.ids = [b"", *[found[1] if found else b"" for found in self.known.values()]]
 
     def search(self, text: str, n: int) -> Paths:
         """The ``n`` best ways to cut ``text``, by backward A* search.
@@ -81,6 +92,92 @@ class Lattice:
             out.append((done, ids))
         return out
 
+    def best(self, text: str) -> tuple[bytes, float, float]:
+        """Ids and score of the best way to cut ``text``, and what the next best loses.
+
+        The next best leaves the best, seen from the end, at some place on it, by another
+        piece that ends there and the best before that piece. So the forward pass that
+        ``search`` takes as its heuristic knows it, if it keeps the best two per place.
+        """
+        known, size, unknown, raw_bytes = self.known, len(text), self.unknown, self.raw_bytes
+        first, second = [-np.inf] * (size + 1), [-np.inf] * (size + 1)
+        back, pieces = [0] * (size + 1), [b""] * (size + 1)
+        first[0] = 0.0
+        for begin in range(size):
+            base = first[begin]
+            for end in range(begin + 1, size + 1):
+                found = known.get(text[begin:end], False)
+                if found:
+                    through, piece = found
+                    through += base
+                elif end == begin + 1:
+                    through = base + unknown
+                    piece = b"".join([raw_bytes[b] for b in text[begin].encode("utf-8", "surrogatepass")])
+                elif found is None:
+                    continue
+                else:
+                    break
+                if through >= first[end]:
+                    second[end] = first[end]
+                    first[end], back[end], pieces[end] = through, begin, piece
+                elif through > second[end]:
+                    second[end] = through
+        loss, place, taken = np.inf, size, []
+        while place:
+            if first[place] - second[place] < loss:
+                loss = first[place] - second[place]
+            taken.append(pieces[place])
+            place = back[place]
+        taken.reverse()
+        return b"".join(taken), first[size], loss
+
+    def best_of_many(self, texts: list[str]) -> list[tuple[bytes, float, float]]:
+        """``best`` of strings of one length, all in one pass: the same sums in the same order."""
+        count, size = len(texts), len(texts[0])
+        points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(count, size).astype(np.int64)
+        letters = np.minimum(np.searchsorted(self.chars, points), len(self.chars) - 1)
+        letters[self.chars[letters] != points] = -1
+        first, second = (np.full((size + 1, count), -np.inf) for _ in range(2))
+        back, piece = (np.zeros((size + 1, count), dtype=np.int64) for _ in range(2))
+        first[0] = 0.0
+        for begin in range(size):
+            rows, state, base = np.arange(count), np.zeros(count, dtype=np.int64), first[begin]
+            for end in range(begin + 1, size + 1):
+                letter = letters[rows, end - 1]
+                step = state * len(self.chars) + letter
+                at = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
+                alive = (self.steps[at] == step) & (letter >= 0)
+                reached = np.where(alive, self.targets[at], 0)
+                worth = self.worth[reached]
+                ends = ~np.isnan(worth)
+                if end == begin + 1:  # a character that is no piece goes by its bytes, under state 0
+                    worth, reached, ends = np.where(ends, worth, self.unknown), np.where(ends, reached, 0), np.ones(count, dtype=bool)
+                row, through = rows[ends], base[rows[ends]] + worth[ends]
+                best = first[end, row]
+                better = through >= best
+                second[end, row] = np.where(better, best, np.maximum(second[end, row], through))
+                won = row[better]
+                first[end, won], back[end, won], piece[end, won] = through[better], begin, reached[ends][better]
+                rows, state = rows[alive], self.targets[at][alive]
+                if not len(rows):
+                    break
+        place, losses = np.full(count, size), np.full(count, np.inf)
+        cuts: list[list[bytes]] = [[] for _ in texts]
+        rows = np.arange(count)
+        while len(rows):
+            here = place[rows]
+            losses[rows] = np.minimum(losses[rows], first[here, rows] - second[here, rows])
+            start = back[here, rows]
+            for row, taken, begin in zip(rows.tolist(), piece[here, rows].tolist(), start.tolist(), strict=True):
+                if taken:
+                    cuts[row].append(self.ids[taken])
+                else:
+                    raw = texts[row][begin].encode("utf-8", "surrogatepass")
+                    cuts[row].append(b"".join([self.raw_bytes[b] for b in raw]))
+            place[rows] = start
+            rows = rows[start > 0]
+        return [(b"".join(cut[::-1]), score, loss) for cut, score, loss in zip(cuts, first[size].tolist(), losses.tolist(), strict=True)]
+
     def parts(self, text: str) -> list[str]:
         """A string cut where no piece of the vocabulary holds both neighbours."""
         pairs, out, begin = self.pairs, [], 0
@@ -90,6 +187,21 @@ class Lattice:
                 begin = k
         return [*out, text[begin:]]
 
+    def parts_of_many(self, texts: list[str]) -> list[list[str]]:
+        """``parts`` of many strings that are not empty, in one pass."""
+        whole = "".join(texts)
+        points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+        sizes = np.array([len(text) for text in texts], dtype=np.int64)
+        ends = np.cumsum(sizes)
+        opens = np.ones(len(points), dtype=bool)
+        opens[1:] = ~np.isin((points[:-1] << 21) | points[1:], self.pair_keys)
+        opens[(ends - sizes)[sizes > 0]] = True
+        starts = np.flatnonzero(opens)
+        stops = np.append(starts[1:], len(points))
+        pieces = [whole[low:high] for low, high in zip(starts.tolist(), stops[: len(starts)].tolist(), strict=True)]
+        last = np.searchsorted(starts, ends).tolist()
+        return [pieces[low:high] for low, high in zip([0, *last[:-1]], last, strict=True)] if texts else []
+
     def cut(self, text: str, n: int) -> Paths:
         """As ``search``, part by part."""
         first, *rest = self.parts(text)
@@ -101,22 +213,47 @@ class Lattice:
 
 
 class _Words(dict):
-    """Per word met so far: ids and score of its best path, and what the next best loses."""
+    """Per word met lately: ids and score of its best path, and what the next best loses.
+
+    Words come into the dictionary itself; when half of what may be remembered is there,
+    it becomes the older half, from which words still in use come back.
+    """
 
     def __init__(self, lattice: Lattice):
         super().__init__()
         self.lattice = lattice
+        self.older: dict[str, tuple[bytes, float, float]] = {}
+
+    def learn(self, words: set[str]) -> None:
+        """Meet many words at once; their parts of one length are searched together."""
+        fresh = [word for word in words if word not in self and word not in self.older]
+        parts_of = self.lattice.parts_of_many(fresh)
+        by_size: dict[int, list[str]] = {}
+        for part in {part for parts in parts_of for part in parts}:
+            if part not in self and part not in self.older:
+                by_size.setdefault(len(part), []).append(part)
+        for size, parts in by_size.items():
+            if MANY <= len(parts) and size <= LONGEST:
+                for low in range(0, len(parts), TOGETHER):
+                    some = parts[low : low + TOGETHER]
+                    self.update(zip(some, self.lattice.best_of_many(some), strict=True))
+        for word, parts in zip(fresh, parts_of, strict=True):
+            if len(parts) > 1:
+                self[word] = self.joined(parts)
+
+    def joined(self, parts: list[str]) -> tuple[bytes, float, float]:
+        """The best of a whole from that of its parts; the next best is that of one part."""
+        ids, scores, losses = zip(*[self[part] for part in parts], strict=True)
+        return b"".join(ids), sum(scores), min(losses)
 
     def __missing__(self, word: str) -> tuple[bytes, float, float]:
-        if len(self) >= REMEMBERED:
+        if 2 * len(self) >= REMEMBERED:
+            self.older = dict(self)
             self.clear()
-        parts = self.lattice.parts(word)
-        if len(parts) > 1:  # the next best of the whole is that of one part
-            ids, scores, losses = zip(*[self[part] for part in parts], strict=True)
-            found = (b"".join(ids), sum(scores), min(losses))
-        else:
-            (score, ids), *more = self.lattice.search(word, 2)
-            found = (ids, score, score - more[0][0] if more else np.inf)
+        found = self.older.get(word)
+        if found is None:
+            parts = self.lattice.parts(word)
+            found = self.joined(parts) if len(parts) > 1 else self.lattice.best(word)
         self[word] = found
         return found
 
@@ -151,7 +288,13 @@ class Segmenter:
         ``n`` best of the text can differ from its best only in the ``n - 1`` words that
         lose least by it, whose paths are joined one after the other.
         """
-        words = self.split(self.normalize(text))
+        return self.ranked_words(self.words_of(text))
+
+    def words_of(self, text: str) -> list[str]:
+        return self.split(self.normalize(text))
+
+    def ranked_words(self, words: list[str]) -> list[tuple[float, bytes, tuple]]:
+        """As ``ranked``, of a text's words."""
         if not words:
             return [(0.0, b"", ())]
         ids, scores, losses = zip(*map(self.words.__getitem__, words), strict=True)
@@ -234,9 +377,12 @@ def segmentations(
         tool = segmenter(model, n)
         for batch in slices(batches, "text"):
             rows, ranks, scores, sizes, sums, trips, ids = [], [], [], [], [], [], []
-            for row, whole in enumerate(batch.column("text").to_pylist()):
+            texts = batch.column("text").to_pylist()
+            words = [tool.words_of(text) for text in texts]
+            tool.words.learn(set().union(*words))
+            for row, whole in enumerate(texts):
                 same = False
-                for rank, (score, pieces, swapped) in enumerate(tool.ranked(whole), 1):
+                for rank, (score, pieces, swapped) in enumerate(tool.ranked_words(words[row]), 1):
                     same = tool.written_alike(swapped) and same if swapped else tool.decode(pieces) == whole
                     rows.append(row)
                     ranks.append(rank)
