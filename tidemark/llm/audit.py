@@ -25,7 +25,7 @@ DOCUMENTS = 30
 TOP = 50
 SMOOTHING = 5
 SHARE = 1_000_000_000
-SLICE = 16 << 20
+SLICE = 4 << 20
 CELLS = 1 << 15
 MOST_CELLS = 1 << 22
 WORD_BYTES = bytes_in_words((0x41, 0x5A), (0x61, 0x7A))
