@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import heapq
 import re
 import sys
@@ -374,7 +375,13 @@ def segmentations(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = segmenter(model, n)
+        gc.disable()  # nothing here refers to itself, and each pass would walk all remembered words
+        try:
+            yield from segmented(batches, segmenter(model, n))
+        finally:
+            gc.enable()
+
+    def segmented(batches: Iterator[pa.RecordBatch], tool: Segmenter) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             rows, ranks, scores, sizes, sums, trips, ids = [], [], [], [], [], [], []
             texts = batch.column("text").to_pylist()
