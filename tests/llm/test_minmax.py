@@ -102,6 +102,26 @@ def test_nulls_short_texts_and_repeats(docs_of, empty_docs):
     assert minmax.near_duplicates(empty_docs).collect() == []
 
 
+def test_texts_that_share_an_id_are_documents_of_their_own(docs_of):
+    rng = random.Random(8)
+    one, other = (" ".join(f"{c}{rng.randrange(900)}" for _ in range(80)) for c in "ab")
+    rows = [(1, one), (1, other), (2, f"{one} more"), (3, f"{other} more"), (5, other.upper()), (5, one)]
+    found = minmax.near_duplicates(docs_of(*rows)).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(1, 1), (2, 1), (3, 1), (5, 1)}
+    assert sum(r.chosen for r in found) == 2 and all(r.kept for r in found if r.chosen)
+    apart = minmax.near_duplicates(docs_of((0, f"{other} more"), (1, one), (1, other), (4, one))).collect()
+    assert sorted((r.doc_id, r.component_id, r.chosen) for r in apart) == [(0, 0, True), (1, 0, False), (1, 1, True), (4, 1, False)]
+    alike = minmax.near_duplicates(docs_of((1, one), (1, one.upper()), (1, f"{one} more"), (1, one))).collect()
+    assert {r.component_id for r in alike} == {1} and len({r.mark for r in alike if r.chosen}) == 1
+
+
+def test_sketches_keep_whole_hashes_below_the_bound():
+    values = np.sort(np.random.default_rng(1).integers(0, 2**64, 4096, dtype=np.uint64))
+    assert minmax._below(values, 0) is values
+    for halvings in (1, 2, 5):
+        assert minmax._below(values, halvings).tolist() == [v for v in values.tolist() if v < 2**64 >> halvings]
+
+
 def test_shingles_of_a_very_long_text_and_of_sliced_columns():
     text = " ".join(f"w{i % 5000}" for i in range(200_000))
     column = pa.array(["skip", None, text, "a b c d e f", ""])[1:]

@@ -65,3 +65,14 @@ def test_stages_on_empty_null_and_repeated_documents(spark):
             at = store(stage(spark, at, SF_DIR), "stage")
         assert {r.doc_id for r in at.collect()} == ({1, 2, 3, None} if given is docs else set())
         assert at.groupBy("doc_id", "piece").count().filter("count > 1").isEmpty()
+
+
+def test_near_duplicates_stage_judges_texts_that_share_an_id_apart(spark):
+    """A text that resembles nothing stays, whatever else stands under its id; own columns of any name stay too."""
+    one, other = (" ".join(f"{c}{i * 7 % 91}" for i in range(80)) for c in "ab")
+    rows = [(0, f"{other} more", "keep"), (1, one, "keep"), (1, other, "copy"), (1, one, "keep"), (4, one, "copy"), (5, None, "keep"), (None, one, "keep")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _mark string")
+    left = corpus_pipeline.one_of_a_kind(spark, docs, SF_DIR)
+    assert left.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted([(0, f"{other} more"), (1, one), (5, None), (None, one)], key=str)
+    assert {r._mark for r in left.collect()} == {"keep"}

@@ -11,7 +11,7 @@ from tidemark.session import store
 def components(edges: DataFrame) -> DataFrame:
     """Smallest reachable node per node: columns ``node``, ``component``.
 
-    ``edges`` has longs ``a`` and ``b``; direction, repeats and loops do not matter, and
+    ``edges`` has ``a`` and ``b``, longs or any type with an order; direction, repeats and loops do not matter, and
     nodes without an edge to another do not appear. Large-star and small-star steps take
     turns until no edge changes: every step is an aggregation to one row per node and an
     equi-join, so a node with very many neighbours is split like any skewed join key, and

@@ -97,49 +97,65 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: int, width: int = WIDTH) -> DataFrame:
-    """The pairs (``a``, ``b``) whose whole sets reach ``percent``, with ``a`` the centre of a group.
+    """The pairs (``a``, ``b``, with their marks) whose whole sets reach ``percent``, with ``a`` the centre of a group.
 
     Only documents named in a pair are looked up. A centre's members are dealt into groups
     of about ``MEMBERS``; each group streams past its centre's set, so a task holds one set
     at a time.
     """
-    groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).alias("n"))
-    dealt = pairs.join(store(groups, "groups"), "a").withColumn("salt", F.pmod(F.xxhash64("b", "b_mark"), F.col("n")))
-    centres = dealt.select(
-        F.col("a").alias("doc_id"), F.col("a_mark").alias("mark"), F.col("a").alias("g"), "salt", F.lit(0).alias("part")
-    ).distinct()
-    members = dealt.select(
-        F.col("b").alias("doc_id"), F.col("b_mark").alias("mark"), F.col("a").alias("g"), "salt", F.lit(1).alias("part")
-    )
+    group = [F.col("a").alias("g"), F.col("a_mark").alias("g_mark"), "salt"]
+    groups = pairs.groupBy("a", "a_mark").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).alias("n"))
+    dealt = pairs.join(store(groups, "groups"), ["a", "a_mark"])
+    dealt = dealt.withColumn("salt", F.pmod(F.xxhash64("b", "b_mark"), F.col("n")))
+    centres = dealt.select(F.col("a").alias("doc_id"), F.col("a_mark").alias("mark"), *group, F.lit(0).alias("part")).distinct()
+    members = dealt.select(F.col("b").alias("doc_id"), F.col("b_mark").alias("mark"), *group, F.lit(1).alias("part"))
     wanted = centres.unionByName(members)
     rows = _texts(docs, key, text).join(wanted.hint("shuffle_hash"), ["doc_id", "mark"])
-    rows = rows.repartition("g", "salt").sortWithinPartitions("g", "salt", "part")
+    rows = rows.repartition("g", "g_mark", "salt").sortWithinPartitions("g", "g_mark", "salt", "part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, centre = None, np.empty(0, np.uint64)
+        held, centre = None, np.empty(0, np.uint64)
         for batch in slices(batches, "text"):
             data, at = utf8_view(batch.column("text"))
             sets, ends = shingle_sets(data, at, width)
-            left, right = [], []
-            columns = [batch.column(name).to_numpy() for name in ("g", "salt", "part", "doc_id")]
-            for row, (g, salt, part, doc) in enumerate(zip(*columns, strict=True)):
+            good = []
+            columns = [batch.column(name).to_pylist() for name in ("g", "g_mark", "salt", "part")]
+            for row, (*tag, part) in enumerate(zip(*columns, strict=True)):
                 own = sets[ends[row] : ends[row + 1]]
                 if part == 0:
-                    group, centre = (g, salt), own.copy()
-                elif group == (g, salt):
+                    held, centre = tag, own.copy()
+                elif held == tag:
                     both = len(np.intersect1d(centre, own, assume_unique=True))
                     if 100 * both >= percent * (len(centre) + len(own) - both):
-                        left.append(g)
-                        right.append(doc)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(left, type=pa.int64()), pa.array(right, type=pa.int64())], names=["a", "b"]
-            )
+                        good.append(row)
+            found = batch.select(["g", "g_mark", "doc_id", "mark"]).take(pa.array(good, pa.int64()))
+            yield found.rename_columns(["a", "a_mark", "b", "b_mark"])
+
+    wanted = ["g", "g_mark", "salt", "part", "doc_id", "mark", "text"]
+    return rows.select(*wanted).mapInArrow(run, "a long, a_mark long, b long, b_mark long")
+
+
+def _joined(links: DataFrame) -> DataFrame:
+    """Per linked document (``rep``, ``mark``) the smallest one it is joined with: ``component``, ``component_mark``.
+
+    A document is its id and the mark of its text, so texts that share an id are nodes of their own.
+    """
+    ends = [F.struct(F.col(end).alias("id"), F.col(f"{end}_mark").alias("mark")).alias(end) for end in ("a", "b")]
+    return components(links.select(*ends)).select(
+        F.col("node.id").alias("rep"),
+        F.col("node.mark").alias("mark"),
+        F.col("component.id").alias("component"),
+        F.col("component.mark").alias("component_mark"),
+    )
 
-    return rows.select("g", "salt", "part", "doc_id", "text").mapInArrow(run, "a long, b long")
+
+def _below(values: np.ndarray, halvings: int) -> np.ndarray:
+    """The sorted hashes below a bound that is halved so many times; all of them under the whole one."""
+    return values[: np.searchsorted(values, np.uint64(1 << (64 - halvings)))] if halvings else values
 
 
 def _sketches(rows: DataFrame, width: int) -> DataFrame:
-    """Shortened hashes of the shingles of documents that are given with their text.
+    """Hashes of the shingles of documents that are given with their text.
 
     A set of up to ``WHOLE`` shingles is kept whole. From larger ones only hashes below a
     bound are kept, which halves with each doubling of the size (``halvings`` times), so
@@ -149,12 +165,12 @@ def _sketches(rows: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets, ends = shingle_sets(*utf8_view(batch.column("text")), width)
-            short = (mixed(sets) >> np.uint64(32)).astype(np.uint32)
+            spread = mixed(sets)
             halvings = np.ceil(np.log2(np.maximum(np.diff(ends), 1) / WHOLE)).clip(0).astype(np.int32)
             kept = []
             for low, high, times in zip(ends[:-1], ends[1:], halvings, strict=True):
-                own = np.unique(short[low:high])
-                kept.append(own[: np.searchsorted(own, (1 << 32) >> int(times))].tobytes())
+                own = np.sort(spread[low:high])
+                kept.append(_below(own, int(times)).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("mark"), pa.array(halvings), pa.array(kept, pa.binary())],
                 names=["doc_id", "mark", "halvings", "sketch"],
@@ -186,26 +202,24 @@ def _shared(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
 def _alike(group: pd.DataFrame, percent: int) -> pd.DataFrame | None:
     """Pairs of a chunk pair that lie in different components and reach ``percent``.
 
-    Where both sets are whole the similarity is exact, and of the pairs found only those
+    Where both sets are whole the similarity is that of the sets, and of the pairs found only those
     are returned that join components not yet joined here. Sampled sets count as reaching
     the mark up to ``DEVIATIONS`` standard errors below it, and all such pairs are returned.
     """
-    doc, mark, component, size, own, halvings = (
-        group[c].to_numpy() for c in ("doc_id", "mark", "component", "n_shingles", "own", "halvings")
-    )
-    sets = [np.frombuffer(x, np.uint32) for x in group["sketch"]]
+    doc, mark, size, own, halvings = (group[c].to_numpy() for c in ("doc_id", "mark", "n_shingles", "own", "halvings"))
+    component = group.groupby(["component", "component_mark"]).ngroup().to_numpy()
+    sets = [np.frombuffer(x, np.uint64) for x in group["sketch"]]
     low, high = group["low"].iloc[0], group["high"].iloc[0]
     first, second = np.flatnonzero(own == low), np.flatnonzero(own == high)
     if not len(first) or not len(second):
         return None
     pairs = []
     for times in np.unique(halvings[np.concatenate([first, second])]).tolist():
-        bound = (1 << 32) >> times
         left = first[np.isin(halvings[first], (times - 1, times))]
         right = second[np.isin(halvings[second], (times - 1, times))]
         if not len(left) or not len(right):
             continue
-        cut = {x: sets[x][: np.searchsorted(sets[x], bound)] for x in {*left.tolist(), *right.tolist()}}
+        cut = {x: _below(sets[x], times) for x in {*left.tolist(), *right.tolist()}}
         both = _shared([cut[x] for x in left.tolist()], [cut[x] for x in right.tolist()])
         counts = {x: len(v) for x, v in cut.items()}
         total = np.array([counts[x] for x in left.tolist()])[:, None] + [counts[x] for x in right.tolist()] - both
@@ -243,8 +257,8 @@ def _alike(group: pd.DataFrame, percent: int) -> pd.DataFrame | None:
 def _within_buckets(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs to confirm across the components that one bucket still holds.
 
-    ``rows`` has key, m (size of the bucket), doc_id, mark, n_shingles, component, halvings
-    and sketch. Buckets are cut into chunks, and every two chunks meet once, so a task
+    ``rows`` has key, m (size of the bucket), doc_id, mark, n_shingles, component and its
+    mark, halvings and sketch. Buckets are cut into chunks, and every two chunks meet once, so a task
     holds two chunks whatever the size of the bucket.
     """
     parts = F.ceil(F.col("m") / CHUNK).cast("int")
@@ -267,7 +281,7 @@ def _within_buckets(rows: DataFrame, percent: int) -> DataFrame:
         if held is not None and len(held) and (pairs := _alike(held, percent)) is not None:
             yield pairs
 
-    wanted = ["key", "low", "high", "own", "doc_id", "mark", "n_shingles", "component", "halvings", "sketch"]
+    wanted = ["key", "low", "high", "own", "doc_id", "mark", "n_shingles", "component", "component_mark", "halvings", "sketch"]
     return (
         met.select(*wanted)
         .mapInPandas(run, "a long, a_mark long, b long, b_mark long")
@@ -281,7 +295,8 @@ def near_duplicates(
     """Groups of documents linked by a Jaccard similarity of ``percent`` or more.
 
     Returns ``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable over
-    links) and ``kept`` (the id is the component's). Steps:
+    links), ``kept`` (the id is the component's), ``mark`` (a hash of the text) and
+    ``chosen`` (of the component's rows with that id, those of its first text). Steps:
 
     1. one pass over the texts takes min-max signatures, band keys and set digests;
     2. documents with equal sets form a class; only its smallest id goes on;
@@ -297,18 +312,18 @@ def near_duplicates(
     rests on the whole sets.
 
     Null or empty texts and texts without words have size 0 and link with nothing. Rows
-    with one id and different texts are judged apart, under that id; exact repeats of a
-    row come out as often as they go in. A null id is a document of its own text whose
+    with one id and different texts are documents of their own, told apart by ``mark``,
+    from the search to the components: one of them may link where the other does not, and
+    of two that link only one is ``chosen``. Exact repeats of a row come out as often as
+    they go in and are chosen alike. A null id is a document of its own text whose
     component is the smallest id of its class, or null. Other columns are ignored. An
     empty table gives no rows.
     """
     rows = store(features(docs, key, text, width), "minmax")
     digest = ["n_shingles", "d1", "d2"]
-    classes = (
-        rows.filter("n_shingles > 0")
-        .groupBy(*digest)
-        .agg(F.min("doc_id").alias("rep"), F.min_by("mark", "doc_id").alias("mark"), F.count(F.lit(1)).alias("copies"))
-    )
+    classes = rows.filter("n_shingles > 0").groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.min_by("mark", "doc_id").alias("mark"))
+    # stored, so that a class is known by one and the same of several texts under its smallest id
+    classes = store(classes, "classes")
     heads = classes.select(F.col("rep").alias("doc_id"), "mark", *digest)
     heads = rows.join(heads, ["doc_id", "mark", *digest], "left_semi").dropDuplicates(["doc_id", "mark"])
     members = heads.select("doc_id", "mark", "n_shingles", F.explode("bands").alias("key"))
@@ -336,19 +351,16 @@ def near_duplicates(
         .dropDuplicates(["a", "a_mark", "b", "b_mark"])
     )
     links = store(confirmed(store(spokes, "spokes"), docs, key, text, percent, width), "links")
-    reached = components(links)
+    reached = _joined(links)
 
-    named = placed.filter("m > 2").join(
-        reached.select(F.col("node").alias("doc_id"), F.col("component").alias("found")), "doc_id", "left"
-    )
-    named = named.withColumn("component", F.coalesce("found", "doc_id")).drop("found")
-    open_keys = (
-        named.groupBy("key")
-        .agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
-        .filter("c0 <> c1")
-        .select("key")
+    named = placed.filter("m > 2").join(reached.withColumnRenamed("rep", "doc_id"), ["doc_id", "mark"], "left")
+    named = named.withColumns(
+        {"component": F.coalesce("component", "doc_id"), "component_mark": F.coalesce("component_mark", "mark")}
     )
-    left = named.join(open_keys, "key", "left_semi").select("key", "m", "doc_id", "mark", "n_shingles", "component")
+    several = [F.min(c) != F.max(c) for c in ("component", "component_mark")]
+    open_keys = named.groupBy("key").agg((several[0] | several[1]).alias("open")).filter("open").select("key")
+    left = named.join(open_keys, "key", "left_semi")
+    left = left.select("key", "m", "doc_id", "mark", "n_shingles", "component", "component_mark")
     left = store(left, "open-buckets")
     asked = left.select("doc_id", "mark").distinct().hint("shuffle_hash")
     seen = _texts(docs, key, text).join(asked, ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"])
@@ -356,15 +368,19 @@ def near_duplicates(
     more = store(_within_buckets(left, percent), "inner-pairs")
     if not more.isEmpty():
         links = store(links.unionByName(confirmed(more, docs, key, text, percent, width)), "links")
-        reached = components(links)
+        reached = _joined(links)
 
-    grouped = classes.join(
-        reached.select(F.col("node").alias("rep"), "component"), "rep", "left"
-    ).select(*digest, F.coalesce("component", "rep").alias("component"))
+    grouped = classes.join(reached, ["rep", "mark"], "left").select(
+        *digest,
+        F.coalesce("component", "rep").alias("component"),
+        F.coalesce("component_mark", "mark").alias("component_mark"),
+    )
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
+    chosen = F.col("kept") & ((F.col("n_shingles") == 0) | F.col("mark").eqNullSafe(F.col("component_mark")))
     return (
-        rows.select("doc_id", *digest)
+        rows.select("doc_id", "mark", *digest)
         .join(grouped, digest, "left")
-        .select("doc_id", "n_shingles", component.alias("component_id"))
+        .withColumn("component_id", component)
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select("doc_id", "n_shingles", "component_id", "kept", "mark", chosen.alias("chosen"))
     )
