@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import linetree, minmax, packing, pu
+from tidemark.llm.names import spare
 from tidemark.session import store
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -34,11 +35,14 @@ def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_a_kind(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id, and all that have none.
 
-    A document without an id cannot be named as the copy of another and stays, once per text.
+    Texts that share an id are documents of their own: each stays or goes by what its own text resembles, once
+    per text. A document without an id cannot be named as the copy of another and stays.
     """
-    gone = minmax.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    left = docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti")
-    return left.withColumn("_mark", F.xxhash64("text")).dropDuplicates(["doc_id", "_mark"]).select(docs.columns)
+    (mark,) = spare(docs, "_mark")
+    gone = minmax.near_duplicates(docs).filter("not chosen").select("doc_id", F.col("mark").alias(mark)).distinct()
+    marked = docs.withColumn(mark, F.xxhash64(F.coalesce("text", F.lit(""))))
+    left = marked.join(gone.hint("shuffle_hash"), ["doc_id", mark], "left_anti")
+    return left.dropDuplicates(["doc_id", mark]).select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
