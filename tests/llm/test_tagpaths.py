@@ -114,3 +114,56 @@ def test_a_page_without_an_article_keeps_leads_tables_code_and_captions():
         found = main_text(page)
         assert all(f"\n{start}" in f"\n{found}" for start in wanted), found
         assert "Link" not in found and "Copyright" not in found
+
+
+def test_leads_and_tails_beside_the_only_text_section_are_kept():
+    long = "".join(f"<p>{f'Paragraph {i} goes on and on, with many words, some marks; and more of it. ' * 5}</p>" for i in range(5))
+    lead, tail = "Lead, short.", "A tail of one sentence, which closes all that was said before it."
+    inner = f"<div class=intro>{lead}</div><div class=text>{long}</div><div class=more>{tail}</div>"
+    around = [
+        "<body><div id=wrap>{}</div></body>", "<body><nav>Home, now.</nav><section>{}</section><footer>All rights, here.</footer></body>",
+        "<body><div><div id=wrap>{}</div></div><div>Copyright</div></body>", "<div class=page><center>{}</center></div>",
+        "<table><tr><td><a href=x>Home</a></td><td>{}</td></tr></table>", "<body><ul><li><a href=x>Home</a></ul><div>{}</div></body>",
+        "<body><div class=sidebar>Buy, now.</div><div class=col>{}</div></body>", "<form><div>{}</div></form>",
+    ]
+    inners = [
+        inner, inner.replace("<div class=text>", "<div class=outer><div class=text>").replace("</div><div class=more>", "</div></div><div class=more>"),
+        f"<p class=intro>{lead}</p><div class=text>{long}</div><p>{tail}</p>", f"{lead}<div class=text>{long}</div>{tail}",
+    ]
+    for page in around:
+        for one in inners:
+            found = main_text(page.format(one)).split("\n")
+            assert (found[0], found[-1], len(found)) == (lead, tail, 7), (page, one[:60], found)
+
+
+def test_text_without_sentences_beside_the_text_does_not_widen_it():
+    long = "".join(f"<p>{f'Paragraph {i} goes on and on, with many words, some marks; and more of it. ' * 5}</p>" for i in range(5))
+    page = f"<body><div><div>Copyright</div><div class=text>{long}</div><div><a href=x>More, to read.</a></div></div></body>"
+    assert len(main_text(page).split("\n")) == 5
+
+
+def test_names_do_not_take_a_paragraph_of_an_article_away():
+    for kind in ("teaser", "meta lead", "byline", "post-header"):
+        assert main_text(f"<article><p class='{kind}'>What it is about.</p>{BODY}</article>") == f"What it is about.\n{BODY_TEXT}", kind
+        assert main_text(f"<body><div><p class='{kind}'>What it is about.</p>{BODY}</div></body>") == f"What it is about.\n{BODY_TEXT}", kind
+    for kind in ("ad", "cookie-notice", "share", "comment"):
+        assert main_text(f"<article><p class='{kind}'>What it is about.</p>{BODY}</article>") == BODY_TEXT, kind
+
+
+def test_cells_and_rows_of_a_layout_table_are_told_apart():
+    menu = "<a href=x>Home</a><br><a href=x>About</a>"
+    pages = [
+        f"<table><tr><td>{menu}</td><td>{BODY}</td></tr></table>", f"<table><tr><td>{menu}</td></tr><tr><td>{BODY}</td></tr></table>",
+        f"<table><tr><td>{menu}<td>{BODY}<td>{menu}</table>", f"<table><tr><td colspan=2>{menu}<tr><td>{menu}<td>{BODY}<tr><td>Imprint</table>",
+        f"<table><tbody><tr><td>{menu}</td><td><div>{BODY}</div></td></tr></tbody></table>",
+    ]
+    for page in pages:
+        assert main_text(page) == BODY_TEXT, page
+    data = "<table>" + "".join(f"<tr><td>Row {i}<td>{i}" for i in range(9)) + "</table>"
+    assert main_text(f"<body><div>{BODY}{data}</div></body>").count("\n") == 5 + 18
+    assert main_text(f"<article>{BODY}{data}</article>").count("\n") == 5 + 18
+
+
+def test_an_empty_table_of_pages(spark):
+    schema = "page_id long, url string, html string"
+    assert tagpaths.extracted(spark.createDataFrame([], schema)).schema.names == ["page_id", "url", "text", "n_chars"]

@@ -37,6 +37,7 @@ _BLOCK = {
 _FOREIGN = {"svg", "math"}  # those that a slash at the end of the tag closes
 _EMPTY = re.compile(r"(?:^|[\s\"']|(?<![^\s])[^\s=\"']+)/$")
 _SECTION = {"article", "body", "div", "main", "section", "td", "center", "html"}
+_CELLS = {"tr", "td", "th"}  # told apart by their place, since cells beside each other hold different things
 _HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 # Start tags that end an open element of these kinds, which HTML lets authors leave unclosed.
 _CLOSES = {
@@ -56,6 +57,7 @@ _ASIDE_NAMES = {
     "subscribe", "tags", "teaser", "toolbar", "topbar", "topnav", "widget", "widgets",
 }
 _IN_ARTICLE = {"header"}  # what heads an article belongs to it
+_OF_PARAGRAPHS = {"author", "banner", "byline", "header", "masthead", "meta", "teaser"}  # a paragraph so called may be a lead
 _QUALIFIERS = {"has", "with", "no", "without", "free"}  # of a class that tells what a page has, and not what it is
 _READERS = {"comment", "commentform", "commentlist", "comments", "disqus", "replies", "reply", "respond"}
 _WRAPPERS = {"fieldset", "form", "label"}  # elements that may as well hold a whole page
@@ -63,6 +65,9 @@ _ASIDE_ROLES = {
     "alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar",
     "navigation", "note", "search", "status", "toolbar",
 }
+_PAGE = {"", "html", "body"}
+_GRID = {"table", "thead", "tbody", "tfoot", "tr"}
+_SENTENCE = re.compile(r"[.!?…。！？؟][\"'”’»)]*(?:\s|$)")
 SHARE = 0.2
 LITTLE = 0.05
 PROSE = 200
@@ -83,12 +88,13 @@ class _Aside:
 class _Open:
     """An element on the way from the root: its name, its path, what sets its text aside, the article it lies in."""
 
-    __slots__ = ("name", "path", "aside", "section", "in_article", "holds", "parent", "depth", "linked")
+    __slots__ = ("name", "path", "aside", "section", "in_article", "holds", "parent", "depth", "linked", "cells")
 
     def __init__(self, name: str, path: str, aside: _Aside | None, section: str, in_article: bool, holds: str, parent: _Open | None = None):
         self.name, self.path, self.aside, self.section, self.in_article, self.holds = name, path, aside, section, in_article, holds
         self.parent, self.depth = parent, parent.depth + 1 if parent else 0
         self.linked = name == "a" or bool(parent and parent.linked)
+        self.cells = 0
 
 
 def _weight(name: str, value: str, names: set[str]) -> int:
@@ -112,7 +118,8 @@ def _set_aside(name: str, attributes: str, parent: _Open) -> tuple[int, str]:
             key, value = key.lower(), value.strip("\"'")
             if key in ("class", "id"):
                 if name not in ("html", "body", "main"):
-                    aside = max(aside, _weight(name, value, _ASIDE_NAMES - _IN_ARTICLE if parent.in_article else _ASIDE_NAMES))
+                    names = _ASIDE_NAMES - _OF_PARAGRAPHS if name == "p" else _ASIDE_NAMES
+                    aside = max(aside, _weight(name, value, names - _IN_ARTICLE if parent.in_article else names))
                 if key == "class":
                     label = "." + value.split()[0] if value.split() else ""
             elif key == "role":
@@ -188,12 +195,37 @@ def _container(elements: list[_Open]) -> _Open:
     return common
 
 
+def _widened(section: _Open, blocks: list[tuple[str, _Open, bool, bool]]) -> _Open:
+    """The closest element around a section with other text, if that holds sentences; or else the section.
+
+    The page itself does not count, nor does a row of cells: what stands beside the text there is the page's frame.
+    """
+    around: dict[_Open, list[bool]] = {}
+    for text, element, _, linked in blocks:
+        way = element
+        while way is not None and way is not section:
+            way = way.parent
+        if way is None:
+            sentence = not linked and bool(_SENTENCE.search(text))
+            while element is not None:
+                around.setdefault(element, []).append(sentence)
+                element = element.parent
+    parent = section.parent
+    while parent is not None and parent not in around:
+        parent = parent.parent
+    if parent is None or parent.name in _PAGE or parent.name in _GRID or not any(around[parent]):
+        return section
+    return parent
+
+
 def _flow(blocks: list[tuple[str, _Open, bool, bool]], marked: list[bool]) -> list[bool]:
     """Which blocks of a page without an article element belong to its text: those of the content container.
 
-    The container is the innermost section that holds all marked blocks. All its blocks are
-    kept but links without a punctuation mark in sections of nothing else (menus). Where
-    that is the page itself, only what lies between its first and last marked blocks is.
+    The container is the innermost section that holds all marked blocks. Where that is one
+    section alone, it widens to the element around it if that has sentences beside it (a lead,
+    a tail). All blocks of the container are kept but links without a punctuation mark in
+    sections of nothing else (menus). Where the container is the page itself, only what lies
+    between its first and last marked blocks is.
     """
     menus: dict[str, bool] = {}
     for text, element, _, linked in blocks:
@@ -203,7 +235,8 @@ def _flow(blocks: list[tuple[str, _Open, bool, bool]], marked: list[bool]) -> li
         while keep and element.path != element.section:
             element = element.parent
         owners.append(element if keep else None)
-    container = _container(list(dict.fromkeys(one for one in owners if one is not None)))
+    sections = list(dict.fromkeys(one for one in owners if one is not None))
+    container = _container(sections) if len(sections) > 1 else _widened(sections[0], blocks)
     first, last = marked.index(True), len(marked) - 1 - marked[::-1].index(True)
     within, out = {container: True}, []
     for at, (_, element, _, _) in enumerate(blocks):
@@ -213,7 +246,7 @@ def _flow(blocks: list[tuple[str, _Open, bool, bool]], marked: list[bool]) -> li
             element = element.parent
         inside = within.get(element, False)
         within.update(dict.fromkeys(way, inside))
-        if container.name in ("", "html", "body"):
+        if container.name in _PAGE:
             inside &= first <= at <= last
         out.append(marked[at] or inside and not menus[blocks[at][1].section])
     return out
@@ -279,6 +312,9 @@ def _blocks(html: str) -> list[tuple[str, _Open, bool, bool]]:
         parent = stack[-1]
         weight, label = _set_aside(name, token[3], parent)
         path = f"{parent.path}/{name}{label}"
+        if name in _CELLS and not parent.in_article:
+            parent.cells += 1
+            path += f"[{parent.cells}]"
         aside, holds = parent.aside, parent.holds
         if weight:
             kind = (aside, f"{path} {weight}")
