@@ -23,6 +23,7 @@ MEMBERS = 64
 WHOLE = 1024
 DEVIATIONS = 4
 COLUMNS = 1 << 14
+SLICE = 1 << 20  # bytes of text at a time: shingles take about fifty bytes of memory a byte, which workers keep
 _FEATURES = "n_shingles long, d1 long, d2 long, bands array<long>"
 
 
@@ -63,7 +64,7 @@ def features(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             data, at = utf8_view(batch.column("text"))
             sets, ends = shingle_sets(data, at, width)
             sizes = np.diff(ends)
@@ -115,7 +116,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, centre = None, np.empty(0, np.uint64)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             data, at = utf8_view(batch.column("text"))
             sets, ends = shingle_sets(data, at, width)
             good = []
@@ -163,7 +164,7 @@ def _sketches(rows: DataFrame, width: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             sets, ends = shingle_sets(*utf8_view(batch.column("text")), width)
             spread = mixed(sets)
             halvings = np.ceil(np.log2(np.maximum(np.diff(ends), 1) / WHOLE)).clip(0).astype(np.int32)

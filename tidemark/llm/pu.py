@@ -22,6 +22,7 @@ PASSES = 25
 STEPS = (1.0, 0.5, 0.25, 0.125, 0.03125)
 LIMIT = 8.0
 THRESHOLD = 0.3
+SLICE = 1 << 20  # bytes of text whose style is measured at a time
 POSITIVE, UNLABELLED, OTHER = 1, 0, -1
 
 
@@ -53,7 +54,7 @@ def styled(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """``doc_id`` and the style numbers ``x`` of every whole text; null counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             numbers = style(*utf8_view(batch.column("text")))
             ends = pa.array(np.arange(len(numbers) + 1, dtype=np.int32) * WIDTH)
             lists = pa.ListArray.from_arrays(ends, pa.array(numbers.reshape(-1)))
@@ -216,7 +217,7 @@ def keep_good(
     names, (whole,) = docs.columns, spare(docs, "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, whole):
+        for batch in slices(batches, whole, SLICE):
             good = model.scores(style(*utf8_view(batch.column(whole)))) >= threshold
             yield batch.select(names).filter(pa.array(good))
 
