@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import tracemalloc
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -259,6 +260,45 @@ def test_a_sweep_of_a_stored_state_moves_counts_only(spark, themed):
     spark.sql(f"DROP TABLE {gibbs._table(folder, 1)}")
 
 
+def test_a_part_gets_its_counts_in_a_fixed_number_of_rows(spark, monkeypatch):
+    """A row per word made Arrow go over all earlier rows of a batch again for each of them."""
+
+    def counting(*_):
+        def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(list(batches))
+            held = table.filter(table["n"].is_valid())
+            words, times, topics, n = (gibbs._flat(held[c]) for c in ("words", "places", "topics", "n"))
+            assert times.sum() == len(n) == len(topics)
+            seen = [held.num_rows, int((words >= 0).sum()), int(n.sum())]
+            lists = {"words": pa.array([seen], pa.list_(pa.int64()))}
+            yield gibbs._rows(gibbs.CHANGE, key[0].as_py(), 1, **lists)
+
+        return run
+
+    monkeypatch.setattr(gibbs, "_task", counting)
+    long = spark.range(3000).selectExpr("id % 10 AS doc_id", "CAST(id AS INT) AS pos", "id % 1000 AS word_id", "CAST(id % 7 AS INT) AS topic")
+    long = corpus.assign_parts(long, 2)
+    docs = gibbs.packed(long)
+    swept = gibbs.lda_gibbs_sweep(docs, counts.word_topic_counts(long), gibbs.part_words(docs), 2, 7, 1000, 1)
+    rows = {r.part: r.words for r in swept.collect()}
+    assert sorted(rows) == [0, 1]
+    # the counts of its 500 words, three of each, and the totals of all words
+    assert all(given <= gibbs.COUNT_ROWS and own == 500 and total == 1500 + 3000 for given, own, total in rows.values())
+
+
+def test_changes_of_parts_move_once(spark):
+    """Words before and after meet in one exchange; counts of their own for each made a second one and a map more a task."""
+    long = spark.range(400).selectExpr("id % 10 AS doc_id", "id % 2 AS part", "id % 20 AS word_id", "CAST(id % 7 AS INT) AS topic")
+    later = long.withColumn("topic", F.when(F.col("word_id") < 3, 0).otherwise(F.col("topic")))
+    changes = counts.part_changes(long, later)
+    plan = changes._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
+    rows = [r for r in changes.collect()]
+    assert all(r.word_id < 3 and r.n and (r.n > 0) == (r.topic == 0) for r in rows)
+    moved = long.filter("word_id < 3 and topic <> 0").count()
+    assert sum(r.n for r in rows if r.n > 0) == moved == -sum(r.n for r in rows if r.n < 0)
+
+
 def test_tasks_do_not_grow_with_the_parts(spark):
     cores = spark.sparkContext.defaultParallelism
     assert [gibbs.tasks_for(spark, parts) for parts in (1, 2, 10**6)] == [1, 8, 4 * cores]
