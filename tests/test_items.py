@@ -98,3 +98,14 @@ def test_a_retried_task_of_a_job_doubles_nothing(tmp_path):
     """A session of its own, whose tasks may be tried again."""
     done = subprocess.run([sys.executable, "-c", RETRIED, ROOT, str(tmp_path / "items")], capture_output=True, text=True, timeout=300)
     assert done.stdout.strip().endswith("same"), done.stderr[-2000:]
+
+
+def test_sink_posts_joins_the_texts_once(spark, sf_dir, monkeypatch):
+    """Each of the three writes used to join all texts and events again."""
+    from tidemark.plans import files
+
+    plans = []
+    monkeypatch.setattr(files.items, "sink_items", lambda df, path, batch: plans.append(df._jdf.queryExecution().optimizedPlan().toString()))
+    monkeypatch.setattr(files.items, "read_items", lambda spark, path, schema: spark.createDataFrame([], schema))
+    files.sink_posts(spark, sf_dir)
+    assert len(plans) == 3 and not any("Join" in plan for plan in plans)

@@ -15,7 +15,7 @@ from tidemark.plans.parsing import (
     RECORD_SQL, RECORDS, SCHEDULE_SQL, flat, schedule_from_html, tagged_records,
 )
 from tidemark.plans.registry import query
-from tidemark.session import explode_words, new_folder
+from tidemark.session import explode_words, new_folder, store
 from tidemark.sources import items, readers, writers
 
 # ---------------------------------------------------------------- readers
@@ -161,7 +161,7 @@ def scan_results(spark, sf_dir):
 def sink_posts(spark, sf_dir):
     """Posts as items that tasks write and the driver commits; a retried batch replaces itself."""
     path = new_folder(spark, "posts")
-    records = tagged_records(spark, sf_dir)
+    records = store(tagged_records(spark, sf_dir), "records")  # else every batch would join the texts anew
     for batch, half in ((6, "id % 2 = 0"), (7, "id % 2 = 1"), (7, "id % 2 = 1")):
         items.sink_items(records.filter(half), path, batch)
     return flat(items.read_items(spark, path, records.schema))
