@@ -93,3 +93,10 @@ def test_labels(spark):
     ddate = F.col("text")
     assert one(spark, "2015_sep_16", tx.debate_label(ddate, F.lit("gop"))) == "Sep 16 2015 (GOP)"
     assert one(spark, "2015_sep_16", tx.chart_title(ddate, F.lit("gop"), "S")) == "S: Sep 16 2015 GOP debate"
+
+
+def test_words_are_split_without_a_call_for_every_word(spark):
+    df = spark.createDataFrame([("  a\tb\n\x0b c  ",), ("",), ("   ",), (None,), ("one",)], "text STRING")
+    words = df.select(tx.whitespace_words(F.col("text")).alias("words"))
+    assert [r.words for r in words.collect()] == [["a", "b", "c"], [], [], None, ["one"]]
+    assert "lambda" not in words._jdf.queryExecution().optimizedPlan().toString()
