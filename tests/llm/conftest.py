@@ -1,7 +1,11 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 
+# whichever conftest is imported first serves the tests of both folders
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, mark string, row int, length string, _text int, _row int"
 
 
