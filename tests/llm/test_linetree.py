@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import hashlib
+import random
+
 import oracle
 
 from tidemark.llm import catalog, linetree
@@ -121,3 +124,44 @@ def test_a_passage_on_short_lines_recurs_as_a_whole(docs_of):
     assert found[1] == (f"own one\n{passage}\nend one", 6, 0)
     assert found[2] == ("own two\n\n\n\nend two", 9, 4)
     assert found[3] == ("own three\nend three", 3, 1) and found[4][2] == 2
+
+
+def test_a_leaf_of_many_families_has_a_seed_for_each(docs_of):
+    """Nine families of three lines that differ in a name, all in one leaf: no number of seeds is the last."""
+    rng = random.Random(3)
+    names = ["Ann", "Bea", "Cid"]
+    families = [[f"{'xyz'[rng.randrange(3)]}{chr(97 + f)}{chr(97 + i)}" for i in range(26)] for f in range(9)]
+    rows = []
+    for f, words in enumerate(families):
+        for k, name in enumerate(names):
+            rows.append((10 * f + k, f"this page is {name} {' '.join(words)}\n{'a' * (3 * f + k + 1)} alone"))
+    found = got(linetree.drop_recurring(docs_of(*rows)))
+    assert [[found[10 * f + k][2] for k in range(3)] for f in range(9)] == [[0, 1, 1]] * 9
+
+
+def test_lines_come_to_the_first_seed_they_agree_with(spark):
+    """Held against a plain walk over the lines of each leaf, one by one, with one seed a round at first."""
+    rng = random.Random(7)
+    lines = {}
+    for leaf, n in ((1, 5), (2, 10), (3, 17)):
+        bases = [[rng.choice("abc") + str(i) for i in range(n)] for _ in range(6)]
+        for _ in range(40):
+            words = list(rng.choice(bases))
+            for at in rng.sample(range(3, n), rng.randrange(n - 3)):
+                words[at] = rng.choice("abcdef") + str(at)
+            body = " ".join(["p", "q", "r", *words[3:]])
+            lines.setdefault((leaf, body), (leaf, len(lines), rng.randrange(1, 4), body))
+    want = set()
+    for leaf in (1, 2, 3):
+        order = [r for r in lines.values() if r[0] == leaf]
+        order.sort(key=lambda r: (r[2], hashlib.md5(r[3].encode()).hexdigest()), reverse=True)
+        seeds = []
+        for _, line, _, body in order:
+            words = body.split()
+            near = [s for s, other in seeds if 100 * sum(a == b for a, b in zip(words, other, strict=True)) >= 70 * len(words)]
+            if not near:
+                seeds.append((line, words))
+            want.add((leaf, line, near[0] if near else line))
+    variants = spark.createDataFrame(list(lines.values()), "leaf long, line long, docs long, body string")
+    found = {(r.leaf, r.line, r.template) for r in linetree._seeded(variants, 3, 70, 1).collect()}
+    assert found <= want and all(line == template for _, line, template in want - found)
