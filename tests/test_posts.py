@@ -311,3 +311,12 @@ def test_times_do_not_depend_on_the_session_zone(spark):
     assert seen[0][0][:3] == (1446357599, "2015-11-01 01:59:59", "2015-11-01 05:59:59")
     assert seen[0][1][1] == "2015-11-01 01:00:00"  # the clock went back
     assert seen[0][2][0] is None
+
+
+def test_joined_tagging_searches_a_text_once(spark):
+    """The words of a text are found once, not again for each length that terms have."""
+    texts = spark.createDataFrame([("a", "jeb and #RandPaul"), ("b", "a bushel"), ("c", None), ("d", "xjeb")], "key string, text string")
+    rows = [("bush", 0, "bush"), ("bush", 0, "jeb"), ("rand", 1, "rand"), ("rand", 1, "randpaul")]
+    found = mentions.term_mentions(texts, spark.createDataFrame(rows, "entity string, entity_pos int, term string"))
+    assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.key, r.entity) for r in found.collect()) == [("a", "bush"), ("a", "rand"), ("b", "bush")]

@@ -99,15 +99,10 @@ def finder(terms: DataFrame) -> Callable[[Column], Column] | None:
 # ---------------------------------------------------------------- join
 
 
-def _openings(text: Column, sizes: list[int]) -> Column:
-    """The first characters of what follows each place where a term may begin, for each of some sizes."""
-    heads = F.regexp_extract_all(text, F.lit(f"(?s){CUT}(?=(.{{0,{max(sizes, default=0)}}}))"), F.lit(1))
-    heads = F.array_append(F.array_distinct(heads), F.substring(text, F.lit(1), F.lit(max(sizes, default=0))))
-    cut = F.transform(
-        F.array(*[F.lit(n) for n in sizes]),
-        lambda n: F.transform(F.filter(heads, lambda h: F.length(h) >= n), lambda h: F.substring(h, F.lit(1), n)),
-    )
-    return F.array_distinct(F.flatten(cut))
+def _heads(text: Column, longest: int) -> Column:
+    """The first characters, ``longest`` at most, of what follows each place where a term may begin."""
+    heads = F.regexp_extract_all(text, F.lit(f"(?s){CUT}(?=(.{{0,{longest}}}))"), F.lit(1))
+    return F.array_distinct(F.array_append(heads, F.substring(text, F.lit(1), F.lit(longest))))
 
 
 def term_mentions(texts: DataFrame, terms: DataFrame) -> DataFrame:
@@ -122,7 +117,10 @@ def term_mentions(texts: DataFrame, terms: DataFrame) -> DataFrame:
     lowered = texts.filter(F.col("text").isNotNull()).select("key", _ascii_lower(F.col("text")).alias("text"))
     if not sizes:
         return lowered.select("key", F.lit("").alias("entity"), F.lit(0).alias("entity_pos")).limit(0)
-    openings = explode_words(lowered, ["key"], _openings(F.col("text"), sizes), name="opening")
+    heads = explode_words(lowered, ["key"], _heads(F.col("text"), sizes[-1]), name="head")
+    # cut row by row: inside a lambda over the sizes, a text would be searched again for each of them
+    cut = F.array(*[F.when(F.length("head") >= n, F.substring("head", 1, n)) for n in sizes])
+    openings = explode_words(heads, ["key"], cut, name="opening")
     return openings.join(keyed, "opening").select("key", "entity", "entity_pos").distinct()
 
 
