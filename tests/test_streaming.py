@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import posts as ps
 from tidemark.operators import sentiment as st
+from tidemark.plans import streams
 from tidemark.session import new_folder
 from tidemark.sources import readers
 from tidemark.streaming import jobs
@@ -121,6 +122,71 @@ def test_replayed_batches_are_bounded_by_posts(spark, folder):
     assert sorted(r.value for r in rows.select("value").collect()) == lines
 
 
+def lane_of(spark, folder, cut, lane, lanes):
+    return jobs.replay_stream(spark, folder, posts_per_batch=4, folder=cut, lane=lane, lanes=lanes)
+
+
+def rows_of_lanes(spark, out):
+    return spark.read.option("basePath", out).parquet(f"{out}/lane=*[0-9]")  # not the checkpoints beside them
+
+
+def test_lanes_share_the_batches(spark, folder):
+    """Streams side by side, of which two break, hold each batch once; a lane without a batch ends by itself."""
+    out, cut = new_folder(spark, "lanes"), new_folder(spark, "cut")
+
+    def run(broken, lanes=20):
+        broken = {1: broken, 7: broken}
+        jobs.finish_all([started(lane_of(spark, folder, cut, i, lanes), f"{out}/lane={i}", broken.get(i)) for i in range(lanes)])
+
+    with pytest.raises(StreamingQueryException):
+        run(broken=0)
+    run(broken=None)
+    rows = rows_of_lanes(spark, out)
+    sizes = {(r.lane, r.batch_id): r["count"] for r in rows.groupBy("lane", "batch_id").count().collect()}
+    assert sizes == {(i, 0): 4 if i < 15 else 1 for i in range(16)}  # 61 lines
+    assert sorted(r.value for r in rows.select("value").collect()) == sorted(r.value for r in spark.read.text(folder).collect())
+
+
+def test_lanes_take_every_kth_batch_and_go_on(spark, folder):
+    out, cut = new_folder(spark, "lanes"), new_folder(spark, "cut")
+    for broken in (3, None):
+        try:
+            jobs.finish_all([started(lane_of(spark, folder, cut, i, 3), f"{out}/lane={i}", broken) for i in range(3)])
+        except StreamingQueryException:
+            assert broken
+    rows = rows_of_lanes(spark, out)
+    sizes = sorted((r.lane, r["count"]) for r in rows.groupBy("lane", "batch_id").count().collect())
+    assert sizes == [(0, 1), *[(0, 4)] * 5, *[(1, 4)] * 5, *[(2, 4)] * 5]
+    assert sorted(r.value for r in rows.select("value").collect()) == sorted(r.value for r in spark.read.text(folder).collect())
+    for lanes in (1, 4):
+        with pytest.raises(ValueError):
+            lane_of(spark, folder, cut, 0, lanes)
+    with pytest.raises(ValueError):
+        jobs.replay_stream(spark, folder, lanes=2)
+    with pytest.raises(ValueError):
+        lane_of(spark, folder, cut, 3, 3)
+
+
+def test_lanes_follow_the_number_of_batches(spark, folder):
+    assert jobs.lanes_for(spark, folder, 4) == 1
+    assert jobs.lanes_for(spark, folder, 1) == 61 // jobs.LANE_BATCHES
+    many = new_folder(spark, "many")
+    spark.range(10 * jobs.MAX_LANES * jobs.LANE_BATCHES).select(F.col("id").cast("string")).write.text(many)
+    assert jobs.lanes_for(spark, many, 1) == jobs.MAX_LANES
+
+
+def test_many_batches_of_the_query_run_in_lanes(spark, monkeypatch):
+    """A thousand posts in batches of ten are four streams; each breaks and goes on, and no batch is lost or doubled."""
+    monkeypatch.setattr(streams, "PER_BATCH", 10)
+    lines, lanes = new_folder(spark, "lines"), []
+    spark.range(1003).select(F.col("id").cast("string")).write.text(lines)
+    monkeypatch.setattr(streams, "post_files", lambda *_: lines)
+    replay = jobs.replay_stream
+    monkeypatch.setattr(jobs, "replay_stream", lambda *a, **k: lanes.append(k["lane"]) or replay(*a, **k))
+    assert sorted(map(tuple, streams.replay_stream(spark, "").collect())) == [(3, 1), (10, 100)]
+    assert lanes == [0, 1, 2, 3] * 2
+
+
 def test_an_empty_folder_replays_nothing(spark):
     path, out = new_folder(spark, "empty"), new_folder(spark, "bounded")
     spark.createDataFrame([], "value STRING").write.text(path)
