@@ -317,3 +317,99 @@ def test_a_long_fit_rises_and_ends_when_it_has_settled(spark, themed):
     assert early[2].agg(F.max("iter")).first()[0] == 1 and early[0].count() == long.count()
     first = [tuple(r) for r in logliks.filter("iter <= 1").orderBy("iter", "part", "phase").collect()]
     assert [tuple(r) for r in early[2].orderBy("iter", "part", "phase").collect()] == first
+
+
+def test_changed_counts_come_in_short_rows():
+    """Readers hold thousands of rows at once; a row with all changes of a part took the heap with a few hundred parts a task."""
+    rng = np.random.default_rng(1)
+    docs = [(rng.integers(0, 3000, 200).tolist(), [0] * 200) for _ in range(40)]
+    part = gibbs.Part(10, 3000, 0.1, 0.01, np.random.default_rng(1))
+    rows = pa.Table.from_batches(list(gibbs.swept(streamed(docs, 10**9), 0, part, True))).to_pylist()
+    changes = [r for r in rows if r["kind"] == gibbs.CHANGE]
+    assert sum(sum(r["places"]) for r in changes) == 40 * 200
+    assert sum(len(r["words"]) for r in changes) > 2 * 1024 and max(len(r["words"]) for r in changes) <= 1024
+
+
+def pack_batches(parts, table, topics, rows):
+    """What a pack gets: its counts, then the documents of its parts in batches of so many."""
+    held = [(w, t, int(n)) for (w, t), n in np.ndenumerate(table) if n]
+    words = sorted({w for w, _, _ in held})
+    given = [(w, [(t, n) for v, t, n in held if v == w]) for w in reversed(words)] + [(-1, list(enumerate(table.sum(axis=0).tolist())))]
+    kinds = {"part": pa.int32(), "doc_id": pa.int64(), "places": pa.list_(pa.int32()), "words": pa.list_(pa.int64()), "topics": pa.list_(pa.int32()), "n": pa.list_(pa.int64())}
+    lines = [
+        (None, None, [len(c) for _, c in some], [w for w, _ in some], [t for _, c in some for t, _ in c], [n for _, c in some for _, n in c])
+        for some in (given[::2], given[1::2])
+    ] + [(p, d, list(range(len(w))), w, t, None) for p, docs in parts for d, (w, t) in enumerate(docs)]
+    whole = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*lines), kinds.values())], names=list(kinds))
+    return [whole.slice(at, rows) for at in range(0, whole.num_rows, rows)]
+
+
+@pytest.mark.parametrize("chunk, rows", [(10**6, 10**6), (10**6, 3), (700, 5), (100, 4)])
+def test_parts_of_a_pack_see_their_own_words_and_changes(chunk, rows, monkeypatch):
+    """Side by side or streaming alone, a part starts from the global counts of its words and reports what it changed."""
+    monkeypatch.setattr(gibbs, "CHUNK_WORDS", chunk)
+    rng, topics, size = np.random.default_rng(5), 4, 60
+    parts = [
+        (p, [(rng.integers(3 * p, 3 * p + 25, n).tolist(), rng.integers(0, topics, n).tolist()) for n in rng.integers(1, 40, 12)])
+        for p in (2, 5, 6, 11)
+    ]
+    table = np.zeros((size, topics), dtype=np.int64)
+    for words, drawn in (d for _, docs in parts for d in docs):
+        np.add.at(table, (words, drawn), 1)
+    run = gibbs._task(False, topics, size, 0.1, 0.01, 3, 1)
+    out = pa.Table.from_batches(list(run((pa.scalar(0),), iter(pack_batches(parts, table, topics, rows))))).to_pylist()
+    lgamma, mass, totals = math.lgamma, size * 0.01, table.sum(axis=0)
+    for number, docs in parts:
+        mine = [r for r in out if r["part"] == number]
+        drawn = [r for r in mine if r["kind"] == gibbs.WORDS]
+        assert [(r["doc_id"], r["words"]) for r in drawn] == [(d, words) for d, (words, _) in enumerate(docs)]
+        now = table.copy()
+        for (words, old), row in zip(docs, drawn):
+            np.subtract.at(now, (words, old), 1)
+            np.add.at(now, (words, row["topics"]), 1)
+        change = np.zeros_like(table)
+        for r in mine:
+            if r["kind"] == gibbs.CHANGE:
+                np.add.at(change, (r["words"], r["topics"]), r["places"])
+        assert change.any() and (change == now - table).all()
+        used = sorted({w for words, _ in docs for w in words})
+        for kind, counted in ((gibbs.BEFORE, table), (gibbs.AFTER, now)):
+            expected = topics * (lgamma(mass) - len(used) * lgamma(0.01)) + sum(lgamma(n + 0.01) for n in counted[used].ravel())
+            expected -= sum(lgamma(n + mass) for n in counted.sum(axis=0))
+            assert [r["loglik"] for r in mine if r["kind"] == kind] == pytest.approx([expected])
+    assert sum(r["kind"] == gibbs.AFTER for r in out) == len(parts)
+
+
+def test_parts_share_what_is_sent_to_their_pack(spark, monkeypatch):
+    """The counts of a word went to each part that has it: nearly a row for every other word of the corpus."""
+    monkeypatch.setattr(gibbs, "LEAST_PACKS", 2)
+    long = spark.range(6000).selectExpr("id % 60 AS doc_id", "CAST(id AS INT) AS pos", "id % 50 AS word_id", "CAST(id % 7 AS INT) AS topic")
+    long = corpus.assign_parts(long, 40)
+    docs, held = gibbs.packed(long), counts.word_topic_counts(long)
+    assert [gibbs.packs_for(n) for n in (1, 2, 40, 10**6)] == [1, 2, 2, 31250]
+    assert gibbs.part_words(gibbs.in_packs(docs, 40)).count() <= 2 * 50 < gibbs.part_words(docs).count()
+    # the words come by part or by pack, with the same result
+    states = [gibbs.lda_gibbs_sweep(docs, held, gibbs.part_words(d), 40, 7, 50, 1) for d in (docs, gibbs.in_packs(docs, 40))]
+    rows = [sorted((r.part, r.doc_id, r.words, r.topics) for r in gibbs.documents(s).collect()) for s in states]
+    assert rows[0] == rows[1] and len(rows[0]) == 60
+    for state in states:
+        synced = counts.lda_sync_counts(held, gibbs.reported_changes(state))
+        assert counts.check_counts(gibbs.assignments(state), synced).count() == 0
+
+
+@pytest.mark.parametrize("topics", [True, False])
+def test_packed_documents_equal_gathered_lists(spark, topics):
+    rng = random.Random(1)
+    pick = lambda *values: rng.choice([None, *values])
+    rows = [(pick(0, 1), pick(*range(6), -5, 2**60), pick(*range(30)), pick(*range(10)), pick(*range(4))) for _ in range(500)]
+    df = spark.createDataFrame(rows, "part INT, doc_id LONG, pos INT, word_id LONG, topic INT")
+    df = df if topics else df.drop("topic")
+    lists = df.groupBy("part", "doc_id").agg(F.sort_array(F.collect_list(F.struct(*df.columns[2:]))).alias("w"))
+    lists = lists.select("part", "doc_id", "w.pos", "w.word_id", F.col("w.topic") if topics else F.lit(None).alias("topic"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # documents go on in the next batch
+    try:
+        got = gibbs.packed(df).select("part", "doc_id", "places", "words", "topics").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, map(tuple, lists.collect())))
+    assert "collect_list" not in gibbs.packed(df)._jdf.queryExecution().toString()
