@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.topics import corpus, counts, gibbs
+from tidemark.plans import topics as plans
 from tidemark.session import new_folder, store
 
 
@@ -413,3 +414,18 @@ def test_packed_documents_equal_gathered_lists(spark, topics):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, map(tuple, lists.collect())))
     assert "collect_list" not in gibbs.packed(df)._jdf.queryExecution().toString()
+
+
+def test_the_registered_fit_runs_all_iterations(spark, tmp_path, monkeypatch):
+    """Three of a hundred left little of the work."""
+    texts = [(d, " ".join(f"{'sea' if d % 2 else 'hill'}{(d * 7 + i) % 8}" for i in range(30))) for d in range(12)]
+    spark.createDataFrame(texts, "doc_id LONG, text STRING").write.parquet(f"{tmp_path}/documents.parquet")
+    asked, fit = [], gibbs.fit_lda
+
+    def short(corpus, vocab_size, k, iters, *rest, **more):
+        asked.append(iters)
+        return fit(corpus, vocab_size, k, 1, *rest, **more)
+
+    monkeypatch.setattr(gibbs, "fit_lda", short)
+    rows = plans.fit_lda(spark, str(tmp_path)).collect()
+    assert asked == [100] and [(r.part, r.n, r.counts_off) for r in rows] == [(0, 360, 0)]
