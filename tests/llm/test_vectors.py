@@ -5,6 +5,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.llm import catalog, forest, pstable
 
 SCHEMA = "vec_id long, embedding array<float>, label int, rep long, dim string, part int, ids int"
@@ -145,3 +146,38 @@ def test_search_far_above_the_sample_with_small_groups_of_near_copies(spark, mon
         apart = np.sqrt(((every - every[i]) ** 2).sum(axis=1))
         wanted[i] = sorted((d, j) for j, d in enumerate(apart.tolist()) if j != i)[:10]
     assert recall(found, wanted) >= 0.93
+
+
+def test_vectors_are_not_written_with_their_leaves(spark, monkeypatch):
+    """A vector stood in a table for each tree and spill copy, and all of them were on their way at once."""
+    monkeypatch.setattr(forest.leaves, "__defaults__", (4, 24, 0))
+    rng = np.random.default_rng(4)
+    rows = clustered(rng, 60, 10) + [(2000 + i, v, l) for i, v, l in clustered(rng, 1, 300, spread=0.5)]
+    written, moved, keep, linked = [], [], forest.store, forest._linked
+
+    def counted(df, label):
+        out = keep(df, label)
+        if "embedding" in out.columns:
+            written.append(out.count())
+        return out
+
+    def sent(*args):
+        out = linked(*args)
+        moved.append(args)
+        return out
+
+    monkeypatch.setattr(forest, "store", counted)
+    monkeypatch.setattr(forest, "_linked", sent)
+    assert got(forest.near_vectors(frame(spark, rows))) == links(rows)
+    assert sum(written) <= 2 * len(rows) and len(moved) > 4
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+    before, setting = files(), spark.conf.get(session.SHUFFLE_CLEANUP, None)
+    df = session.store(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counted")
+    assert not files() - before and df.count() == 7
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, None) == setting
